@@ -1,0 +1 @@
+"""Every input of this engine is a finite file set, so there is no streaming operator."""
