@@ -580,6 +580,18 @@ def _read_metrics(spark, sf):
     return report.read_qc_rows(cascade, reads_qc.derived_read_metrics(cascade))
 
 
+def _key_rows(spark, sf):
+    """Read QC and cell metric rows of all samples that have reads."""
+    tables = _tables(spark, sf)
+    called = pipeline.cell_stage(tables, cfg=SINGLE).cells
+    rows = _read_metrics(spark, sf)
+    raw = rows.filter(F.col("variable_name") == "reads_pre_qc").select(
+        "sample", F.col("value").cast("long").alias("raw_reads")
+    )
+    stats = metrics.cell_metrics_single(tables.counts, called, tables.genes, raw)
+    return report.metrics_long(rows, report.cell_metric_rows(stats, mixed=False))
+
+
 @query
 def metrics_pivot(spark, sf):
     wide = report.pivot_metrics(_read_metrics(spark, sf), bridge.SAMPLES)
@@ -604,14 +616,14 @@ def sample_steps(spark, sf):
 
 @query
 def axis_ranges(spark, sf):
-    return _round(report.axis_ranges(_read_metrics(spark, sf)), "y_min", "y_max")
+    return _round(report.axis_ranges(_key_rows(spark, sf)), "y_min", "y_max")
 
 
 @query
 def metric_n(spark, sf):
-    return report.metric_n(_read_metrics(spark, sf))
+    return report.metric_n(_key_rows(spark, sf))
 
 
 @query
 def key_metric_labels(spark, sf):
-    return report.key_metric_labels(_read_metrics(spark, sf))
+    return report.key_metric_labels(_key_rows(spark, sf))
