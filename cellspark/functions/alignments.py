@@ -43,6 +43,22 @@ def reference_end(pos: Column, cigar: Column) -> Column:
     return pos + span - 1
 
 
+def single_run(cigar: Column) -> Column:
+    """Whether the alignment is one M run, apart from clipped ends."""
+    return cigar.rlike(r"^(?:\d+[SH])*\d+M(?:\d+[SH])*$")
+
+
+def run_length(cigar: Column) -> Column:
+    """Length of the first M run."""
+    return F.regexp_extract(cigar, r"(\d+)M", 1).try_cast("long")
+
+
+def read_length(cigar: Column) -> Column:
+    """Bases of the read sequence, from the CIGAR string; the sequence column stays unread."""
+    simple = F.rtrim(cigar, F.lit("M")).try_cast("long")
+    return F.when(_simple(cigar), simple).otherwise(_sum_ops(cigar, "MIS=X"))
+
+
 def aligned_blocks(pos: Column, cigar: Column) -> Column:
     """One (start, end) block per aligned (M, = or X) run of the CIGAR string."""
     simple = F.array(

@@ -9,29 +9,29 @@ PHRED_OFFSET = 33
 MAX_QUALITY_CHAR = 126
 
 
-def _chars(first: int, last: int) -> str:
-    return "".join(chr(c) for c in range(first, last + 1))
-
-
-def count_chars(text: Column, chars: str) -> Column:
-    """How many characters of ``text`` are in ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _without(text: Column, first: str, last: str) -> Column:
+    """Characters of ``text`` outside a code range; runs are cut in one regex step."""
+    return F.regexp_replace(text, rf"[\x{ord(first):02x}-\x{ord(last):02x}]+", "")
 
 
 def bases_at_least(qual: Column, phred: int) -> Column:
-    return count_chars(qual, _chars(PHRED_OFFSET + phred, MAX_QUALITY_CHAR))
+    return F.length(qual) - F.length(_without(qual, chr(PHRED_OFFSET + phred), chr(MAX_QUALITY_CHAR)))
 
 
 def bases_below(qual: Column, phred: int) -> Column:
-    return count_chars(qual, _chars(PHRED_OFFSET, PHRED_OFFSET + phred - 1))
+    return F.length(qual) - F.length(_without(qual, chr(PHRED_OFFSET), chr(PHRED_OFFSET + phred - 1)))
+
+
+def count_char(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
 def gc_bases(seq: Column) -> Column:
-    return count_chars(seq, "GC")
+    return count_char(seq, "G") + count_char(seq, "C")
 
 
 def n_bases(seq: Column) -> Column:
-    return count_chars(seq, "N")
+    return count_char(seq, "N")
 
 
 def phred_sum(qual: Column) -> Column:
@@ -42,11 +42,16 @@ def phred_sum(qual: Column) -> Column:
 
 
 def low_quality(qual: Column, min_quality: int, max_low_percent: int) -> Column:
-    """Mean Phred below the minimum, or too large a share of bases below it."""
+    """Mean Phred below the minimum, or too large a share of bases below it.
+
+    Bases at twice the minimum or more outweigh as many low ones, so the per-base sum is only
+    worked out for reads whose low bases outnumber them.
+    """
     size = F.length(qual)
-    low_mean = phred_sum(qual) < size * min_quality
-    many_low = bases_below(qual, min_quality) * 100 > size * max_low_percent
-    return many_low | low_mean
+    low = bases_below(qual, min_quality)
+    many_low = low * 100 > size * max_low_percent
+    can_be_low = low > bases_at_least(qual, 2 * min_quality)
+    return many_low | (can_be_low & (phred_sum(qual) < size * min_quality))
 
 
 def terminal_run(seq: Column) -> Column:

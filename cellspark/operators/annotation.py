@@ -64,10 +64,11 @@ def distinct_features(gtf: DataFrame) -> DataFrame:
     )
 
 
-def gene_intervals(gtf: DataFrame, feature: str) -> DataFrame:
-    """Rows ``gene_id, chrom, strand, start, end`` of one feature type (raw gene ids)."""
-    return gtf.filter(F.col("feature") == feature).select(
+def gene_intervals(gtf: DataFrame, *kinds: str) -> DataFrame:
+    """Rows ``gene_id, feature, chrom, strand, start, end`` of some feature types (raw gene ids)."""
+    return gtf.filter(F.col("feature").isin(*kinds)).select(
         gtf_attribute(F.col("attributes"), "gene_id").alias("gene_id"),
+        "feature",
         F.col("seqname").alias("chrom"),
         "strand",
         "start",

@@ -11,7 +11,7 @@ from cellspark.config import AssignConfig
 from cellspark.functions import alignments as al
 from cellspark.operators.annotation import gene_intervals
 from cellspark.operators.intervals import bin_of, binned_union, clip_to_bins
-from cellspark.plans.scale import Footprint, footprint, lookup_join, materialize
+from cellspark.plans.scale import Footprint, lookup_join, materialize
 
 ASSIGNED = "Assigned"
 AMBIGUOUS = "Unassigned_Ambiguity"
@@ -21,62 +21,65 @@ LEVELS = ("transcript", "exon")
 STATUS_COLUMNS = ("tx_status", "tx_gene", "ex_status", "ex_gene")
 
 
+PIECES = "array<struct<g:string,s:bigint,e:bigint>>"
+
+
 @dataclass(frozen=True)
 class FeatureIndex:
     """Annotation prepared for lookups by (chrom, strand, bin).
 
     ``rows``: ``chrom, strand, bin, level, gene_id, f_start, f_end`` with disjoint pieces per gene.
-    ``per_bin``: the same as two gene arrays per bin, or None if some bin is too dense for that.
+    ``windows``: per bin, the pieces in it and in the first bases of the next bin, as one array per
+    level; None if some bin is too dense for that.
     """
 
     rows: DataFrame
-    rows_size: Footprint
-    per_bin: DataFrame | None
-    per_bin_size: Footprint | None
+    windows: DataFrame | None
+    size: Footprint
     bin_size: int
-    stranded: bool
+    reach: int
 
 
 def feature_index(gtf: DataFrame, cfg: AssignConfig = AssignConfig()) -> FeatureIndex:
     """Index the transcripts and exons of an annotation.
 
     A gene's features of one type are united first, so nothing is counted twice. The index is
-    written once to the shared folder; its size and densest bin are then measured.
+    written once to the shared folder; its size and densest bin are then measured in one job.
     """
-    levels = []
-    for level in LEVELS:
-        spans = gene_intervals(gtf, level)
-        if not cfg.stranded:
-            spans = spans.withColumn("strand", F.explode(F.array(F.lit("+"), F.lit("-"))))
-        levels.append(spans.withColumn("level", F.lit(level)))
-    keys = ["chrom", "strand", "level", "gene_id"]
-    pieces = binned_union(levels[0].unionByName(levels[1]), keys, cfg.bin_size)
+    spans = gene_intervals(gtf, *LEVELS).withColumnRenamed("feature", "level")
+    if not cfg.stranded:
+        spans = spans.withColumn("strand", F.explode(F.array(F.lit("+"), F.lit("-"))))
+    pieces = binned_union(spans, ["chrom", "strand", "level", "gene_id"], cfg.bin_size)
     rows = materialize(
         pieces.select(
             "chrom", "strand", "bin", "level", "gene_id", F.col("start").alias("f_start"), F.col("end").alias("f_end")
         )
     )
-    densest = (
-        rows.groupBy("chrom", "strand", "bin", "level")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n").alias("n"))
-        .first()["n"]
-        or 0
+    dense = (
+        rows.groupBy("chrom", "strand", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("gene_id") + F.octet_length("chrom") + 128).alias("b"))
+        .agg(F.max("n").alias("densest"), F.sum("n").alias("rows"), F.sum("b").alias("bytes"))
+        .first()
     )
-    per_bin, per_bin_size = None, None
-    if densest <= cfg.max_pieces_per_bin:
-        genes = rows.groupBy("chrom", "strand", "bin", "level", "gene_id").agg(
-            F.collect_list(F.struct(F.col("f_start").alias("s"), F.col("f_end").alias("e"))).alias("pieces")
+    size = Footprint(dense["rows"] or 0, dense["bytes"] or 0)
+    windows = None
+    if (dense["densest"] or 0) <= cfg.max_pieces_per_bin:
+        border = F.col("bin") * cfg.bin_size
+        reached = rows.filter(F.col("f_start") < border + cfg.bin_reach).select(
+            "chrom",
+            "strand",
+            (F.col("bin") - 1).alias("bin"),
+            "level",
+            "gene_id",
+            "f_start",
+            F.least("f_end", border + (cfg.bin_reach - 1)).alias("f_end"),
         )
-        entry = F.struct("gene_id", "pieces")
-        per_bin = materialize(
-            genes.groupBy("chrom", "strand", "bin").agg(
-                F.collect_list(F.when(F.col("level") == LEVELS[0], entry)).alias("tx_genes"),
-                F.collect_list(F.when(F.col("level") == LEVELS[1], entry)).alias("ex_genes"),
-            )
+        piece = F.struct(F.col("gene_id").alias("g"), F.col("f_start").alias("s"), F.col("f_end").alias("e"))
+        windows = rows.unionByName(reached).groupBy("chrom", "strand", "bin").agg(
+            F.collect_list(F.when(F.col("level") == LEVELS[0], piece)).alias("tx_pieces"),
+            F.collect_list(F.when(F.col("level") == LEVELS[1], piece)).alias("ex_pieces"),
         )
-        per_bin_size = footprint(per_bin)
-    return FeatureIndex(rows, footprint(rows), per_bin, per_bin_size, cfg.bin_size, cfg.stranded)
+    return FeatureIndex(rows, windows, size, cfg.bin_size, cfg.bin_reach)
 
 
 def _status(count, gene):
@@ -84,44 +87,62 @@ def _status(count, gene):
     return status, F.when(count == 1, gene)
 
 
-def _passing(genes, start, end, least_bases):
-    """Genes of an in-row array whose pieces cover enough of [start, end]."""
+def _least_bases(cfg: AssignConfig):
+    """Fewest bases of a read that must lie on a gene."""
+    return F.greatest(F.ceil(al.read_length(F.col("cigar")) * F.lit(cfg.min_overlap_fraction)), F.lit(1))
+
 
-    def covered(g):
+def _passing(pieces, start, end, least_bases):
+    """Ids of the genes whose pieces cover enough of [start, end]."""
+    near = F.filter(pieces, lambda p: (p["s"] <= end) & (p["e"] >= start))
+
+    def covered(gene):
         return F.aggregate(
-            g["pieces"],
+            near,
             F.lit(0).cast("long"),
-            lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), F.least(p["e"], end) - F.greatest(p["s"], start) + 1),
+            lambda acc, p: acc
+            + F.when(p["g"] == gene, F.least(p["e"], end) - F.greatest(p["s"], start) + 1).otherwise(F.lit(0).cast("long")),
         )
 
-    hits = F.filter(genes, lambda g: covered(g) >= least_bases)
-    return F.coalesce(hits, F.array().cast("array<struct<gene_id:string,pieces:array<struct<s:bigint,e:bigint>>>>"))
+    genes = F.array_distinct(F.transform(near, lambda p: p["g"]))
+    return F.filter(genes, lambda g: covered(g) >= least_bases)
 
 
-def _assign_in_row(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig) -> DataFrame:
-    """Alignments with one block inside one bin: one broadcast lookup, no shuffle."""
-    columns = [c for c in alignments.columns if not c.startswith("_")]
-    keyed = alignments.withColumn("strand", F.col("_strand")).withColumn("bin", bin_of(F.col("_blocks")[0]["start"], index.bin_size))
-    found = lookup_join(keyed, index.per_bin, ["chrom", "strand", "bin"], "left", size=index.per_bin_size)
-    start, end = F.col("_blocks")[0]["start"], F.col("_blocks")[0]["end"]
-    hits = found.withColumn("_tx", _passing(F.col("tx_genes"), start, end, F.col("_least"))).withColumn(
-        "_ex", _passing(F.col("ex_genes"), start, end, F.col("_least"))
+def _assign_in_row(alignments: DataFrame, index: FeatureIndex, exon_when, cfg: AssignConfig) -> DataFrame:
+    """Alignments of one short run: one broadcast lookup by the bin of their start, no shuffle."""
+    columns = alignments.columns
+    keyed = (
+        alignments.withColumn("_end", F.col("pos") + al.run_length(F.col("cigar")) - 1)
+        .withColumn("_least", _least_bases(cfg))
+        .withColumn("strand", al.strand(F.col("flag")))
+        .withColumn("bin", bin_of(F.col("pos"), index.bin_size))
     )
-    out = []
-    for prefix in ("tx", "ex"):
-        status, gene = _status(F.size(f"_{prefix}"), F.get(F.col(f"_{prefix}"), F.lit(0))["gene_id"])
-        out += [status.alias(f"{prefix}_status"), gene.alias(f"{prefix}_gene")]
-    return hits.select(*columns, *out)
+    found = lookup_join(keyed, index.windows, ["chrom", "strand", "bin"], "left", size=index.size)
+    start, end, least = F.col("pos"), F.col("_end"), F.col("_least")
+    with_tx = _with_status(found.withColumn("_g", _passing(F.col("tx_pieces"), start, end, least)), "tx")
+    exons = F.when(exon_when, _passing(F.col("ex_pieces"), start, end, least))
+    with_ex = _with_status(with_tx.withColumn("_g", exons), "ex")
+    return with_ex.select(*columns, *STATUS_COLUMNS)
+
 
+def _with_status(df: DataFrame, prefix: str) -> DataFrame:
+    status, gene = _status(F.coalesce(F.size("_g"), F.lit(0)), F.get(F.col("_g"), F.lit(0)))
+    return df.withColumn(f"{prefix}_status", status).withColumn(f"{prefix}_gene", gene)
 
-def _assign_by_rows(alignments: DataFrame, index: FeatureIndex) -> DataFrame:
+
+def _assign_by_rows(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig) -> DataFrame:
     """Any alignment: one row per aligned block and bin, overlap sums per (alignment, gene).
 
     All rows of an alignment are brought together once; both aggregations then reuse that
     partitioning. An alignment has few rows: its blocks times the genes they touch.
     """
-    columns = [c for c in alignments.columns if not c.startswith("_")]
-    blocks = alignments.select(*columns, "_least", F.col("_strand").alias("strand"), F.explode("_blocks").alias("_b"))
+    columns = alignments.columns
+    blocks = alignments.select(
+        *columns,
+        _least_bases(cfg).alias("_least"),
+        al.strand(F.col("flag")).alias("strand"),
+        F.explode(al.aligned_blocks(F.col("pos"), F.col("cigar"))).alias("_b"),
+    )
     pieces = clip_to_bins(
         blocks.withColumn("start", F.col("_b.start")).withColumn("end", F.col("_b.end")).drop("_b"),
         "start",
@@ -130,7 +151,7 @@ def _assign_by_rows(alignments: DataFrame, index: FeatureIndex) -> DataFrame:
     )
     touches = (F.col("start") <= F.col("f_end")) & (F.col("f_start") <= F.col("end"))
     joined = lookup_join(
-        pieces, index.rows, ["chrom", "strand", "bin"], "left", condition=touches, size=index.rows_size
+        pieces, index.rows, ["chrom", "strand", "bin"], "left", condition=touches, size=index.size
     )
     bases = F.coalesce(F.least("end", "f_end") - F.greatest("start", "f_start") + 1, F.lit(0))
     together = joined.select(*columns, "_least", "level", "gene_id", bases.alias("_bases")).repartition(
@@ -155,26 +176,22 @@ def _assign_by_rows(alignments: DataFrame, index: FeatureIndex) -> DataFrame:
     return counted.select(*columns, *out)
 
 
-def assign_levels(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig = AssignConfig()) -> DataFrame:
+def assign_levels(
+    alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig = AssignConfig(), exon_when=None
+) -> DataFrame:
     """A13 at both levels at once: adds ``tx_status, tx_gene, ex_status, ex_gene``.
 
     A gene counts when at least the minimum fraction of the read's bases lies on the union of its
-    features. The share is compared in whole bases, so there is no rounding.
+    features. The share is compared in whole bases, so there is no rounding. ``exon_when`` may limit
+    the exon level to rows that need it; elsewhere the exon status has no meaning.
     """
-    read_length = F.length("seq")
-    prepared = (
-        alignments.withColumn("_strand", al.strand(F.col("flag")))
-        .withColumn("_blocks", al.aligned_blocks(F.col("pos"), F.col("cigar")))
-        .withColumn("_least", F.greatest(F.ceil(read_length * F.lit(cfg.min_overlap_fraction)), F.lit(1)))
-    )
-    if index.per_bin is None:
-        return _assign_by_rows(prepared, index)
-    in_one_bin = (F.size("_blocks") == 1) & (
-        bin_of(F.col("_blocks")[0]["start"], index.bin_size) == bin_of(F.col("_blocks")[0]["end"], index.bin_size)
-    )
-    return _assign_in_row(prepared.filter(in_one_bin), index, cfg).unionByName(
-        _assign_by_rows(prepared.filter(~in_one_bin), index)
+    if index.windows is None:
+        return _assign_by_rows(alignments, index, cfg)
+    short_run = al.single_run(F.col("cigar")) & (al.run_length(F.col("cigar")) <= index.reach)
+    in_row = _assign_in_row(
+        alignments.filter(short_run), index, exon_when if exon_when is not None else F.lit(True), cfg
     )
+    return in_row.unionByName(_assign_by_rows(alignments.filter(~short_run), index, cfg))
 
 
 def assign_features(
@@ -254,13 +271,15 @@ def annotate(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig = Ass
     share one aggregation and one shuffle, and only multi-mapped alignments take part in it.
     """
     columns = alignments.columns
-    umr = assign_levels(filter_umr(alignments, cfg.max_mismatches), index, cfg)
-    tie_broken = (F.col("tx_status") == AMBIGUOUS) & (F.col("ex_status") == ASSIGNED)
+    ambiguous = F.col("tx_status") == AMBIGUOUS
+    umr = assign_levels(filter_umr(alignments, cfg.max_mismatches), index, cfg, exon_when=ambiguous)
+    tie_broken = ambiguous & (F.col("ex_status") == ASSIGNED)
     gene = F.when(F.col("tx_status") == ASSIGNED, F.col("tx_gene")).when(tie_broken, F.col("ex_gene"))
     unique = umr.withColumn("xt", gene).filter(F.col("xt").isNotNull()).select(*columns, "xt")
 
-    multi = assign_levels(filter_multimapped(alignments, cfg.max_mismatches), index, cfg)
-    candidates = multi.filter(F.col("tx_status").isin(ASSIGNED, AMBIGUOUS))
+    candidate = F.col("tx_status").isin(ASSIGNED, AMBIGUOUS)
+    multi = assign_levels(filter_multimapped(alignments, cfg.max_mismatches), index, cfg, exon_when=candidate)
+    candidates = multi.filter(candidate)
     read = ["sample", "read_name"]
     payload = F.struct("hi", *[c for c in columns if c not in read + ["hi"]])
     summary = candidates.groupBy(*read).agg(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellspark.plans.scale import materialize
+
 READ_LENGTH = 60
 GENE_LENGTH = 600
 EXON_OFFSETS = ((0, 149), (250, 399), (470, 599))
@@ -30,8 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores for an input with fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").selectExpr(
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    rows = _spread(table(spark, sf_dir, "lineitem").select(*columns)).selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         f"{CELL_NO} AS cell_no", f"{SAMPLE} AS sample", f"{READ_NAME} AS read_name",
     )
@@ -158,3 +167,16 @@ def alignments(spark: SparkSession, sf_dir: str, mixed: bool = False, copies: bo
         "hi",
         "cast(l_quantity % 5 AS INT) AS nm",
     )
+
+
+_staged: dict[tuple, DataFrame] = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, **options: bool) -> DataFrame:
+    """A domain table written once per session, standing in for the input files of a real run."""
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir, name, tuple(sorted(options.items())))
+    if key not in _staged:
+        makers = {"whitelist": whitelist, "reads": reads, "gtf": gtf, "alignments": alignments}
+        _staged[key] = materialize(makers[name](spark, sf_dir, **options))
+    return _staged[key]

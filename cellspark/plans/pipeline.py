@@ -33,7 +33,7 @@ def read_stage(reads: DataFrame, whitelist: DataFrame, corrections: DataFrame |
                cfg: EngineConfig = EngineConfig()) -> DataFrame:
     """Read pairs to QC rows; corrections are curated from the whitelist unless given."""
     known = corrections if corrections is not None else barcodes.curate_corrections(whitelist)
-    lookup = barcodes.barcode_lookup(whitelist, known)
+    lookup = materialize(barcodes.barcode_lookup(whitelist, known))
     return reads_qc.qc_reads(barcodes.match_barcodes(reads, lookup, cfg.qc), cfg.qc)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.config import GENOMES, CellConfig, EngineConfig
+from cellspark.config import GENOMES, AssignConfig, CellConfig, EngineConfig
 from cellspark.functions import alignments as al
 from cellspark.functions import names, sequences
 from cellspark.operators import (
@@ -29,8 +29,11 @@ from cellspark.plans.scale import materialize
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SINGLE = EngineConfig(genome=GENOMES["GRCh38"], cells=CellConfig(minimum_count_threshold=20.0))
-MIXED = EngineConfig(genome=GENOMES["mouse_human_mix"], cells=CellConfig(minimum_count_threshold=20.0))
+# The bridge packs a gene every 400 bases, so its annotation bins are narrow.
+ASSIGN = AssignConfig(bin_size=512)
+CELLS = CellConfig(minimum_count_threshold=20.0)
+SINGLE = EngineConfig(assign=ASSIGN, cells=CELLS, genome=GENOMES["GRCh38"])
+MIXED = EngineConfig(assign=ASSIGN, cells=CELLS, genome=GENOMES["mouse_human_mix"])
 DIGITS = 6
 
 
@@ -51,56 +54,72 @@ def _samples(spark: SparkSession, sf: str) -> DataFrame:
     return listed.withColumn("sample", F.explode(F.array("sample", F.lit("S9")))).distinct()
 
 
+def _reads(spark, sf):
+    return bridge.staged(spark, sf, "reads")
+
+
+def _whitelist(spark, sf):
+    return bridge.staged(spark, sf, "whitelist")
+
+
+def _gtf(spark, sf, mixed=False):
+    return bridge.staged(spark, sf, "gtf", mixed=mixed)
+
+
+def _alignments(spark, sf, mixed=False, copies=False):
+    return bridge.staged(spark, sf, "alignments", mixed=mixed, copies=copies)
+
+
 # --- reads -----------------------------------------------------------------------------------
 
 def _lookup(spark: SparkSession, sf: str) -> DataFrame:
-    wl = bridge.whitelist(spark, sf)
-    return barcodes.barcode_lookup(wl, barcodes.curate_corrections(wl))
+    wl = _whitelist(spark, sf)
+    return materialize(barcodes.barcode_lookup(wl, barcodes.curate_corrections(wl)))
 
 
 def _matched(spark: SparkSession, sf: str) -> DataFrame:
-    return barcodes.match_barcodes(bridge.reads(spark, sf), _lookup(spark, sf))
+    return barcodes.match_barcodes(_reads(spark, sf), _lookup(spark, sf))
 
 
 def _qc(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.read_stage(bridge.reads(spark, sf), bridge.whitelist(spark, sf))
+    return pipeline.read_stage(_reads(spark, sf), _whitelist(spark, sf))
 
 
 @query
 def hamming_variants(spark, sf):
-    return barcodes.hamming1_variants(bridge.whitelist(spark, sf)).select("barcode", "variant", "position")
+    return barcodes.hamming1_variants(_whitelist(spark, sf)).select("barcode", "variant", "position")
 
 
 @query
 def curated_corrections(spark, sf):
-    return barcodes.curate_corrections(bridge.whitelist(spark, sf))
+    return barcodes.curate_corrections(_whitelist(spark, sf))
 
 
 @query
 def correction_list(spark, sf):
-    rows = barcodes.correction_list(bridge.whitelist(spark, sf))
+    rows = barcodes.correction_list(_whitelist(spark, sf))
     return rows.select("row_no", "barcode", F.concat_ws(",", "variants").alias("variants"))
 
 
 @query
 def collisions(spark, sf):
-    return barcodes.collisions(bridge.whitelist(spark, sf))
+    return barcodes.collisions(_whitelist(spark, sf))
 
 
 @query
 def collision_stats(spark, sf):
-    return barcodes.collision_stats(bridge.whitelist(spark, sf))
+    return barcodes.collision_stats(_whitelist(spark, sf))
 
 
 @query
 def last_correction(spark, sf):
-    every = barcodes.hamming1_variants(bridge.whitelist(spark, sf)).filter("variant <> barcode")
+    every = barcodes.hamming1_variants(_whitelist(spark, sf)).filter("variant <> barcode")
     return barcodes.last_correction(every)
 
 
 @query
 def extract_barcode(spark, sf):
-    return barcodes.extract_barcode(bridge.reads(spark, sf)).select("sample", "header", "observed")
+    return barcodes.extract_barcode(_reads(spark, sf)).select("sample", "header", "observed")
 
 
 @query
@@ -116,7 +135,7 @@ def tag_read_name(spark, sf):
 
 @query
 def parse_barcode(spark, sf):
-    rows = bridge.alignments(spark, sf).select(
+    rows = _alignments(spark, sf).select(
         "sample", "hi", F.when(F.col("nm") == 1, F.concat("read_name", F.lit("x"))).otherwise(F.col("read_name")).alias("read_name")
     )
     counted = barcodes.parse_barcode(rows, rule="counting").withColumnRenamed("barcode", "counting")
@@ -125,14 +144,14 @@ def parse_barcode(spark, sf):
 
 @query
 def barcode_stats(spark, sf):
-    return barcodes.barcode_stats(bridge.reads(spark, sf), _lookup(spark, sf))
+    return barcodes.barcode_stats(_reads(spark, sf), _lookup(spark, sf))
 
 
 @query
 def trim_steps(spark, sf):
     """P5-P10 each on the raw read, independent of the cascade."""
     s = F.col("r1_seq")
-    return bridge.reads(spark, sf).select(
+    return _reads(spark, sf).select(
         "sample",
         "header",
         F.substring(s, 9, 100).alias("sss_trimmed"),
@@ -223,30 +242,30 @@ def qc_json_documents(spark, sf):
 
 @query
 def features(spark, sf):
-    return annotation.features(bridge.gtf(spark, sf)).select("gene_id", "gene_name", "chromosome")
+    return annotation.features(_gtf(spark, sf)).select("gene_id", "gene_name", "chromosome")
 
 
 @query
 def distinct_features(spark, sf):
-    return annotation.distinct_features(bridge.gtf(spark, sf))
+    return annotation.distinct_features(_gtf(spark, sf))
 
 
 @query
 def annotate_genes(spark, sf):
-    genes = annotation.features(bridge.gtf(spark, sf, mixed=True))
+    genes = annotation.features(_gtf(spark, sf, True))
     return matrix.annotate_genes(genes, MIXED.genome).drop("row_no")
 
 
 @query
 def gene_models(spark, sf):
-    models = annotation.gene_models(bridge.gtf(spark, sf))
+    models = annotation.gene_models(_gtf(spark, sf))
     return models.withColumn("block_sizes", F.concat_ws(",", F.transform("block_sizes", lambda b: b.cast("string")))).withColumn(
         "block_starts", F.concat_ws(",", F.transform("block_starts", lambda b: b.cast("string")))
     )
 
 
 def _regions(spark, sf):
-    return materialize(annotation.distribution_regions(annotation.gene_models(bridge.gtf(spark, sf))))
+    return materialize(annotation.distribution_regions(annotation.gene_models(_gtf(spark, sf))))
 
 
 @query
@@ -259,28 +278,28 @@ def region_bases(spark, sf):
 # --- alignments ------------------------------------------------------------------------------
 
 def _index(spark, sf, mixed=False):
-    return assign.feature_index(bridge.gtf(spark, sf, mixed))
+    return assign.feature_index(_gtf(spark, sf, mixed), ASSIGN)
 
 
 def _annotated(spark, sf, mixed=False, copies=False):
-    return assign.annotate(bridge.alignments(spark, sf, mixed, copies), _index(spark, sf, mixed))
+    return assign.annotate(_alignments(spark, sf, mixed, copies), _index(spark, sf, mixed))
 
 
 @query
 def overlap_join(spark, sf):
     """J7 as pairs: alignment spans and transcripts on the same strand that share bases."""
-    spans = bridge.alignments(spark, sf).select(
+    spans = _alignments(spark, sf).select(
         "sample", "read_name", "hi", "chrom", al.strand(F.col("flag")).alias("strand"), F.col("pos").alias("start"),
         al.reference_end(F.col("pos"), F.col("cigar")).alias("end"),
     )
-    transcripts = annotation.gene_intervals(bridge.gtf(spark, sf), "transcript")
+    transcripts = annotation.gene_intervals(_gtf(spark, sf), "transcript")
     pairs = intervals.overlap_join(spans, transcripts, ["chrom", "strand"], 4096)
     shared = F.least("end", "r_end") - F.greatest("start", "r_start") + 1
     return pairs.select("sample", "read_name", "hi", F.col("r_gene_id").alias("gene_id"), shared.alias("shared"))
 
 
 def _assigned(spark, sf, level):
-    return assign.assign_features(bridge.alignments(spark, sf), _index(spark, sf), level)
+    return assign.assign_features(_alignments(spark, sf), _index(spark, sf), level)
 
 
 @query
@@ -305,25 +324,25 @@ def gene_assignment_counts(spark, sf):
 
 @query
 def filter_umr(spark, sf):
-    return assign.filter_umr(bridge.alignments(spark, sf)).select("sample", "read_name", "flag", "chrom", "pos")
+    return assign.filter_umr(_alignments(spark, sf)).select("sample", "read_name", "flag", "chrom", "pos")
 
 
 @query
 def filter_multimapped(spark, sf):
-    return assign.filter_multimapped(bridge.alignments(spark, sf)).select("sample", "read_name", "hi", "chrom", "pos")
+    return assign.filter_multimapped(_alignments(spark, sf)).select("sample", "read_name", "hi", "chrom", "pos")
 
 
 @query
 def umr_tie_break(spark, sf):
     """Ambiguous unique alignments that one exon settles."""
     index = _index(spark, sf)
-    first = assign.assign_features(assign.filter_umr(bridge.alignments(spark, sf)), index, "transcript")
+    first = assign.assign_features(assign.filter_umr(_alignments(spark, sf)), index, "transcript")
     second = assign.assign_features(assign.filter_ambiguous(first), index, "exon")
     return assign.filter_assigned(second).select("sample", "read_name", "xt")
 
 
 def _resolve(spark, sf):
-    multi = assign.filter_multimapped(bridge.alignments(spark, sf))
+    multi = assign.filter_multimapped(_alignments(spark, sf))
     return assign.resolve_multimappers(assign.assign_features(multi, _index(spark, sf), "transcript"))
 
 
@@ -363,7 +382,7 @@ def dedup_stats(spark, sf):
 
 def _tables(spark, sf, cfg=SINGLE):
     mixed = cfg.genome.mixed_species
-    return pipeline.matrix_stage(_annotated(spark, sf, mixed), bridge.gtf(spark, sf, mixed), bridge.whitelist(spark, sf), cfg)
+    return pipeline.matrix_stage(_annotated(spark, sf, mixed), _gtf(spark, sf, mixed), _whitelist(spark, sf), cfg)
 
 
 @query
@@ -373,7 +392,7 @@ def events(spark, sf):
 
 @query
 def count_matrix(spark, sf):
-    return matrix.count_matrix(matrix.events(dedup.dedup(_annotated(spark, sf))), bridge.whitelist(spark, sf))
+    return matrix.count_matrix(matrix.events(dedup.dedup(_annotated(spark, sf))), _whitelist(spark, sf))
 
 
 @query
@@ -490,20 +509,20 @@ def cells_mixed(spark, sf):
 # --- metrics ---------------------------------------------------------------------------------
 
 def _raw_reads(spark, sf):
-    counted = bridge.reads(spark, sf).groupBy("sample").agg(F.count(F.lit(1)).alias("raw_reads"))
+    counted = _reads(spark, sf).groupBy("sample").agg(F.count(F.lit(1)).alias("raw_reads"))
     return reads_qc.route_samples(_samples(spark, sf), counted, "raw_reads").drop("has_reads")
 
 
 @query
 def route_samples(spark, sf):
-    counted = assign.filter_umr(bridge.alignments(spark, sf)).groupBy("sample").agg(F.count(F.lit(1)).alias("umr"))
+    counted = assign.filter_umr(_alignments(spark, sf)).groupBy("sample").agg(F.count(F.lit(1)).alias("umr"))
     return reads_qc.route_samples(_samples(spark, sf), counted, "umr")
 
 
 @query
 def categorize_reads(spark, sf):
     called = pipeline.cell_stage(_tables(spark, sf), cfg=SINGLE).cells
-    return metrics.categorize_reads(bridge.alignments(spark, sf), called, _raw_reads(spark, sf))
+    return metrics.categorize_reads(_alignments(spark, sf), called, _raw_reads(spark, sf))
 
 
 @query
@@ -531,7 +550,7 @@ def multiplets(spark, sf):
 
 
 def _tags(spark, sf, regions):
-    return materialize(metrics.tag_counts(bridge.alignments(spark, sf), regions))
+    return materialize(metrics.tag_counts(_alignments(spark, sf), regions))
 
 
 @query
@@ -557,8 +576,8 @@ def distribution_percent(spark, sf):
 def _metrics(spark, sf, cfg):
     mixed = cfg.genome.mixed_species
     return pipeline.metrics_stage(
-        _qc(spark, sf), bridge.alignments(spark, sf, mixed), bridge.gtf(spark, sf, mixed),
-        bridge.whitelist(spark, sf), _samples(spark, sf), cfg=cfg,
+        _qc(spark, sf), _alignments(spark, sf, mixed), _gtf(spark, sf, mixed),
+        _whitelist(spark, sf), _samples(spark, sf), cfg=cfg,
     )
 
 
