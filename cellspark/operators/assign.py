@@ -21,9 +21,6 @@ LEVELS = ("transcript", "exon")
 STATUS_COLUMNS = ("tx_status", "tx_gene", "ex_status", "ex_gene")
 
 
-PIECES = "array<struct<g:string,s:bigint,e:bigint>>"
-
-
 @dataclass(frozen=True)
 class FeatureIndex:
     """Annotation prepared for lookups by (chrom, strand, bin).
@@ -92,42 +89,50 @@ def _least_bases(cfg: AssignConfig):
     return F.greatest(F.ceil(al.read_length(F.col("cigar")) * F.lit(cfg.min_overlap_fraction)), F.lit(1))
 
 
-def _passing(pieces, start, end, least_bases):
-    """Ids of the genes whose pieces cover enough of [start, end]."""
-    near = F.filter(pieces, lambda p: (p["s"] <= end) & (p["e"] >= start))
+def _near(pieces: str):
+    """Pieces of an in-row array that share bases with the alignment."""
+    start, end = F.col("pos"), F.col("_end")
+    return F.filter(pieces, lambda p: (p["s"] <= end) & (p["e"] >= start))
+
+
+def _passing(near: str):
+    """Ids of the genes whose near pieces cover enough of the alignment."""
+    start, end = F.col("pos"), F.col("_end")
+    none = F.lit(0).cast("long")
 
     def covered(gene):
         return F.aggregate(
             near,
-            F.lit(0).cast("long"),
-            lambda acc, p: acc
-            + F.when(p["g"] == gene, F.least(p["e"], end) - F.greatest(p["s"], start) + 1).otherwise(F.lit(0).cast("long")),
+            none,
+            lambda acc, p: acc + F.when(p["g"] == gene, F.least(p["e"], end) - F.greatest(p["s"], start) + 1).otherwise(none),
         )
 
     genes = F.array_distinct(F.transform(near, lambda p: p["g"]))
-    return F.filter(genes, lambda g: covered(g) >= least_bases)
+    return F.filter(genes, lambda g: covered(g) >= F.col("_least"))
 
 
 def _assign_in_row(alignments: DataFrame, index: FeatureIndex, exon_when, cfg: AssignConfig) -> DataFrame:
     """Alignments of one short run: one broadcast lookup by the bin of their start, no shuffle."""
     columns = alignments.columns
-    keyed = (
-        alignments.withColumn("_end", F.col("pos") + al.run_length(F.col("cigar")) - 1)
-        .withColumn("_least", _least_bases(cfg))
-        .withColumn("strand", al.strand(F.col("flag")))
-        .withColumn("bin", bin_of(F.col("pos"), index.bin_size))
+    keyed = alignments.select(
+        "*",
+        (F.col("pos") + al.run_length(F.col("cigar")) - 1).alias("_end"),
+        _least_bases(cfg).alias("_least"),
+        al.strand(F.col("flag")).alias("strand"),
+        bin_of(F.col("pos"), index.bin_size).alias("bin"),
     )
     found = lookup_join(keyed, index.windows, ["chrom", "strand", "bin"], "left", size=index.size)
-    start, end, least = F.col("pos"), F.col("_end"), F.col("_least")
-    with_tx = _with_status(found.withColumn("_g", _passing(F.col("tx_pieces"), start, end, least)), "tx")
-    exons = F.when(exon_when, _passing(F.col("ex_pieces"), start, end, least))
-    with_ex = _with_status(with_tx.withColumn("_g", exons), "ex")
-    return with_ex.select(*columns, *STATUS_COLUMNS)
+    work = [*columns, "_end", "_least", "ex_pieces"]
+    near_tx = found.select(*work, _near("tx_pieces").alias("_n"))
+    with_tx = near_tx.select(*work, _passing("_n").alias("_g")).select(*work, *_status_of_array("tx"))
+    near_ex = with_tx.select("*", F.when(exon_when, _near("ex_pieces")).alias("_n"))
+    done = near_ex.select(*columns, "tx_status", "tx_gene", _passing("_n").alias("_g"))
+    return done.select(*columns, "tx_status", "tx_gene", *_status_of_array("ex"))
 
 
-def _with_status(df: DataFrame, prefix: str) -> DataFrame:
+def _status_of_array(prefix: str):
     status, gene = _status(F.coalesce(F.size("_g"), F.lit(0)), F.get(F.col("_g"), F.lit(0)))
-    return df.withColumn(f"{prefix}_status", status).withColumn(f"{prefix}_gene", gene)
+    return status.alias(f"{prefix}_status"), gene.alias(f"{prefix}_gene")
 
 
 def _assign_by_rows(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellspark.config import ReadQcConfig
 from cellspark.functions import names
-from cellspark.plans.scale import lookup_join
+from cellspark.plans.scale import BROADCAST_BYTES, footprint, lookup_join
 
 REPLACEMENTS = ("N", "A", "C", "G", "T")
 
@@ -125,9 +125,26 @@ def _status(observed: str, barcode: str):
     )
 
 
-def match_barcodes(reads: DataFrame, lookup: DataFrame, cfg: ReadQcConfig = ReadQcConfig()) -> DataFrame:
-    """P1+J1+J2: add ``observed``, ``barcode`` and ``barcode_status`` with a single lookup join."""
-    joined = lookup_join(extract_barcode(reads, cfg), lookup, ["observed"], "left")
+def match_barcodes(
+    reads: DataFrame, lookup: DataFrame, cfg: ReadQcConfig = ReadQcConfig(), max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """P1+J1+J2: add ``observed``, ``barcode`` and ``barcode_status``.
+
+    A lookup within the broadcast bound is joined in one step without moving the reads. A larger one
+    has about fifty corrections per barcode, so the exact barcodes are joined alone first; only the
+    reads they miss take part in the shuffled, salted join with the corrections.
+    """
+    observed = extract_barcode(reads, cfg)
+    size = footprint(lookup)
+    if size.bytes <= max_bytes:
+        joined = lookup_join(observed, lookup, ["observed"], "left", size=size, max_bytes=max_bytes)
+        return joined.withColumn("barcode_status", _status("observed", "barcode"))
+    is_exact = F.col("observed") == F.col("barcode")
+    exact, corrections = lookup.filter(is_exact), lookup.filter(~is_exact)
+    exact_size = footprint(exact)
+    hit = lookup_join(observed, exact, ["observed"], "inner", size=exact_size)
+    missed = lookup_join(observed, exact, ["observed"], "left_anti", size=exact_size)
+    joined = hit.unionByName(lookup_join(missed, corrections, ["observed"], "left", max_bytes=max_bytes))
     return joined.withColumn("barcode_status", _status("observed", "barcode"))
 
 

@@ -16,17 +16,27 @@ def dedup(alignments: DataFrame) -> DataFrame:
     minimum over a struct: copies collapse in each task before the shuffle, so a position with
     very many copies sends one row per task.
     """
-    columns = alignments.columns
-    order = [(-F.col("mapq")).alias("_mapq"), F.col("nh").alias("_nh"), F.col("read_name").alias("_name")]
-    keyed = alignments.filter(~al.has_flag(F.col("flag"), al.FLAG_UNMAPPED))
-    picked = keyed.groupBy(
-        F.col("sample").alias("_sample"),
-        F.col("chrom").alias("_chrom"),
-        al.has_flag(F.col("flag"), al.FLAG_REVERSE).alias("_reverse"),
-        al.five_prime(F.col("flag"), F.col("pos"), F.col("cigar")).alias("_five_prime"),
-        names.barcode_for_counting(F.col("read_name")).alias("_barcode"),
-    ).agg(F.min(F.struct(*order, *columns)).alias("_best"))
-    return picked.select(*[F.col(f"_best.{c}").alias(c) for c in columns])
+    keys = ["sample", "chrom"]
+    ranked = ["mapq", "nh", "read_name"]
+    rest = [c for c in alignments.columns if c not in keys + ranked]
+    best = F.min(F.struct((-F.col("mapq")).alias("_mapq"), "nh", "read_name", *rest))
+    picked = _keyed(alignments).groupBy(*keys, "_reverse", "_five_prime", "_barcode").agg(best.alias("_best"))
+    return picked.select(
+        *[
+            F.col(c) if c in keys else (-F.col("_best._mapq")).alias(c) if c == "mapq" else F.col(f"_best.{c}").alias(c)
+            for c in alignments.columns
+        ]
+    )
+
+
+def _keyed(alignments: DataFrame) -> DataFrame:
+    """Mapped alignments with the position and barcode parts of their deduplication key."""
+    return (
+        alignments.filter(~al.has_flag(F.col("flag"), al.FLAG_UNMAPPED))
+        .withColumn("_reverse", al.has_flag(F.col("flag"), al.FLAG_REVERSE))
+        .withColumn("_five_prime", al.five_prime(F.col("flag"), F.col("pos"), F.col("cigar")))
+        .withColumn("_barcode", names.barcode_for_counting(F.col("read_name")))
+    )
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -49,14 +59,8 @@ def with_saturation(stats: DataFrame) -> DataFrame:
 def dedup_stats_single_pass(alignments: DataFrame) -> DataFrame:
     """A18 from one pass: copies are counted per deduplication key, then keys per sample."""
     keys = (
-        alignments.filter(~al.has_flag(F.col("flag"), al.FLAG_UNMAPPED))
-        .groupBy(
-            "sample",
-            "chrom",
-            al.has_flag(F.col("flag"), al.FLAG_REVERSE).alias("_reverse"),
-            al.five_prime(F.col("flag"), F.col("pos"), F.col("cigar")).alias("_five_prime"),
-            names.barcode_for_counting(F.col("read_name")).alias("_barcode"),
-        )
+        _keyed(alignments)
+        .groupBy("sample", "chrom", "_reverse", "_five_prime", "_barcode")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     stats = keys.groupBy("sample").agg(

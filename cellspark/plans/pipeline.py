@@ -37,8 +37,14 @@ def read_stage(reads: DataFrame, whitelist: DataFrame, corrections: DataFrame |
     return reads_qc.qc_reads(barcodes.match_barcodes(reads, lookup, cfg.qc), cfg.qc)
 
 
+# Alignment columns the stages use; sequences and qualities are never read.
+ALIGNMENT_COLUMNS = ("sample", "read_name", "flag", "chrom", "pos", "mapq", "cigar", "nh", "hi", "nm")
+
+
 def annotate_stage(alignments: DataFrame, gtf: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
-    return assign.annotate(alignments, assign.feature_index(gtf, cfg.assign), cfg.assign)
+    """Alignments to annotated alignments with their gene in ``xt``."""
+    narrow = alignments.select(*ALIGNMENT_COLUMNS)
+    return assign.annotate(narrow, assign.feature_index(gtf, cfg.assign), cfg.assign)
 
 
 def matrix_stage(annotated: DataFrame, gtf: DataFrame, whitelist: DataFrame,

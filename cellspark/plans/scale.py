@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 32
 
 _local_roots: dict[str, str] = {}
@@ -79,6 +79,7 @@ def lookup_join(
     The lookup is measured first. Within ``max_bytes`` it is broadcast, so the big side is not
     shuffled. Beyond that both sides are shuffled on ``on`` plus a salt: rows of one hot key then
     spread over ``salts`` tasks, and each lookup row is repeated once per salt value.
+    The salt is a hash of the whole row, so rows need some column that tells them apart.
     ``condition`` is an extra predicate over non-key columns, which must be named differently.
     """
     size = size or footprint(small)

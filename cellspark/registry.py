@@ -67,7 +67,8 @@ def _gtf(spark, sf, mixed=False):
 
 
 def _alignments(spark, sf, mixed=False, copies=False):
-    return bridge.staged(spark, sf, "alignments", mixed=mixed, copies=copies)
+    rows = bridge.staged(spark, sf, "alignments", mixed=mixed, copies=copies)
+    return rows.select(*pipeline.ALIGNMENT_COLUMNS)
 
 
 # --- reads -----------------------------------------------------------------------------------
@@ -282,7 +283,8 @@ def _index(spark, sf, mixed=False):
 
 
 def _annotated(spark, sf, mixed=False, copies=False):
-    return assign.annotate(_alignments(spark, sf, mixed, copies), _index(spark, sf, mixed))
+    cfg = MIXED if mixed else SINGLE
+    return pipeline.annotate_stage(_alignments(spark, sf, mixed, copies), _gtf(spark, sf, mixed), cfg)
 
 
 @query

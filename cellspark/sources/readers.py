@@ -141,7 +141,7 @@ def read_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(T.StructType.fromDDL(METRICS_SCHEMA)).csv(f"{path}/*.metrics.csv", header=True)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.metrics\.csv$", 1)
     return rows.select(
-        F.url_decode(name).alias("sample"),
+        F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("sample"),
         "variable_name",
         F.col("value").try_cast("double").alias("value"),
         (~F.col("value").contains(".")).alias("is_integral"),

@@ -46,6 +46,8 @@ def test_exact_match_beats_correction(spark):
     data = reads(spark, [a, b, "NCGTACGTACGTA", "T" * 13, "ACGT"])
     got = [(r.barcode, r.barcode_status) for r in barcodes.match_barcodes(data, lookup).orderBy("header").collect()]
     assert got == [(a, "direct"), (b, "direct"), (b, "corrected"), (None, "failed"), (None, "too_short")]
+    large = barcodes.match_barcodes(data, lookup, max_bytes=0).orderBy("header")
+    assert [(r.barcode, r.barcode_status) for r in large.collect()] == got
     stats = barcodes.barcode_stats(data, lookup).first()
     assert (stats.total, stats.passed, stats.failed, stats.direct_match, stats.corrected) == (5, 3, 2, 2, 1)
 
