@@ -1,3 +1,4 @@
+import dataclasses
 import random
 from collections import defaultdict
 
@@ -5,8 +6,12 @@ import pytest
 
 from cellspark.config import AssignConfig
 from cellspark.operators import annotation, assign, dedup, intervals
+from cellspark.plans.scale import Footprint
 from tests.test_functions import walk
 
+# a size no broadcast bound allows: forces the shuffled, salted joins
+HUGE = Footprint(10**9, 10**15)
+
 ALN = "sample string, read_name string, flag int, chrom string, pos long, mapq int, cigar string, nh int, hi int, nm int"
 
 
@@ -74,6 +79,8 @@ def test_assignment_equals_brute_force_on_every_path(spark):
     for cfg in (AssignConfig(bin_size=256, bin_reach=64), AssignConfig(bin_size=256, max_pieces_per_bin=0), AssignConfig(bin_size=1024, bin_reach=30)):
         index = assign.feature_index(annotated, cfg)
         assert (index.windows is None) == (cfg.max_pieces_per_bin == 0)
+        if cfg.bin_size == 1024:
+            index = dataclasses.replace(index, size=HUGE)
         got = {
             (r.read_name, r.hi): ((r.tx_status, r.tx_gene), (r.ex_status, r.ex_gene))
             for r in assign.assign_levels(data, index, cfg).collect()
@@ -133,8 +140,11 @@ def test_overlap_join_pairs(spark):
     right = [(i, rng.choice("ab"), s, s + rng.randint(0, 500)) for i, s in ((i, rng.randint(1, 3000)) for i in range(80))]
     a = spark.createDataFrame(left, "l long, k string, start long, end long")
     b = spark.createDataFrame(right, "r long, k string, start long, end long")
-    got = sorted((r.l, r.r_r) for r in intervals.overlap_join(a, b, ["k"], 128).collect())
-    assert got == sorted((x[0], y[0]) for x in left for y in right if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
+    want = sorted((x[0], y[0]) for x in left for y in right if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
+    for size in (None, HUGE):
+        pairs = intervals.overlap_join(a, b, ["k"], 128, size=size)
+        assert sorted((r.l, r.r_r) for r in pairs.collect()) == want
+        assert pairs.columns == ["l", "k", "start", "end", "r_r", "r_start", "r_end"]
 
 
 def test_dedup(spark):

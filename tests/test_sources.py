@@ -137,3 +137,7 @@ def test_metrics_and_fastq_outputs(spark, tmp_path):
         assert sum(tree[f"read1_{part}_filtering"]["length_distribution"].values()) == total
     raw = {r["sample"]: r.raw_reads for r in profiles.raw_reads_from_json(documents).collect()}
     assert raw == {r["sample"]: r.raw_reads for r in cascade.collect()}
+    writers.write_qc_json(documents, str(tmp_path / "json"))
+    back = readers.read_qc_json(spark, str(tmp_path / "json")).filter("total_reads IS NOT NULL").collect()
+    before = documents.filter("kind <> 'R1 Post-QC'").count()
+    assert len(back) == before and sum(r.total_reads for r in back) == 2 * sum(raw.values())
