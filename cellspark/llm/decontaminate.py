@@ -97,7 +97,7 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_words: int,
     return [split.filter(F.col("part") == p).select("item", "text") for p in range(count)]
 
 
-def _search(window: int, tables, names: list[str]):
+def _search(window: int, tables, names: list[str], text: str, kept: list[str]):
     opened: list[list[Patterns]] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def _search(window: int, tables, names: list[str]):
             opened.append(build(list(enumerate(tables.value)), window))
         for batch in batches:
             counts, hits, items = [], [], []
-            for value in batch.column("_text").cast(pa.binary()):
+            for value in batch.column(text).cast(pa.binary()):
                 words = words_of(value.as_py())
                 covered: list[list[int]] = []
                 found: set[int] = set()
@@ -121,7 +121,6 @@ def _search(window: int, tables, names: list[str]):
                 pa.array(hits, pa.list_(pa.list_(pa.int32()))),
                 pa.array(items, pa.list_(pa.string())),
             ]
-            kept = [n for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in kept] + own, kept + ["n_words", "hits", "items"]
             )
@@ -161,7 +160,9 @@ def contamination(
     spark = docs.sparkSession
     ship(spark)
     carry = [c for c in carry or [] if c not in (id_col, "n_words", "hits", "items")]
-    columns = [F.col(id_col).alias(id_col), *carry, F.col(text_col).cast("string").alias("_text")]
+    text = text_col if text_col in (id_col, *carry) else "_text"
+    plain = [c for c in (id_col, *carry) if c != text]
+    columns = [*plain, F.col(text_col).cast("string").alias(text)]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(id_col, *carry).schema)
     schema = f"{kinds}, n_words long, hits array<array<int>>, items array<string>"
     parts = _parts(benchmark, item_col, item_text, part_words, window)
@@ -173,9 +174,8 @@ def contamination(
     for part in parts:
         rows = part.collect()  # at most part_words words
         tables = spark.sparkContext.broadcast([r["text"] for r in rows])
-        order = [c for c in source.columns if c not in (id_col, *carry, "_text")]
-        picked = source.select(id_col, *carry, *order, "_text")
-        found.append(picked.mapInArrow(_search(window, tables, [r["item"] for r in rows]), schema))
+        kept = [id_col, *carry, *(["_row"] if len(parts) > 1 else [])]
+        found.append(source.mapInArrow(_search(window, tables, [r["item"] for r in rows], text, kept), schema))
     if len(found) == 1:
         return found[0]
     merged = found[0]

@@ -98,11 +98,13 @@ def repeated_words(
     text_col: str = "text",
     length: int = LENGTH,
     carry: list[str] | None = None,
+    as_is: bool = False,
 ) -> DataFrame:
     """One row per input row: id_col, n_words, n_removed, kept, and the ``carry`` columns.
 
     Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage
-    return, unchanged. ``kept`` are the kept words joined by one space. A null text has no words. Equal
+    return, unchanged. ``kept`` are the kept words joined by one space; with ``as_is`` a text that loses nothing
+    stays as it is instead. A null text has no words. Equal
     ids are not smaller than each other; a null id is larger than any other. Texts of fewer than
     ``length`` words stay whole. Other columns are left out unless carried; a carried column named like a
     result column is left out too. ``length`` must be even.
@@ -179,6 +181,9 @@ def repeated_words(
                     a, b = words.bounds[i], words.bounds[i + 1]
                     if gone[a] != gone[b]:
                         own_words = [w for w, k in zip(own_words, keep[a:b].tolist()) if k]
+                    elif as_is:
+                        kept.append(block.document(i))
+                        continue
                     kept.append(b" ".join(own_words))
                 rest = unpack_rest(row)
                 arrays = [
