@@ -1,5 +1,111 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express.
+
+Language ID, packing, the seeded shuffle and SimHash are not among them (a trained model, a tokenizer, a
+random permutation, XXH64); their tests compare with brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP4 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT r, doc_id, x, length(x) // 2 AS n, unnest(range(length(x) // 2)) AS pos FROM d),
+w AS (SELECT r, pos, doc_id, min(doc_id) OVER (PARTITION BY substr(x, 2 * pos + 1, 100)) AS least
+      FROM p WHERE pos + 50 <= n),
+c AS (SELECT p.r, p.pos, substr(p.x, 2 * p.pos + 1, 2) AS b,
+             coalesce(max(CASE WHEN w.least < w.doc_id THEN 1 ELSE 0 END)
+               OVER (PARTITION BY p.r ORDER BY p.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM p LEFT JOIN w ON p.r = w.r AND p.pos = w.pos),
+s AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY pos) AS before FROM c),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans,
+             coalesce(string_agg(b, '' ORDER BY pos) FILTER (gone = 0), '') AS kept FROM s GROUP BY r)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+OP5 = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, upper(sha1(body)) AS h FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top,
+             list_transform(range(8), lambda g: ('0x' || substr(h, 5 * g + 1, 5))::BIGINT) AS parts FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(parts, lambda v:
+         substr('{_BASE32}', (v // 32768) % 32 + 1, 1) || substr('{_BASE32}', (v // 1024) % 32 + 1, 1) ||
+         substr('{_BASE32}', (v // 32) % 32 + 1, 1) || substr('{_BASE32}', v % 32 + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM m
+"""
+
+OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT r, doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM d),
+w AS (SELECT r, pos, doc_id, min(doc_id) OVER (PARTITION BY array_to_string(words[pos:pos + 49], ' ')) AS least
+      FROM p WHERE pos + 49 <= len(words)),
+c AS (SELECT p.r, p.pos, p.words[p.pos] AS word,
+             coalesce(max(CASE WHEN w.least < w.doc_id THEN 1 ELSE 0 END)
+               OVER (PARTITION BY p.r ORDER BY p.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM p LEFT JOIN w ON p.r = w.r AND p.pos = w.pos),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept
+      FROM c GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+OP7 = f"""
+WITH rules(host, path, action) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (SELECT page_id,
+             translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+             regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+f AS (SELECT u.page_id, u.host, u.path, r.host || r.path AS rule, r.action,
+             row_number() OVER (PARTITION BY u.page_id ORDER BY length(r.host || r.path) DESC) AS n
+      FROM u LEFT JOIN rules r
+        ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path))
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM f WHERE n = 1
+"""
+
+OP8 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+             vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP9 = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+iw AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, least(len(words), 10) AS n,
+              array_to_string(words[pos:pos + 9], ' ') AS key
+       FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM i WHERE len(words) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+p AS (SELECT r, unnest(range(1, len(words) + 1)) AS pos FROM d),
+h AS (SELECT r, pos, iw.n, iw.item
+      FROM (SELECT r, pos, l.n, array_to_string(words[pos:pos + l.n - 1], ' ') AS key
+            FROM p JOIN d USING (r), (SELECT DISTINCT n FROM iw) l WHERE pos + l.n - 1 <= len(words)) dw
+      JOIN iw ON dw.n = iw.n AND dw.key = iw.key),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(pos, pos + n)) AS place FROM h) GROUP BY r),
+its AS (SELECT r, count(DISTINCT item) AS n_items, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_array_dedup": OP4,
+    "op5_warc": OP5,
+    "op6_substring_dedup": OP6,
+    "op7_url_filters": OP7,
+    "op8_exact_top_k": OP8,
+    "op9_decontamination": OP9,
+}

@@ -6,11 +6,15 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cellspark.llm import packing
 from cellspark.llm.queries import TOKENIZER
 
+IDS, TOKENS = packing._Ids(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+
 
 def check(spark_rows, docs, capacity):
     tokenizer = Tokenizer.from_file(TOKENIZER)
@@ -56,6 +60,22 @@ def test_words_give_the_ids_of_the_text():
     assert packing._Ids(TOKENIZER).encode(texts) == expected
 
 
+def test_words_of_the_documents(documents, monkeypatch):
+    """Also when the memory of words overflows again and again."""
+    monkeypatch.setattr(packing, "MEMORY", 3000)
+    texts = [r.text for r in documents.collect()]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    ids = packing._Ids(TOKENIZER)
+    assert [x for at in range(0, len(texts), 9) for x in ids.encode(texts[at : at + 9])] == expected
+
+
+@given(st.lists(st.text(st.sampled_from("aB é́.,!?'s1Σσ İı\u212b\u00a0\n|ñ"), max_size=30), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_any_text(texts):
+    assert IDS.encode(texts) == [np.array(TOKENS.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_filling_is_best():
     rng = random.Random(4)
     for _ in range(200):
