@@ -35,14 +35,18 @@ END_ID = 1
 #: Branches that are looked at for one sequence.
 BRANCHES = 4000
 #: Distinct words whose ids a worker remembers, and the longest word that is remembered.
-MEMORY = 300_000
+MEMORY = 600_000
 LONGEST = 64
+#: Marks that end a word; each is a token of its own after letters.
+MARKS = ".,;:!?"
 
 
 class _Ids(dict):
     """Words to their token ids as little-endian 32-bit numbers.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words.
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its words;
+    those of a word of letters and one mark are those of the two. Words are remembered in two generations,
+    so that memory is bounded and frequent words stay.
     """
 
     def __init__(self, path: str):
@@ -50,26 +54,75 @@ class _Ids(dict):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [_latin_lower(t).replace("\n", " ").split(" ") for t in texts]
         new = {w for words in split for w in words if w not in self}
-        if len(self) + len(new) > MEMORY:
+        if len(self) + 2 * len(new) > MEMORY:
+            self.older = dict(self)
             self.clear()
             self[""] = b""
-            new = {w for words in split for w in words if w not in self}
-        long = {}
-        fresh = sorted(new)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (self if len(word) <= LONGEST else long)[word] = np.array(found.ids, "<u4").tobytes()
+            new = {w for words in split for w in words if w}
+        long = self._learn(new)
         if not long:
             return [b"".join(map(self.__getitem__, words)) for words in split]
         return [b"".join(self[w] if w in self else long[w] for w in words) for words in split]
 
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of the new words; those too long to remember are returned."""
+        marked = [w for w in new if w and w[-1] in MARKS and _letters(w[:-1])]
+        whole = (new.difference(marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}) - self.keys()
+        plain, other, long = [], [], {}
+        for word in whole:
+            known = self.older.get(word)
+            if known is not None:
+                self[word] = known
+            else:
+                (plain if len(word) <= LONGEST and _letters(word) else other).append(word)
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part):  # not a word each after all
+                other += part
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(part, (4 * ends).tolist()):
+                self[word] = data[begin:end]
+                begin = end
+        for at in range(0, len(other), 1000):
+            part = other[at : at + 1000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                (self if len(word) <= LONGEST else long)[word] = np.array(found.ids, "<u4").tobytes()
+        for word in marked:
+            core = word[:-1]
+            ids = (self[core] if core in self else long[core]) + self[word[-1]]
+            (self if len(word) <= LONGEST else long)[word] = ids
+        return long
+
+
+def _letters(word: str) -> bool:
+    """One token run of letters, also after lower-casing (which can split off a mark)."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
+def _latin_lower(text: str) -> str:
+    """Lower case where that is exactly what the tokenizer does first; else the text."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
+
 
 def pieces(
     docs: DataFrame,
