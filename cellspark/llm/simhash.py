@@ -8,7 +8,7 @@ that is radius 1 twice and equality once.
 
 A fingerprint is stored in its own table cell of each segment and looks into the cells of the small
 Hamming ball around it. Of two cells the one that is smaller as a number looks into the other, so a pair
-meets once. What meets in a cell is verified on all 64 bits.
+meets once. What meets in a cell is verified on all 64 bits. Cells where nothing is stored hold no pair.
 
 Distinct fingerprints go through the index, each with the smallest id of its documents. Cells with one
 entry are dropped after a count. A cell with very many entries (a large group of near copies) is cut into
@@ -101,7 +101,7 @@ def _cells(distance: int, segments: int):
                 here = fps[at : at + 4096]
                 for number, ((low, width, _), masks) in enumerate(zip(plan, flips)):
                     own = (here >> np.uint64(low)) & np.uint64((1 << width) - 1)
-                    cells, entries = [own], [here]
+                    cells, entries, stored = [own], [here], len(own)
                     for mask in masks:
                         near = own ^ np.uint64(mask)
                         up = near > own
@@ -113,8 +113,9 @@ def _cells(distance: int, segments: int):
                             pa.array(np.full(len(cell), number, np.int32)),
                             pa.array(cell),
                             pa.array(np.concatenate(entries).view(np.int64)),
+                            pa.array((np.arange(len(cell)) < stored).astype(np.int8)),
                         ],
-                        ["segment", "cell", "fp"],
+                        ["segment", "cell", "fp", "stored"],
                     )
 
     return run
@@ -202,8 +203,9 @@ def near_links(
     Every two fingerprints within the distance are connected by the links, directly or through others.
     """
     ship(fps.sparkSession)
-    cells = materialize(fps.select("fp").mapInArrow(_cells(distance, segments), "segment int, cell long, fp long"))
-    counts = cells.groupBy("segment", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    cells = materialize(fps.select("fp").mapInArrow(_cells(distance, segments), "segment int, cell long, fp long, stored byte"))
+    counts = cells.groupBy("segment", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("stored").alias("any"))
+    counts = counts.filter("n > 1 and any = 1").drop("any")
     blocks = F.ceil(F.col("n") / F.lit(cell_block)).cast("int")
     crowded = cells.join(counts, ["segment", "cell"]).withColumn("blocks", blocks)
     own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int")
