@@ -6,7 +6,8 @@ input, so both work on *blocks* and *anchors*.
 
 * A block is a packed row of about ``BLOCK_BYTES`` of text: document ids, lengths and the compressed
   texts. Blocks are written once, so a block number means the same documents in every later pass and
-  after every retry. The whole text is in it; documents are never cut.
+  after every retry, and bucketed by their number, so later joins with them move only the other side.
+  The whole text is in a block; documents are never cut.
 * Every window chooses one anchor: the shorter gram inside it with the smallest hash (the leftmost on
   ties). The choice depends on the window's content only, so equal windows choose equal anchors at
   equal offsets. One anchor serves a run of neighbouring windows, about one per (window - gram) / 2.
@@ -19,6 +20,7 @@ Later steps judge the windows of surviving anchors exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.llm.common import ship
-from cellspark.plans.scale import materialize
+from cellspark.plans.scale import checkpoint_root, materialize
 
 BLOCK_BYTES = 2 << 20
 #: Bytes of text whose anchors one group of the exchange holds.
@@ -189,11 +191,19 @@ def pack(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> tuple
 
     ``carry`` columns travel as they are and come back with ``unpack_rest``.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     columns = [F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")]
-    packed = materialize(docs.select(*columns, *carry, F.lit(0).alias("_row")).mapInArrow(_pack, PACKED))
-    size = packed.agg(F.sum("size")).first()[0] or 0
-    return packed, max(4, -(-size // GROUP_BYTES))
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    groups = max(4, -(-size // GROUP_BYTES))
+    packed = docs.select(*columns, *carry, F.lit(0).alias("_row")).mapInArrow(_pack, PACKED)
+    name = f"blocks_{uuid.uuid4().hex}"
+    writer = packed.repartition(groups, "block").write.bucketBy(groups, "block").sortBy("block")
+    writer.option("path", f"{checkpoint_root(spark)}/{name}").saveAsTable(name)
+    blocks = spark.table(name)
+    # the name was only needed to say how the files are bucketed; they stay, as the table is external
+    spark.sql(f"DROP TABLE {name}")
+    return blocks, groups
 
 
 def unpack_rest(row: dict) -> pa.Table:
