@@ -220,9 +220,12 @@ def _normalise(folder: str):
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """archive, records: the archives rewritten with a member per record, each with its ``.idx`` sidecar."""
     ship(archives.sparkSession)
-    return materialize(
-        archives.repartition(F.col("archive")).mapInArrow(_normalise(folder), "archive string, records long")
-    )
+    return materialize(_one_each(archives).mapInArrow(_normalise(folder), "archive string, records long"))
+
+
+def _one_each(archives: DataFrame) -> DataFrame:
+    """The names of archives, dealt out so that each is a task's work however small the rows are."""
+    return archives.select("archive").repartition(max(1, archives.count()))
 
 
 def _read(folder: str):
@@ -276,7 +279,7 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
     schema = (
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     )
-    return archives.select("archive").repartition(F.col("archive")).mapInArrow(_read(folder), schema)
+    return _one_each(archives).mapInArrow(_read(folder), schema)
 
 
 def new_folder(spark: SparkSession) -> str:
