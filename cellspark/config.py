@@ -30,11 +30,11 @@ class AssignConfig:
     min_overlap_fraction: float = 0.5
     stranded: bool = True
     max_mismatches: int = 3
-    # Width of an annotation bin, and how far a lookup may reach into the next bin. Genomes with
-    # densely packed genes are served better by narrower bins.
+    # Width of an annotation bin, and how far a lookup may reach into the next bin (at most the width).
+    # Genomes with densely packed genes are served better by narrower bins.
     bin_size: int = 4096
     bin_reach: int = 512
-    # The in-row lookup is used only if no annotation bin holds more gene pieces than this.
+    # Annotation bins with more gene pieces than this are looked up piece by piece instead of in the row.
     max_pieces_per_bin: int = 256
     strict_ids: bool = False
 

@@ -16,6 +16,8 @@ from cellspark.plans.scale import Footprint, lookup_join, materialize
 ASSIGNED = "Assigned"
 AMBIGUOUS = "Unassigned_Ambiguity"
 NO_FEATURES = "Unassigned_NoFeatures"
+# an alignment without an aligned block, such as an unmapped read
+UNMAPPED = "Unassigned_Unmapped"
 
 LEVELS = ("transcript", "exon")
 STATUS_COLUMNS = ("tx_status", "tx_gene", "ex_status", "ex_gene")
@@ -27,56 +29,67 @@ class FeatureIndex:
 
     ``rows``: ``chrom, strand, bin, level, gene_id, f_start, f_end`` with disjoint pieces per gene.
     ``windows``: per bin, the pieces in it and in the first bases of the next bin, as one array per
-    level; None if some bin is too dense for that.
+    level. Bins with too many pieces for that are listed in ``dense`` instead (None if there are none).
     """
 
     rows: DataFrame
-    windows: DataFrame | None
+    windows: DataFrame
+    dense: DataFrame | None
     size: Footprint
+    windows_size: Footprint
     bin_size: int
     reach: int
 
 
+BIN = ("chrom", "strand", "bin")
+
+
 def feature_index(gtf: DataFrame, cfg: AssignConfig = AssignConfig()) -> FeatureIndex:
     """Index the transcripts and exons of an annotation.
 
     A gene's features of one type are united first, so nothing is counted twice. The index is
-    written once to the shared folder; its size and densest bin are then measured in one job.
+    written once to the shared folder; its size and dense bins are then measured in one job. A lookup
+    never reaches over a whole bin, so the reach is at most the bin size.
     """
     spans = gene_intervals(gtf, *LEVELS).withColumnRenamed("feature", "level")
     if not cfg.stranded:
         spans = spans.withColumn("strand", F.explode(F.array(F.lit("+"), F.lit("-"))))
     pieces = binned_union(spans, ["chrom", "strand", "level", "gene_id"], cfg.bin_size)
     rows = materialize(
-        pieces.select(
-            "chrom", "strand", "bin", "level", "gene_id", F.col("start").alias("f_start"), F.col("end").alias("f_end")
-        )
+        pieces.select(*BIN, "level", "gene_id", F.col("start").alias("f_start"), F.col("end").alias("f_end"))
     )
-    dense = (
-        rows.groupBy("chrom", "strand", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("gene_id") + F.octet_length("chrom") + 128).alias("b"))
-        .agg(F.max("n").alias("densest"), F.sum("n").alias("rows"), F.sum("b").alias("bytes"))
-        .first()
+    reach = min(cfg.bin_reach, cfg.bin_size)
+    border = F.col("bin") * cfg.bin_size
+    reached = rows.filter(F.col("f_start") < border + reach).select(
+        "chrom",
+        "strand",
+        (F.col("bin") - 1).alias("bin"),
+        "level",
+        "gene_id",
+        "f_start",
+        F.least("f_end", border + (reach - 1)).alias("f_end"),
     )
-    size = Footprint(dense["rows"] or 0, dense["bytes"] or 0)
-    windows = None
-    if (dense["densest"] or 0) <= cfg.max_pieces_per_bin:
-        border = F.col("bin") * cfg.bin_size
-        reached = rows.filter(F.col("f_start") < border + cfg.bin_reach).select(
-            "chrom",
-            "strand",
-            (F.col("bin") - 1).alias("bin"),
-            "level",
-            "gene_id",
-            "f_start",
-            F.least("f_end", border + (cfg.bin_reach - 1)).alias("f_end"),
-        )
-        piece = F.struct(F.col("gene_id").alias("g"), F.col("f_start").alias("s"), F.col("f_end").alias("e"))
-        windows = rows.unionByName(reached).groupBy("chrom", "strand", "bin").agg(
-            F.collect_list(F.when(F.col("level") == LEVELS[0], piece)).alias("tx_pieces"),
-            F.collect_list(F.when(F.col("level") == LEVELS[1], piece)).alias("ex_pieces"),
-        )
-    return FeatureIndex(rows, windows, size, cfg.bin_size, cfg.bin_reach)
+    held = rows.withColumn("own", F.lit(1)).unionByName(reached.withColumn("own", F.lit(0)))
+    per_bin = held.groupBy(*BIN).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("own").alias("own"),
+        F.sum(F.octet_length("gene_id") + F.octet_length("chrom") + 128).alias("b"),
+    )
+    crowded = F.col("n") > cfg.max_pieces_per_bin
+    seen = per_bin.agg(
+        F.count_if(crowded).alias("dense"), F.sum("own").alias("rows"), F.sum("n").alias("n"), F.sum("b").alias("bytes")
+    ).first()
+    size = Footprint(seen["rows"] or 0, seen["bytes"] or 0)
+    dense = None
+    if seen["dense"]:
+        dense = materialize(per_bin.filter(crowded).select(*BIN))
+        held = held.join(dense, list(BIN), "left_anti")
+    piece = F.struct(F.col("gene_id").alias("g"), F.col("f_start").alias("s"), F.col("f_end").alias("e"))
+    windows = held.groupBy(*BIN).agg(
+        F.collect_list(F.when(F.col("level") == LEVELS[0], piece)).alias("tx_pieces"),
+        F.collect_list(F.when(F.col("level") == LEVELS[1], piece)).alias("ex_pieces"),
+    )
+    return FeatureIndex(rows, windows, dense, size, Footprint(seen["n"] or 0, seen["bytes"] or 0), cfg.bin_size, reach)
 
 
 def _status(count, gene):
@@ -112,22 +125,27 @@ def _passing(near: str):
 
 
 def _assign_in_row(alignments: DataFrame, index: FeatureIndex, exon_when, cfg: AssignConfig) -> DataFrame:
-    """Alignments of one short run: one broadcast lookup by the bin of their start, no shuffle."""
-    columns = alignments.columns
+    """Alignments of one short run or of none: one broadcast lookup by the bin of their start, no shuffle."""
+    columns = [c for c in alignments.columns if c not in ("strand", "bin")]
     keyed = alignments.select(
         "*",
         (F.col("pos") + al.run_length(F.col("cigar")) - 1).alias("_end"),
         _least_bases(cfg).alias("_least"),
-        al.strand(F.col("flag")).alias("strand"),
-        bin_of(F.col("pos"), index.bin_size).alias("bin"),
     )
-    found = lookup_join(keyed, index.windows, ["chrom", "strand", "bin"], "left", size=index.size)
+    found = lookup_join(keyed, index.windows, list(BIN), "left", size=index.windows_size)
     work = [*columns, "_end", "_least", "ex_pieces"]
     near_tx = found.select(*work, _near("tx_pieces").alias("_n"))
     with_tx = near_tx.select(*work, _passing("_n").alias("_g")).select(*work, *_status_of_array("tx"))
     near_ex = with_tx.select("*", F.when(exon_when, _near("ex_pieces")).alias("_n"))
     done = near_ex.select(*columns, "tx_status", "tx_gene", _passing("_n").alias("_g"))
-    return done.select(*columns, "tx_status", "tx_gene", *_status_of_array("ex"))
+    decided = done.select(*columns, "tx_status", "tx_gene", *_status_of_array("ex"))
+    found_out = {c: F.when(_aligned(), F.col(c)).otherwise(F.lit(UNMAPPED)) for c in ("tx_status", "ex_status")}
+    genes = {c: F.when(_aligned(), F.col(c)) for c in ("tx_gene", "ex_gene")}
+    return decided.withColumns(found_out | genes)
+
+
+def _aligned():
+    return F.coalesce(F.col("pos").isNotNull() & F.col("cigar").rlike("[M=X]"), F.lit(False))
 
 
 def _status_of_array(prefix: str):
@@ -136,13 +154,16 @@ def _status_of_array(prefix: str):
 
 
 def _assign_by_rows(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfig) -> DataFrame:
-    """Any alignment: one row per aligned block and bin, overlap sums per (alignment, gene).
+    """Any aligned alignment: one row per aligned block and bin, overlap sums per (alignment, gene).
 
-    All rows of an alignment are brought together once; both aggregations then reuse that
-    partitioning. An alignment has few rows: its blocks times the genes they touch.
+    Equal alignments are counted first and repeated at the end, so each keeps a status of its own; the
+    overlap sums reuse that partitioning where the index is broadcast. An alignment has few rows: its
+    blocks times the genes they touch.
     """
-    columns = alignments.columns
-    blocks = alignments.select(
+    given = [c for c in alignments.columns if c not in ("strand", "bin")]
+    columns = [*given, "_copies"]
+    distinct = alignments.groupBy(*given).agg(F.count(F.lit(1)).alias("_copies"))
+    blocks = distinct.select(
         *columns,
         _least_bases(cfg).alias("_least"),
         al.strand(F.col("flag")).alias("strand"),
@@ -156,12 +177,10 @@ def _assign_by_rows(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfi
     )
     touches = (F.col("start") <= F.col("f_end")) & (F.col("f_start") <= F.col("end"))
     joined = lookup_join(
-        pieces, index.rows, ["chrom", "strand", "bin"], "left", condition=touches, size=index.size
+        pieces, index.rows, list(BIN), "left", condition=touches, size=index.size
     )
     bases = F.coalesce(F.least("end", "f_end") - F.greatest("start", "f_start") + 1, F.lit(0))
-    together = joined.select(*columns, "_least", "level", "gene_id", bases.alias("_bases")).repartition(
-        *[F.col(c) for c in columns]
-    )
+    together = joined.select(*columns, "_least", "level", "gene_id", bases.alias("_bases"))
     per_gene = together.groupBy(*columns, "_least", "level", "gene_id").agg(F.sum("_bases").alias("_bases"))
     enough = F.col("gene_id").isNotNull() & (F.col("_bases") >= F.col("_least"))
     counted = per_gene.groupBy(*columns, "_least").agg(
@@ -178,7 +197,8 @@ def _assign_by_rows(alignments: DataFrame, index: FeatureIndex, cfg: AssignConfi
     for prefix in ("tx", "ex"):
         status, gene = _status(F.col(f"_{prefix}_n"), F.col(f"_{prefix}_g"))
         out += [status.alias(f"{prefix}_status"), gene.alias(f"{prefix}_gene")]
-    return counted.select(*columns, *out)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
+    return counted.select(*columns, *out).select("*", again).drop("_copies", "_copy")
 
 
 def assign_levels(
@@ -187,16 +207,24 @@ def assign_levels(
     """A13 at both levels at once: adds ``tx_status, tx_gene, ex_status, ex_gene``.
 
     A gene counts when at least the minimum fraction of the read's bases lies on the union of its
-    features. The share is compared in whole bases, so there is no rounding. ``exon_when`` may limit
+    features. The share is compared in whole bases, so there is no rounding. An alignment without an
+    aligned block gets the status ``Unassigned_Unmapped``. ``exon_when`` may limit
     the exon level to rows that need it; elsewhere the exon status has no meaning.
     """
-    if index.windows is None:
-        return _assign_by_rows(alignments, index, cfg)
-    short_run = al.single_run(F.col("cigar")) & (al.run_length(F.col("cigar")) <= index.reach)
-    in_row = _assign_in_row(
-        alignments.filter(short_run), index, exon_when if exon_when is not None else F.lit(True), cfg
+    aligned = _aligned()
+    keyed = alignments.withColumns(
+        {"strand": al.strand(F.col("flag")), "bin": bin_of(F.col("pos"), index.bin_size)}
     )
-    return in_row.unionByName(_assign_by_rows(alignments.filter(~short_run), index, cfg))
+    short_run = al.single_run(F.col("cigar")) & (al.run_length(F.col("cigar")) <= index.reach)
+    in_row = ~aligned | F.coalesce(short_run, F.lit(False))
+    if index.dense is not None:  # alignments that start in a dense bin go the long way, no others
+        marked = index.dense.withColumn("_dense", F.lit(True))
+        keyed = lookup_join(keyed, marked, list(BIN), "left")
+        in_row = ~aligned | (in_row & F.col("_dense").isNull())
+    exon_when = exon_when if exon_when is not None else F.lit(True)
+    short = keyed.filter(in_row).drop("_dense")
+    long = keyed.filter(~in_row).drop("_dense")
+    return _assign_in_row(short, index, exon_when, cfg).unionByName(_assign_by_rows(long, index, cfg))
 
 
 def assign_features(

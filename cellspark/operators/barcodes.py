@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellspark.config import ReadQcConfig
 from cellspark.functions import names
-from cellspark.plans.scale import BROADCAST_BYTES, footprint, lookup_join
+from cellspark.plans.scale import BROADCAST_BYTES, footprint, lookup_join, materialize
 
 REPLACEMENTS = ("N", "A", "C", "G", "T")
 
@@ -131,8 +131,9 @@ def match_barcodes(
     """P1+J1+J2: add ``observed``, ``barcode`` and ``barcode_status``.
 
     A lookup within the broadcast bound is joined in one step without moving the reads. A larger one
-    has about fifty corrections per barcode, so the exact barcodes are joined alone first; only the
-    reads they miss take part in the shuffled, salted join with the corrections.
+    has about fifty corrections per barcode, so the exact barcodes are joined alone first. The barcodes
+    they miss are reduced to distinct values, which find their corrections in a plain join, and that
+    small result is joined back by its measured size. The correction list is never repeated.
     """
     observed = extract_barcode(reads, cfg)
     size = footprint(lookup)
@@ -141,11 +142,12 @@ def match_barcodes(
         return joined.withColumn("barcode_status", _status("observed", "barcode"))
     is_exact = F.col("observed") == F.col("barcode")
     exact, corrections = lookup.filter(is_exact), lookup.filter(~is_exact)
-    exact_size = footprint(exact)
-    hit = lookup_join(observed, exact, ["observed"], "inner", size=exact_size)
-    missed = lookup_join(observed, exact, ["observed"], "left_anti", size=exact_size)
-    joined = hit.unionByName(lookup_join(missed, corrections, ["observed"], "left", max_bytes=max_bytes))
-    return joined.withColumn("barcode_status", _status("observed", "barcode"))
+    matched = lookup_join(observed, exact, ["observed"], "left", max_bytes=max_bytes)
+    missed = matched.filter(F.col("barcode").isNull() & F.col("observed").isNotNull()).select("observed").distinct()
+    found = materialize(missed.join(corrections.withColumnRenamed("barcode", "_found"), "observed"))
+    joined = lookup_join(matched, found, ["observed"], "left", max_bytes=max_bytes)
+    whole = joined.withColumn("barcode", F.coalesce("barcode", "_found")).drop("_found")
+    return whole.withColumn("barcode_status", _status("observed", "barcode"))
 
 
 def tag_read_name(matched: DataFrame) -> DataFrame:

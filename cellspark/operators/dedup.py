@@ -9,22 +9,25 @@ from cellspark.functions import alignments as al
 from cellspark.functions import names
 
 
-def dedup(alignments: DataFrame) -> DataFrame:
+def dedup(alignments: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One alignment per (sample, chrom, strand, 5' position, cell barcode).
 
     The kept alignment has the highest MAPQ, then the lowest NH, then the first name. It is a
     minimum over a struct: copies collapse in each task before the shuffle, so a position with
-    very many copies sends one row per task.
+    very many copies sends one row per task. ``keep`` names the columns the result needs; only they,
+    the key and the ranking are shuffled.
     """
     keys = ["sample", "chrom"]
     ranked = ["mapq", "nh", "read_name"]
-    rest = [c for c in alignments.columns if c not in keys + ranked]
+    wanted = [c for c in alignments.columns if keep is None or c in keep]
+    # a gene comes first, so that full ties are broken alike whatever else is kept
+    rest = sorted((c for c in wanted if c not in keys + ranked), key=lambda c: c != "xt")
     best = F.min(F.struct((-F.col("mapq")).alias("_mapq"), "nh", "read_name", *rest))
     picked = _keyed(alignments).groupBy(*keys, "_reverse", "_five_prime", "_barcode").agg(best.alias("_best"))
     return picked.select(
         *[
             F.col(c) if c in keys else (-F.col("_best._mapq")).alias(c) if c == "mapq" else F.col(f"_best.{c}").alias(c)
-            for c in alignments.columns
+            for c in wanted
         ]
     )
 

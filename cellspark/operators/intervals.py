@@ -48,10 +48,9 @@ def overlap_join(
     right: DataFrame,
     keys: list[str],
     bin_size: int,
-    how: str = "inner",
     size: Footprint | None = None,
 ) -> DataFrame:
-    """Pairs of rows whose [start, end] intervals overlap and whose ``keys`` agree.
+    """Inner join: pairs of rows whose [start, end] intervals overlap and whose ``keys`` agree.
 
     Both sides are repeated once per bin they touch and joined on (keys, bin); a pair is kept only
     in its first shared bin, so no duplicate removal is needed. Columns of ``right`` other than the
@@ -67,5 +66,5 @@ def overlap_join(
     overlaps = (F.col("start") <= F.col("r_end")) & (F.col("r_start") <= F.col("end"))
     first_shared = bin_of(F.greatest("start", "r_start"), bin_size) == F.col("_bin")
     left_rows = l_bins.withColumn("_bin", F.col("bin"))
-    joined = lookup_join(left_rows, r_bins, keys + ["bin"], how, condition=overlaps & first_shared, size=size)
+    joined = lookup_join(left_rows, r_bins, keys + ["bin"], "inner", condition=overlaps & first_shared, size=size)
     return joined.drop("bin", "_bin")

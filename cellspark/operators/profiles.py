@@ -43,20 +43,45 @@ def read_summary(reads: DataFrame) -> DataFrame:
     )
 
 
+#: Positions that one row of the profile's aggregation holds side by side.
+STRIDE = 15
+
+
 def position_profile(reads: DataFrame) -> DataFrame:
-    """Base, quality, GC and N sums per (sample, kind, position), in one pass over the bases.
+    """Base, quality, GC and N sums per (sample, kind, position), in one pass.
 
-    Bases are combined per task, so the shuffle carries one row per task and position.
+    A read becomes a row per ``STRIDE`` positions, whose sums are columns, so there is no row per base.
+    Rows are combined per task; the shuffle carries one row per task and stride.
     """
-    pairs = F.arrays_zip(F.split("seq", "").alias("b"), F.split("qual", "").alias("q"))
-    bases = reads.filter(F.length("seq") > 0).select("sample", "kind", F.posexplode(pairs).alias("_i", "_c"))
-    base, quality = F.col("_c.b"), F.col("_c.q")
-    return bases.groupBy("sample", "kind", (F.col("_i") + 1).alias("position")).agg(
-        F.count(F.lit(1)).alias("bases"),
-        F.sum(F.ascii(quality) - F.lit(sq.PHRED_OFFSET)).alias("quality_sum"),
-        F.count_if(base.isin("G", "C")).alias("gc"),
-        F.count_if(base == "N").alias("n"),
+    last = F.floor((F.length("seq") - 1) / STRIDE).cast("int")
+    cut = reads.filter(F.length("seq") > 0).select(
+        "sample", "kind", "seq", "qual", F.explode(F.sequence(F.lit(0), last)).alias("_c")
+    )
+    begin = F.col("_c") * STRIDE + 1
+    pieces = cut.select(
+        "sample", "kind", "_c", *[F.substring(c, begin, F.lit(STRIDE)).alias(c) for c in ("seq", "qual")]
     )
+    sums = []
+    for i in range(1, STRIDE + 1):
+        base, quality = F.substring("seq", i, 1), F.ascii(F.substring("qual", i, 1))
+        sums += [
+            F.count_if(base != "").alias(f"_bases{i}"),
+            F.sum(F.when(base != "", quality - F.lit(sq.PHRED_OFFSET))).alias(f"_quality{i}"),
+            F.count_if(base.isin("G", "C")).alias(f"_gc{i}"),
+            F.count_if(base == "N").alias(f"_n{i}"),
+        ]
+    summed = pieces.groupBy("sample", "kind", "_c").agg(*sums)
+    rows = [
+        F.struct(
+            (F.col("_c") * STRIDE + i).alias("position"),
+            F.col(f"_bases{i}").alias("bases"),
+            F.col(f"_quality{i}").alias("quality_sum"),
+            F.col(f"_gc{i}").alias("gc"),
+            F.col(f"_n{i}").alias("n"),
+        )
+        for i in range(1, STRIDE + 1)
+    ]
+    return summed.select("sample", "kind", F.inline(F.array(*rows))).filter("bases > 0")
 
 
 def quality_curve(profile: DataFrame) -> DataFrame:

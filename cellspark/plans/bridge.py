@@ -24,9 +24,6 @@ READ_NAME = (
 BASE4 = "reverse(translate(lpad(conv({n}, 10, 4), 13, '0'), '0123', 'ACGT'))"
 BARCODE = BASE4.format(n="cell_no * 7919 + 12345")
 
-# Samples of the bridge; a real run takes them from its sample sheet.
-SAMPLES = ["S0", "S1", "S2"]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,9 +45,20 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct barcodes of nine in ten cell numbers, with a list position."""
+    """Distinct barcodes of nine in ten cell numbers, and some neighbours, with a list position."""
     cells = table(spark, sf_dir, "lineitem").selectExpr(f"{CELL_NO} AS cell_no").distinct()
-    return cells.filter("cell_no % 10 <> 9").selectExpr(f"{BARCODE} AS barcode", "cell_no AS row_no")
+    listed = cells.filter("cell_no % 10 <> 9").selectExpr(f"{BARCODE} AS barcode", "cell_no AS row_no")
+    # neighbours one base away, so that variants collide
+    near = listed.filter("row_no % 50 = 0").selectExpr(
+        "concat(translate(substr(barcode, 1, 1), 'ACGT', 'CGTA'), substr(barcode, 2)) AS barcode", "row_no + 100000 AS row_no"
+    )
+    return listed.unionByName(near.join(listed.select("barcode"), "barcode", "left_anti"))
+
+
+def sample_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Names of the sample table, as a run takes them from its sample sheet."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(f"{SAMPLE} AS sample").distinct()
+    return sorted(r["sample"] for r in rows.collect())
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ def matrix_stage(annotated: DataFrame, gtf: DataFrame, whitelist: DataFrame,
                  cfg: EngineConfig = EngineConfig()) -> MatrixTables:
     """Annotated alignments to sparse counts, gene flags and per-barcode totals."""
     genes = matrix.annotate_genes(annotation.features(gtf), cfg.genome)
-    kept = matrix.events(dedup.dedup(annotated), cfg.assign)
+    kept = matrix.events(dedup.dedup(annotated, keep=["sample", "read_name", "xt"]), cfg.assign)
     counts = materialize(matrix.count_matrix(kept, whitelist))
     totals = matrix.cell_totals(counts, genes if cfg.genome.mixed_species else None)
     return MatrixTables(genes, counts, totals)

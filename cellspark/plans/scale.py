@@ -1,6 +1,6 @@
 """Building blocks that keep plans safe at scale.
 
-* ``materialize``: cut lineage with a table in the shared checkpoint folder.
+* ``materialize``: cut lineage with a table in the shared checkpoint folder; ``stage_tables`` removes them.
 * ``lookup_join``: broadcast a side only after measuring it, salt otherwise.
 * ``number_rows``: 1..n numbering inside a group without sorting the group in one task.
 """
@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 32
 
 _local_roots: dict[str, str] = {}
+_stage_paths: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -39,10 +42,27 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
+    _stage_paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``materialize`` wrote inside the block, when it ends.
+
+    Write or collect what you need before that: results that were not, can no longer be computed.
+    """
+    before = len(_stage_paths)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        while len(_stage_paths) > before:
+            path = jvm.org.apache.hadoop.fs.Path(_stage_paths.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @dataclass(frozen=True)
 class Footprint:
     rows: int
@@ -81,7 +101,10 @@ def lookup_join(
     spread over ``salts`` tasks, and each lookup row is repeated once per salt value.
     The salt is a hash of the whole row, so rows need some column that tells them apart.
     ``condition`` is an extra predicate over non-key columns, which must be named differently.
+    Joins that keep unmatched lookup rows are refused: a repeated lookup row would be kept once per salt.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a lookup join cannot be {how}")
     size = size or footprint(small)
     keys = list(on)
     left, right = big, small

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellspark.config import GENOMES, AssignConfig, CellConfig, EngineConfig
 from cellspark.functions import alignments as al
-from cellspark.functions import names, sequences
+from cellspark.functions import formatting, names, sequences
 from cellspark.operators import (
     annotation,
     assign,
@@ -25,6 +25,7 @@ from cellspark.operators import (
 )
 from cellspark.plans import bridge, pipeline
 from cellspark.plans.scale import materialize
+from cellspark.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -416,13 +417,13 @@ def cell_totals_mixed(spark, sf):
 @query
 def zero_genes(spark, sf):
     tables = _tables(spark, sf)
-    return matrix.zero_genes(tables.counts, tables.genes, bridge.SAMPLES).select("sample", "gene_id", "gene_name")
+    return matrix.zero_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf)).select("sample", "gene_id", "gene_name")
 
 
 @query
 def index_genes(spark, sf):
     tables = _tables(spark, sf)
-    return matrix.index_genes(tables.counts, tables.genes, bridge.SAMPLES).select("sample", "gene_id", "gene_index")
+    return matrix.index_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf)).select("sample", "gene_id", "gene_index")
 
 
 @query
@@ -433,14 +434,14 @@ def index_barcodes(spark, sf):
 @query
 def unique_gene_names(spark, sf):
     tables = _tables(spark, sf)
-    indexed = matrix.index_genes(tables.counts, tables.genes, bridge.SAMPLES)
+    indexed = matrix.index_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf))
     return matrix.unique_gene_names(indexed).select("sample", "gene_id", "unique_name")
 
 
 @query
 def matrix_entries(spark, sf):
     tables = _tables(spark, sf)
-    genes = matrix.index_genes(tables.counts, tables.genes, bridge.SAMPLES)
+    genes = matrix.index_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf))
     return matrix.matrix_entries(tables.counts, genes, matrix.index_barcodes(tables.totals))
 
 
@@ -473,9 +474,18 @@ def derivatives(spark, sf):
     return _round(rows, "first_derivative", "second_derivative", digits=4)
 
 
+SHOULDER = "CASE WHEN u < 800 THEN 60 + a + b + d ELSE 150 + a * a * a div 50 + b END"
+
+
 @query
 def inflections(spark, sf):
-    return _round(cells.inflections(_curve(spark, sf), ["sample"], SINGLE.cells).select("sample", "i", "x"), "x")
+    """W3 over counts with a long flat tail, where the density turns without falling much."""
+    parts = bridge.table(spark, sf, "lineitem").selectExpr(
+        f"{bridge.SAMPLE} AS sample", "(l_orderkey * 7919 + l_linenumber * 104729) % 1000 AS u",
+        "l_partkey * 31 % 101 AS a", "l_suppkey * 17 % 97 AS b", "(l_orderkey * 13 + l_linenumber * 7) % 89 AS d",
+    )
+    curve = cells.density(parts.selectExpr("sample", f"{SHOULDER} AS total_counts"), ["sample"], "total_counts", SINGLE.cells)
+    return _round(cells.inflections(curve, ["sample"], SINGLE.cells).select("sample", "i", "x"), "x")
 
 
 @query
@@ -615,7 +625,7 @@ def _key_rows(spark, sf):
 
 @query
 def metrics_pivot(spark, sf):
-    wide = report.pivot_metrics(_read_metrics(spark, sf), bridge.SAMPLES)
+    wide = report.pivot_metrics(_read_metrics(spark, sf), bridge.sample_names(spark, sf))
     return wide.drop("ord", "human_readable_name", "description")
 
 
@@ -648,3 +658,114 @@ def metric_n(spark, sf):
 @query
 def key_metric_labels(spark, sf):
     return report.key_metric_labels(_key_rows(spark, sf))
+
+
+# --- formats ---------------------------------------------------------------------------------
+
+@query
+def format_values(spark, sf):
+    """P27/P28 with values that lie between two decimals."""
+    rows = bridge.table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber",
+        "CASE l_linenumber % 4 WHEN 0 THEN (l_orderkey % 4000) * 0.125D WHEN 1 THEN l_orderkey % 977 * 0.005D "
+        "WHEN 2 THEN (l_partkey % 5000) * 50D ELSE -1D * (l_suppkey % 999) / 8D END AS v",
+    )
+    v = F.col("v")
+    return rows.select(
+        "l_orderkey",
+        "l_linenumber",
+        formatting.format_value(v, F.lit(False)).alias("value_text"),
+        formatting.abbreviate(F.abs(v) * 997).alias("label"),
+        formatting.round_exact(v, 2).alias("rounded"),
+    )
+
+
+@query
+def gtf_lines(spark, sf):
+    """S7 from text: comments and short lines among annotation lines."""
+    fields = (
+        "concat('chr', p_partkey % 4), 'x', 'transcript', p_partkey * 10, p_partkey * 10 + 99, '.', "
+        "CASE WHEN p_partkey % 3 = 0 THEN '-' ELSE '+' END, '.', concat('gene_id \"G', p_partkey, '\"; gene_name \"', p_name, '\";')"
+    )
+    lines = bridge.table(spark, sf, "part").selectExpr(
+        "p_partkey AS row_no",
+        f"CASE WHEN p_partkey % 7 = 0 THEN concat('#', p_name) WHEN p_partkey % 11 = 0 THEN concat_ws('\t', p_name, 'a', 'b') "
+        f"ELSE concat_ws('\t', {fields}) END AS value",
+    )
+    return readers.gtf_rows(lines).select("seqname", "feature", "start", "end", "strand", "attributes", "row_no")
+
+
+@query
+def sam_lines(spark, sf):
+    """S9 from text: header lines, and tags in two orders."""
+    rows = _alignments(spark, sf)
+    body = F.concat_ws("\t", "read_name", "flag", "chrom", "pos", "mapq", "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII"))
+    tags = [F.concat(F.lit(f"{t}:i:"), F.col(t.lower())) for t in ("NH", "HI")] + [F.concat(F.lit("nM:i:"), F.col("nm"))]
+    line = F.when(F.col("nm") == 2, F.concat_ws("\t", body, *tags[::-1])).otherwise(F.concat_ws("\t", body, *tags))
+    head = rows.select("sample", F.concat(F.lit("@SQ\tSN:"), F.col("chrom")).alias("value")).distinct()
+    lines = rows.select("sample", line.alias("value")).unionByName(head)
+    return readers.sam_rows(lines).select("sample", "read_name", "flag", "chrom", "pos", "mapq", "cigar", "seq", "nh", "hi", "nm")
+
+
+@query
+def bed12_lines(spark, sf):
+    return writers.bed12_lines(annotation.gene_models(_gtf(spark, sf))).select("value")
+
+
+@query
+def correction_lines(spark, sf):
+    """Lines of the list, read back as corrections."""
+    lines = writers.correction_lines(barcodes.correction_list(_whitelist(spark, sf)))
+    listed, corrections = readers.correction_rows(lines)
+    return listed.join(corrections, ["barcode", "row_no"], "left").select("barcode", "variant", "row_no")
+
+
+@query
+def collision_lines(spark, sf):
+    wl = _whitelist(spark, sf)
+    return writers.collision_lines(barcodes.collisions(wl), barcodes.collision_stats(wl)).select("part", "value")
+
+
+@query
+def fastq_lines(spark, sf):
+    """Records of the passing reads."""
+    passed = _qc(spark, sf).filter(F.col("lost_at").isNull())
+    tagged = passed.withColumn("header", names.tagged_header(F.col("header"), F.col("barcode")))
+    return writers.fastq_lines(tagged, "header", "out_seq", "out_qual")
+
+
+@query
+def rejected_fastq_lines(spark, sf):
+    """R1 and R2 records of the other reads."""
+    failed = _qc(spark, sf).filter(F.col("lost_at").isNotNull())
+    mates = [writers.fastq_lines(failed, "header", f"{m}_seq", f"{m}_qual").withColumn("mate", F.lit(m)) for m in ("r1", "r2")]
+    return mates[0].unionByName(mates[1])
+
+
+@query
+def matrix_lines(spark, sf):
+    tables = _tables(spark, sf)
+    genes = matrix.index_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf))
+    cols = matrix.index_barcodes(tables.totals)
+    return writers.matrix_lines(matrix.matrix_entries(tables.counts, genes, cols), genes, cols)
+
+
+@query
+def samplesheet_rows(spark, sf):
+    """Lanes per sample, blanks, thresholds as text."""
+    raw = bridge.table(spark, sf, "part").selectExpr(
+        "concat(' s', p_partkey % 40, ' ') AS name", "concat('f1_', p_partkey) AS a", "concat('f2_', p_partkey, ' ') AS b",
+        "CASE p_partkey % 3 WHEN 0 THEN '2.5' WHEN 1 THEN ' ' ELSE 'none' END AS c", "p_partkey AS row_no",
+    )
+    return readers.samplesheet_rows(raw)
+
+
+@query
+def metric_csv_values(spark, sf):
+    """Values as written to the metric files, and as read back from them."""
+    rows = _read_metrics(spark, sf).withColumn("text", writers.metric_text())
+    back = F.col("text").try_cast("double")
+    return rows.select(
+        "sample", "variable_name", F.col("text").contains("E").alias("has_exponent"), (back == F.col("value")).alias("same"),
+        F.col("text").contains(".").alias("has_point"),
+    )

@@ -31,7 +31,11 @@ def read_samplesheet(spark: SparkSession, path: str, mixed: bool = False) -> Dat
     threshold column (``manual_threshold``), mixed ones need both (``hsap_threshold``,
     ``mmus_threshold``), otherwise both are missing. Blank means missing.
     """
-    raw = file_order(spark.read.csv(path, header=True))
+    return samplesheet_rows(file_order(spark.read.csv(path, header=True)), mixed)
+
+
+def samplesheet_rows(raw: DataFrame, mixed: bool = False) -> DataFrame:
+    """The sheet's columns by position and ``row_no`` to sample rows."""
     by_place = [F.trim(F.col(f"`{c}`")) for c in raw.columns if c != "row_no"]
     width = len(by_place)
 
@@ -62,7 +66,10 @@ def manual_thresholds(sheet: DataFrame, mixed: bool = False) -> DataFrame:
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
     """S3: second column of the barcode list as ``barcode``, with its place in the file."""
-    rows = file_order(spark.read.csv(path, header=True))
+    return whitelist_rows(file_order(spark.read.csv(path, header=True)))
+
+
+def whitelist_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.trim(F.col(f"`{rows.columns[1]}`")).alias("barcode"), "row_no").filter(F.col("barcode") != "")
 
 
@@ -71,7 +78,11 @@ def read_corrections(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
     Empty variants and variants equal to their barcode are dropped.
     """
-    lines = file_order(spark.read.text(path))
+    return correction_rows(file_order(spark.read.text(path)))
+
+
+def correction_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines (``value, row_no``) to (barcodes, corrections)."""
     parts = F.split("value", "\t")
     rows = lines.select(parts[0].alias("barcode"), F.get(parts, F.lit(1)).alias("variants"), "row_no").filter(
         F.col("barcode") != ""
@@ -84,9 +95,13 @@ def read_corrections(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     """Annotation lines; comments, blanks and lines with fewer than nine fields are skipped."""
-    lines = file_order(spark.read.text(path)).filter(~F.col("value").startswith("#"))
+    return gtf_rows(file_order(spark.read.text(path)))
+
+
+def gtf_rows(lines: DataFrame) -> DataFrame:
+    """Lines (``value, row_no``) to annotation rows."""
     f = F.split("value", "\t")
-    wide = lines.filter(F.size(f) >= 9)
+    wide = lines.filter(~F.col("value").startswith("#") & (F.size(f) >= 9))
     return wide.select(
         f[0].alias("seqname"),
         f[1].alias("source"),
@@ -108,16 +123,30 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return first.select("gene_id", "f.gene_name", "f.chromosome", "f.row_no")
 
 
-def read_alignments(spark: SparkSession, path: str, sample: str) -> DataFrame:
-    """SAM text of one sample as alignment rows; tags are found by name, not by place."""
-    lines = spark.read.text(path).filter(~F.col("value").startswith("@") & (F.col("value") != ""))
+def read_alignments(
+    spark: SparkSession, paths: str | list[str], sample: str | None = None, name: str = r"([^/]+?)\.sam(?:\.\w+)?$"
+) -> DataFrame:
+    """SAM text of one or many samples as alignment rows, in one scan.
+
+    Without ``sample`` it is the group of ``name`` in each file's path: the file name before ``.sam``.
+    """
+    lines = spark.read.text(paths)
+    owner = F.lit(sample) if sample is not None else F.regexp_extract(F.col("_metadata.file_path"), name, 1)
+    if sample is None:
+        owner = F.url_decode(F.replace(owner, F.lit("+"), F.lit("%2B")))
+    return sam_rows(lines.select(owner.alias("sample"), "value"))
+
+
+def sam_rows(lines: DataFrame) -> DataFrame:
+    """SAM lines (``sample, value``) to alignment rows; headers and blanks are skipped, tags found by name."""
+    lines = lines.filter(~F.col("value").startswith("@") & (F.col("value") != ""))
     f = F.split("value", "\t")
 
     def tag(name: str, kind: str):
         return F.nullif(F.regexp_extract("value", rf"\t{name}:{kind}:([^\t]*)", 1), F.lit(""))
 
     return lines.select(
-        F.lit(sample).alias("sample"),
+        "sample",
         f[0].alias("read_name"),
         f[1].cast("int").alias("flag"),
         f[2].alias("chrom"),

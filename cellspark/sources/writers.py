@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.functions import names
-from cellspark.functions.formatting import format_value
+from cellspark.functions.formatting import format_value, plain
 
 MATRIX_HEADER = "%%MatrixMarket matrix coordinate integer general"
 FEATURE_TYPE = "Gene Expression"
@@ -69,13 +69,45 @@ def write_counts(counts: DataFrame, cells: DataFrame, genes: DataFrame, path: st
 
 def write_corrections(listed: DataFrame, path: str) -> None:
     """``barcode TAB variants`` lines in list order."""
-    lines = listed.select("row_no", F.concat_ws("\t", "barcode", F.concat_ws(",", "variants")).alias("value"))
-    lines.orderBy("row_no").select("value").write.mode("overwrite").text(path)
+    correction_lines(listed).orderBy("row_no").select("value").write.mode("overwrite").text(path)
 
 
-def collision_report(collisions: DataFrame, path: str) -> None:
-    """(variant, origin) rows, variants with most origins first."""
-    collisions.orderBy(F.desc("origin_count"), "variant", "origin").write.mode("overwrite").csv(path, header=True)
+def correction_lines(listed: DataFrame) -> DataFrame:
+    return listed.select("row_no", F.concat_ws("\t", "barcode", F.concat_ws(",", "variants")).alias("value"))
+
+
+def collision_lines(collisions: DataFrame, stats: DataFrame) -> DataFrame:
+    """``part, origin_count, value``: the five totals, a heading, then a line per colliding variant.
+
+    A variant's origins are listed by name; there are as many as the list has barcodes one base away.
+    """
+    totals = stats.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("part"), F.concat_ws("\t", F.lit(c), F.col(c).cast("string")).alias("value"))
+                           for i, c in enumerate(COLLISION_TOTALS)]))
+    ).select("part", F.lit(0).cast("long").alias("origin_count"), "value")
+    heading = stats.select(
+        F.lit(len(COLLISION_TOTALS)).alias("part"), F.lit(0).cast("long").alias("origin_count"),
+        F.lit("variant\torigin_count\torigins").alias("value"),
+    )
+    listed = collisions.groupBy("variant", "origin_count").agg(F.array_sort(F.collect_list("origin")).alias("o"))
+    body = listed.select(
+        F.lit(len(COLLISION_TOTALS) + 1).alias("part"), F.col("origin_count").cast("long").alias("origin_count"),
+        F.concat_ws("\t", "variant", F.col("origin_count").cast("string"), F.concat_ws(",", "o")).alias("value"),
+    )
+    return totals.unionByName(heading).unionByName(body)
+
+
+# Names of the report's totals, in order.
+COLLISION_TOTALS = (
+    "total_barcodes", "barcodes_with_corrections", "barcodes_without_corrections", "total_variants_removed",
+    "total_safe_variants",
+)
+
+
+def collision_report(collisions: DataFrame, stats: DataFrame, path: str) -> None:
+    """Totals first, then the variants with most origins first."""
+    lines = collision_lines(collisions, stats).orderBy("part", F.desc("origin_count"), "value")
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def bed12_lines(models: DataFrame) -> DataFrame:
@@ -112,10 +144,17 @@ def write_alignments(alignments: DataFrame, path: str) -> None:
     alignments.sortWithinPartitions("chrom", "pos").write.mode("overwrite").partitionBy("sample").parquet(path)
 
 
+def metric_text():
+    """Integral values without decimals, others as plain decimals."""
+    whole = format_value(F.col("value"), F.lit(True))
+    return F.when(F.col("is_integral"), whole).otherwise(plain(F.col("value")))
+
+
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
     """Metric rows per sample; the value is text, integral values without decimals."""
-    exact = F.when(F.col("is_integral"), format_value(F.col("value"), F.lit(True))).otherwise(F.col("value").cast("string"))
-    rows = metrics.select("sample", "ord", "variable_name", exact.alias("value"), "human_readable_name", "description", "classification")
+    rows = metrics.select(
+        "sample", "ord", "variable_name", metric_text().alias("value"), "human_readable_name", "description", "classification"
+    )
     ordered = rows.repartitionByRange("sample").sortWithinPartitions("sample", "ord").drop("ord")
     ordered.write.mode("overwrite").partitionBy("sample").csv(path, header=True)
 

@@ -39,7 +39,11 @@ def base_ctes(mixed: bool, copies: bool) -> dict[str, str]:
                    array_to_string(list_transform(range(13), lambda i: substr('ACGT',
                        CAST((cell_no * 7919 + 12345) // CAST(pow(4, i) AS BIGINT) % 4 AS INTEGER) + 1, 1)), '') AS barcode
             FROM cellno""",
-        "whitelist": "SELECT DISTINCT barcode, cell_no AS row_no FROM lines WHERE cell_no % 10 <> 9",
+        "listed": "SELECT DISTINCT barcode, cell_no AS row_no FROM lines WHERE cell_no % 10 <> 9",
+        "whitelist": """
+            SELECT * FROM listed UNION ALL
+            SELECT * FROM (SELECT translate(barcode[1:1], 'ACGT', 'CGTA') || barcode[2:] AS barcode, row_no + 100000 AS row_no
+                           FROM listed WHERE row_no % 50 = 0) WHERE barcode NOT IN (SELECT barcode FROM listed)""",
         "raw1": """
             SELECT *, array_to_string(list_transform(range(60), lambda i: substr('ACGT',
                 CAST((l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7 + i * i * 13 + i * l_suppkey) % 97 % 4
@@ -100,19 +104,23 @@ def base_ctes(mixed: bool, copies: bool) -> dict[str, str]:
             UNION ALL
             SELECT sample, read_name, hi, chrom, CASE WHEN rev = 1 THEN '-' ELSE '+' END, pos + 120, pos + 139
             FROM alignments WHERE spliced""",
+        # bins of 1000 bases keep the interval joins small; a pair counts in its first shared bin
+        "bbins": "SELECT *, unnest(range(b_start // 1000, b_end // 1000 + 1)) AS bin FROM blocks",
+        "gbins": "SELECT *, unnest(range(g_start // 1000, g_end // 1000 + 1)) AS bin FROM genes",
+        "ebins": "SELECT *, unnest(range(g_start // 1000, g_end // 1000 + 1)) AS bin FROM exons",
         "tx": """
             SELECT sample, read_name, hi, count(*) AS n, min(gene_id) AS g FROM (
                 SELECT sample, read_name, hi, gene_id,
                        sum(least(b_end, g_end) - greatest(b_start, g_start) + 1) AS shared
-                FROM blocks JOIN genes USING (chrom, strand)
-                WHERE b_start <= g_end AND g_start <= b_end GROUP BY ALL)
+                FROM bbins JOIN gbins USING (chrom, strand, bin)
+                WHERE b_start <= g_end AND g_start <= b_end AND greatest(b_start, g_start) // 1000 = bin GROUP BY ALL)
             WHERE shared >= 20 GROUP BY ALL""",
         "ex": """
             SELECT sample, read_name, hi, count(*) AS n, min(gene_id) AS g FROM (
                 SELECT sample, read_name, hi, gene_id,
                        sum(least(b_end, g_end) - greatest(b_start, g_start) + 1) AS shared
-                FROM blocks JOIN exons USING (chrom, strand)
-                WHERE b_start <= g_end AND g_start <= b_end GROUP BY ALL)
+                FROM bbins JOIN ebins USING (chrom, strand, bin)
+                WHERE b_start <= g_end AND g_start <= b_end AND greatest(b_start, g_start) // 1000 = bin GROUP BY ALL)
             WHERE shared >= 20 GROUP BY ALL""",
         "assigned": """
             SELECT a.*, coalesce(tx.n, 0) AS tx_n, CASE WHEN tx.n = 1 THEN tx.g || '.3' END AS tx_gene,
@@ -768,7 +776,11 @@ ORACLE_SQL: dict[str, str] = {
     "derivatives": build(
         "SELECT sample, i, round(first_derivative, 4) AS first_derivative, round(second_derivative, 4) AS second_derivative FROM diffs"
     ),
-    "inflections": build("SELECT sample, i, round(x, 6) AS x FROM turns"),
+    "inflections": build("SELECT sample, i, round(x, 6) AS x FROM turns", extra={"vals": """
+        SELECT sample, 'all' AS species,
+               CASE WHEN u < 800 THEN 60 + a + b + d ELSE 150 + a * a * a // 50 + b END AS c
+        FROM (SELECT sample, (l_orderkey * 7919 + l_linenumber * 104729) % 1000 AS u, l_partkey * 31 % 101 AS a,
+                     l_suppkey * 17 % 97 AS b, (l_orderkey * 13 + l_linenumber * 7) % 89 AS d FROM lines)"""}),
     "thresholds": build("SELECT sample, round(cutoff, 6) AS log_cutoff, threshold FROM limits"),
     "thresholds_manual": build(
         "SELECT sample, CASE WHEN sample = 'S0' THEN 2.4 ELSE round(cutoff, 6) END AS log_cutoff, "
@@ -860,4 +872,66 @@ ORACLE_SQL: dict[str, str] = {
         "WHEN value >= 1000 THEN printf('%.1f k', value / 1000) ELSE printf('%.1f', value) END AS label FROM keyrows",
         extra=KEYS,
     ),
+    # formats
+    "format_values": (
+        "SELECT l_orderkey, l_linenumber, printf('%.2f', v) AS value_text, "
+        "CASE WHEN w >= 1000000 THEN printf('%.1f M', w / 1000000) WHEN w >= 1000 THEN printf('%.1f k', w / 1000) "
+        "ELSE printf('%.1f', w) END AS label, CAST(printf('%.2f', v) AS DOUBLE) AS rounded FROM (SELECT *, abs(v) * 997 AS w FROM ("
+        "SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN (l_orderkey % 4000) * 0.125::DOUBLE "
+        "WHEN 1 THEN (l_orderkey % 977) * 0.005::DOUBLE WHEN 2 THEN (l_partkey % 5000) * 50::DOUBLE "
+        "ELSE -1::DOUBLE * (l_suppkey % 999) / 8::DOUBLE END AS v FROM lineitem))"
+    ),
+    "gtf_lines": (
+        "SELECT 'chr' || (p_partkey % 4) AS seqname, 'transcript' AS feature, CAST(p_partkey * 10 AS BIGINT) AS start, "
+        "CAST(p_partkey * 10 + 99 AS BIGINT) AS \"end\", CASE WHEN p_partkey % 3 = 0 THEN '-' ELSE '+' END AS strand, "
+        "'gene_id \"G' || p_partkey || '\"; gene_name \"' || p_name || '\";' AS attributes, p_partkey AS row_no "
+        "FROM part WHERE p_partkey % 7 <> 0 AND p_partkey % 11 <> 0"
+    ),
+    "sam_lines": build(
+        "SELECT sample, read_name, flag, chrom, pos, mapq, CASE WHEN spliced THEN '20M100N20M' ELSE '40M' END AS cigar, "
+        "'ACGT' AS seq, nh, hi, nm FROM alignments"
+    ),
+    "bed12_lines": build(
+        "SELECT concat_ws(chr(9), chrom, g_start - 1, g_end, 'T' || pk, '0', strand, "
+        "CASE WHEN pk % 2 = 0 THEN g_start + 29 ELSE g_start - 1 END, CASE WHEN pk % 2 = 0 THEN g_start + 569 ELSE g_end END, "
+        "'0', '3', '150,150,130,', '0,250,470,') AS value FROM genes"
+    ),
+    "correction_lines": build("SELECT w.barcode, s.variant, w.row_no FROM whitelist w LEFT JOIN safe s USING (barcode)"),
+    "collision_lines": build(
+        "SELECT 0 AS part, concat_ws(chr(9), 'total_barcodes', (SELECT count(*) FROM whitelist)) AS value UNION ALL "
+        "SELECT 1, concat_ws(chr(9), 'barcodes_with_corrections', (SELECT count(DISTINCT barcode) FROM safe)) UNION ALL "
+        "SELECT 2, concat_ws(chr(9), 'barcodes_without_corrections', "
+        "(SELECT count(*) FROM whitelist WHERE barcode NOT IN (SELECT barcode FROM safe))) UNION ALL "
+        "SELECT 3, concat_ws(chr(9), 'total_variants_removed', "
+        "(SELECT count(*) FROM (SELECT variant FROM variants GROUP BY variant HAVING count(*) > 1))) UNION ALL "
+        "SELECT 4, concat_ws(chr(9), 'total_safe_variants', (SELECT count(*) FROM safe)) UNION ALL "
+        "SELECT 5, concat_ws(chr(9), 'variant', 'origin_count', 'origins') UNION ALL "
+        "SELECT 6, concat_ws(chr(9), variant, count(*), string_agg(barcode, ',' ORDER BY barcode)) "
+        "FROM variants GROUP BY variant HAVING count(*) > 1"
+    ),
+    "fastq_lines": build(
+        "SELECT sample, concat_ws(chr(10), '@' || read_name || '_' || barcode || '_ 1:N:0', out_seq, '+', out_qual) AS value "
+        "FROM qc WHERE lost_at IS NULL"
+    ),
+    "rejected_fastq_lines": build(
+        "SELECT sample, concat_ws(chr(10), header, r1_seq, '+', r1_qual) AS value, 'r1' AS mate FROM qc WHERE lost_at IS NOT NULL "
+        "UNION ALL SELECT sample, concat_ws(chr(10), header, r2_seq, '+', r2_qual), 'r2' FROM qc WHERE lost_at IS NOT NULL"
+    ),
+    "matrix_lines": build(
+        "SELECT sample, barcode_index AS c, gene_index AS g, concat_ws(' ', gene_index, barcode_index, n) AS value "
+        "FROM counts JOIN gindex USING (sample, gene_id) JOIN bindex USING (sample, barcode) UNION ALL "
+        "SELECT sample, unnest([-3, -2, -1]) AS c, 0 AS g, unnest(['%%MatrixMarket matrix coordinate integer general', '%', "
+        "concat_ws(' ', (SELECT max(gene_index) FROM gindex x WHERE x.sample = s.sample), "
+        "(SELECT max(barcode_index) FROM bindex x WHERE x.sample = s.sample), "
+        "(SELECT count(*) FROM counts x WHERE x.sample = s.sample))]) FROM (SELECT DISTINCT sample FROM lines) s",
+        extra=GENE_USE,
+    ),
+    "samplesheet_rows": (
+        "SELECT 's' || (p_partkey % 40) AS sample, 'f1_' || p_partkey AS fastq_1, 'f2_' || p_partkey AS fastq_2, "
+        "CASE WHEN p_partkey % 3 = 0 THEN 2.5::DOUBLE END AS manual_threshold, "
+        "CAST(row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey) AS INTEGER) AS lane FROM part"
+    ),
+    "metric_csv_values": build(
+        f"SELECT sample, variable_name, false AS has_exponent, true AS same, NOT is_integral AS has_point FROM ({READ_LONG})"
+    ),
 }

@@ -1,12 +1,12 @@
 import dataclasses
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 from cellspark.config import AssignConfig
 from cellspark.operators import annotation, assign, dedup, intervals
-from cellspark.plans.scale import Footprint
+from cellspark.plans.scale import Footprint, lookup_join
 from tests.test_functions import walk
 
 # a size no broadcast bound allows: forces the shuffled, salted joins
@@ -78,9 +78,9 @@ def test_assignment_equals_brute_force_on_every_path(spark):
     }
     for cfg in (AssignConfig(bin_size=256, bin_reach=64), AssignConfig(bin_size=256, max_pieces_per_bin=0), AssignConfig(bin_size=1024, bin_reach=30)):
         index = assign.feature_index(annotated, cfg)
-        assert (index.windows is None) == (cfg.max_pieces_per_bin == 0)
+        assert (index.dense is not None) == (cfg.max_pieces_per_bin == 0)
         if cfg.bin_size == 1024:
-            index = dataclasses.replace(index, size=HUGE)
+            index = dataclasses.replace(index, size=HUGE, windows_size=HUGE)
         got = {
             (r.read_name, r.hi): ((r.tx_status, r.tx_gene), (r.ex_status, r.ex_gene))
             for r in assign.assign_levels(data, index, cfg).collect()
@@ -88,6 +88,45 @@ def test_assignment_equals_brute_force_on_every_path(spark):
         assert got == want, cfg
 
 
+@pytest.mark.parametrize("bin_size", [128, 512, 4096])
+@pytest.mark.parametrize("limit", [0, 1, 6, 256])
+def test_equal_rows_and_long_reads_at_every_bin_width(spark, bin_size, limit):
+    """Equal alignments keep a row and a status each, whatever bins, reach and limits are."""
+    rng = random.Random(3)
+    lines, rows = random_lines(rng, 25), random_alignments(rng, 60)
+    rows += [("S", "long", 0, "1", p, 255, c, 1, 1, 0) for p in (1, 700, 2200) for c in ("500M", "300M5D400M")]
+    rows += [("S", "star", 4, "*", 0, 0, "*", 0, 0, 0), ("S", "star", 4, None, None, 0, None, 0, 0, 0)]
+    rows += [("S", "half", 0, "1", 5000, 255, c, 1, 1, 0) for c in ("40M", "15M20N10M")]
+    rows = rows * 2 + rows[:20]
+    lines.append(("transcript", "1", "+", 5030, 5100, "H", "TH"))
+    want = Counter()
+    for r in rows:
+        if r[6] is None or "M" not in r[6]:
+            want[(r[1], r[4], r[6], ("Unassigned_Unmapped", None), ("Unassigned_Unmapped", None))] += 1
+            continue
+        both = (brute(lines, level, r[2], r[3], r[4], r[6]) for level in ("transcript", "exon"))
+        want[(r[1], r[4], r[6], *both)] += 1
+    cfg = AssignConfig(bin_size=bin_size, max_pieces_per_bin=limit)
+    index = assign.feature_index(gtf(spark, lines), cfg)
+    for size in (index.size, HUGE):
+        sized = dataclasses.replace(index, size=size, windows_size=size)
+        found = assign.assign_levels(spark.createDataFrame(rows, ALN), sized, cfg).collect()
+        got = Counter((r.read_name, r.pos, r.cigar, (r.tx_status, r.tx_gene), (r.ex_status, r.ex_gene)) for r in found)
+        assert got == want
+
+
+def test_lookup_joins_refuse_what_salting_would_repeat(spark):
+    one = spark.createDataFrame([(1, 2)], "k int, v int")
+    for how in ("right", "full", "outer", "cross"):
+        with pytest.raises(ValueError):
+            lookup_join(one, one.withColumnRenamed("v", "w"), ["k"], how)
+    many = spark.createDataFrame([(i % 3, i) for i in range(50)], "k int, v int")
+    side = spark.createDataFrame([(0, "a"), (7, "b")], "k int, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        small = sorted(map(str, lookup_join(many, side, ["k"], how).collect()))
+        assert small == sorted(map(str, lookup_join(many, side, ["k"], how, size=HUGE).collect()))
+
+
 def test_overlap_share_boundary(spark):
     lines = [("transcript", "1", "+", 1000, 1999, "G", "T"), ("exon", "1", "+", 1000, 1999, "G", "T")]
     rows = [("S", f"n{o}", 0, "1", 1000 - (40 - o), 255, "40M", 1, 1, 0) for o in (19, 20, 21)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellspark.functions import alignments as al
 from cellspark.functions import names
 from cellspark.functions import sequences as sq
-from cellspark.functions.formatting import abbreviate, format_value
+from cellspark.functions.formatting import abbreviate, fixed, format_value, plain, round_exact
 
 
 def column(spark, values, expression, kind="string"):
@@ -134,3 +134,22 @@ def test_number_formats(spark):
     assert column(spark, [999.0, 1500.0, 2_340_000.0], abbreviate, "double") == ["999.0", "1.5 k", "2.3 M"]
     assert column(spark, [3.0], lambda c: format_value(c, F.lit(True)), "double") == ["3"]
     assert column(spark, [2.345678], lambda c: format_value(c, F.lit(False)), "double") == ["2.35"]
+
+
+def test_rounding_goes_by_the_exact_value(spark):
+    """Ties of the shortest text are not ties of the double; real ties go to the even digit."""
+    values = [0.125, 0.375, 2.675, 1.005, 0.005, 1.115, 2.5, 0.0, -0.0, -0.125, -0.001, 99.995, 1e12 + 0.125, 123456.785, 0.29]
+    values += [random.Random(1).uniform(-1000, 1000) for _ in range(300)] + [i * 0.005 for i in range(400)]
+    assert column(spark, values, lambda c: fixed(c, 2), "double") == [f"{v:.2f}" for v in values]
+    assert column(spark, values, lambda c: round_exact(c, 2), "double") == [round(v, 2) for v in values]
+    assert column(spark, values, lambda c: format_value(c, F.lit(False)), "double") == [f"{v:.2f}" for v in values]
+    marks = [1250.0, 2250.0, 1350.0, 1_250_000.0, 999.95, 999.94, 0.25, 0.05, 2_350_000.0, 1e15]
+    want = [f"{v / 1e6:.1f} M" if v >= 1e6 else f"{v / 1e3:.1f} k" if v >= 1e3 else f"{v:.1f}" for v in marks]
+    assert column(spark, marks, abbreviate, "double") == want
+    assert want[:2] == ["1.2 k", "2.2 k"]
+
+
+def test_plain_decimals(spark):
+    values = [12345678.5, 0.0001, 3.0, 1e-7, 0.1, 123456789012.25, -25000000.0]
+    got = column(spark, values, plain, "double")
+    assert not any("E" in g for g in got) and [float(g) for g in got] == values and got[2] == "3.0"

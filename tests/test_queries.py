@@ -7,7 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from cellspark import registry
 from check_queries import compare
+from oracle_queries import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -25,7 +27,9 @@ def con():
 
 
 def test_registry_is_complete():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(registry.QUERIES) == set(ORACLE_SQL)
+    assert set(registry.QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE_SQL) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):

@@ -113,7 +113,7 @@ def test_metrics_and_fastq_outputs(spark, tmp_path):
     )
     flat = {r.variable_name: (r["sample"], r.value, r.is_integral) for r in readers.read_metrics_csv(spark, str(folder)).collect()}
     assert flat == {"num_cells": ("S 1", 12.0, True), "raw": ("S 1", 1.5, False)}
-    writers.write_multisample_csv(report.pivot_metrics(rows, bridge.SAMPLES), str(tmp_path / "wide"))
+    writers.write_multisample_csv(report.pivot_metrics(rows, ["S0", "S1", "S2"]), str(tmp_path / "wide"))
     wide = [x for p in (tmp_path / "wide").glob("part-*") for x in p.read_text().splitlines()]
     assert wide[0] == "variable_name,human_readable_name,description,classification,S0,S1,S2" and len(wide) == 24
 
