@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cellspark.config import AssignConfig, GenomeSpec
 from cellspark.functions import names
-from cellspark.plans.scale import materialize, number_rows
+from cellspark.plans.scale import number_rows
 
 
 def events(deduplicated: DataFrame, cfg: AssignConfig = AssignConfig()) -> DataFrame:
@@ -109,13 +110,19 @@ def unique_gene_names(indexed: DataFrame) -> DataFrame:
 
     The first gene of a name keeps it. The k-th duplicate takes the k-th positive number whose
     suffixed name is not already a gene name: with the taken numbers t1 < t2 < ... shifted to
-    ti - i, that number is the position of k in the merged order of both, so it comes from the
-    same distributed numbering as the duplicates themselves.
+    ti - i, that number is the position of k in the merged order of both. A window holds the genes of
+    one name in one sample, which are at most the genes of the annotation. Only duplicates, usually
+    few, are joined back.
     """
     group = ["sample", "_base"]
     named = indexed.withColumn("_base", F.coalesce("gene_name", "gene_id"))
-    ranked = materialize(number_rows(named, group, [F.col("gene_index")], "_nth"))
+    ranked = named.select(*group, "gene_index").withColumn(
+        "_nth", F.row_number().over(Window.partitionBy(*group).orderBy("gene_index"))
+    )
     duplicates = ranked.filter(F.col("_nth") > 1)
+    wanted = duplicates.select(
+        *group, (F.col("_nth") - 1).alias("_key"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"), "gene_index"
+    )
     taken = (
         named.select(
             "sample",
@@ -124,28 +131,23 @@ def unique_gene_names(indexed: DataFrame) -> DataFrame:
         )
         .filter(F.col("_t").isNotNull())
         .distinct()
-        .join(duplicates.select(*group).distinct(), group, "left_semi")
     )
-    blocked = number_rows(taken, group, [F.col("_t")], "_i").select(
-        *group, (F.col("_t") - F.col("_i")).alias("_key"), F.lit(1).alias("_kind"), F.col("_t").alias("_tie"),
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("_t"))
+    blocked = taken.select(
+        *group, (F.col("_t") - place).alias("_key"), F.lit(1).alias("_kind"), F.col("_t").alias("_tie"),
         F.lit(None).cast("long").alias("gene_index"),
     )
-    wanted = duplicates.select(
-        *group, (F.col("_nth") - 1).alias("_key"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"),
-        F.col("gene_index"),
-    )
-    merged = number_rows(
-        wanted.unionByName(blocked), group, [F.col("_key"), F.col("_kind"), F.col("_tie")], "_suffix"
-    ).filter(F.col("_kind") == 0)
+    merged = Window.partitionBy(*group).orderBy("_key", "_kind", "_tie")
+    suffixed = wanted.unionByName(blocked).withColumn("_suffix", F.row_number().over(merged)).filter("_kind = 0")
     return (
-        ranked.join(merged.select("sample", "gene_index", "_suffix"), ["sample", "gene_index"], "left")
+        named.join(suffixed.select("sample", "gene_index", "_suffix"), ["sample", "gene_index"], "left")
         .withColumn(
             "unique_name",
             F.when(F.col("_suffix").isNull(), F.col("_base")).otherwise(
                 F.concat("_base", F.lit("-"), F.col("_suffix").cast("string"))
             ),
         )
-        .drop("_base", "_nth", "_suffix")
+        .drop("_base", "_suffix")
     )
 
 

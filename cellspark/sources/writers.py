@@ -141,7 +141,7 @@ def write_bed12(models: DataFrame, path: str) -> None:
 
 def write_alignments(alignments: DataFrame, path: str) -> None:
     """O1: alignments as Parquet, clustered by place inside each file so readers can skip row groups."""
-    alignments.sortWithinPartitions("chrom", "pos").write.mode("overwrite").partitionBy("sample").parquet(path)
+    alignments.sortWithinPartitions("sample", "chrom", "pos").write.mode("overwrite").partitionBy("sample").parquet(path)
 
 
 def metric_text():

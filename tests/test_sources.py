@@ -1,9 +1,13 @@
 import gzip
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from cellspark.config import EngineConfig
 from cellspark.operators import annotation, barcodes, profiles, reads_qc, report
 from cellspark.plans import bridge, pipeline
+from cellspark.plans.scale import materialize, stage_tables
 from cellspark.sources import fastq, readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -141,3 +145,58 @@ def test_metrics_and_fastq_outputs(spark, tmp_path):
     back = readers.read_qc_json(spark, str(tmp_path / "json")).filter("total_reads IS NOT NULL").collect()
     before = documents.filter("kind <> 'R1 Post-QC'").count()
     assert len(back) == before and sum(r.total_reads for r in back) == 2 * sum(raw.values())
+
+
+def sam_line(name, flag, chrom, pos, cigar, tags):
+    return "\t".join([name, str(flag), chrom, str(pos), "255", cigar, "*", "0", "0", "ACGT", "IIII", *tags])
+
+
+def test_alignments_of_all_samples_in_one_scan(spark, tmp_path):
+    for sample, n in (("S1", 2), ("S 2", 1)):
+        lines = ["@HD\tVN:1.6", *(sam_line(f"r{i}", 0, "1", i + 1, "4M", ["HI:i:1", "NH:i:1", "nM:i:0"]) for i in range(n))]
+        (tmp_path / f"{sample}.sam").write_text("\n".join(lines) + "\n")
+    every = readers.read_alignments(spark, [str(tmp_path / "S1.sam"), str(tmp_path / "S 2.sam")])
+    assert sorted((r["sample"], r.read_name, r.pos, r.nh) for r in every.collect()) == [("S 2", "r0", 1, 1), ("S1", "r0", 1, 1), ("S1", "r1", 2, 1)]
+    assert {r["sample"] for r in readers.read_alignments(spark, str(tmp_path), name=r"/([^/]+)/[^/]+$").collect()} == {tmp_path.name}
+    assert {r["sample"] for r in readers.read_alignments(spark, str(tmp_path / "S1.sam"), "mine").collect()} == {"mine"}
+
+
+def test_collision_report_has_totals_first(spark, tmp_path):
+    listed = spark.createDataFrame([("A" * 13, 1), ("C" + "A" * 12, 2), ("G" * 13, 3)], "barcode string, row_no long")
+    writers.collision_report(barcodes.collisions(listed), barcodes.collision_stats(listed), str(tmp_path / "out"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out")).orderBy(F.monotonically_increasing_id()).collect()]
+    assert lines[0] == "total_barcodes\t3" and lines[5] == "variant\torigin_count\torigins"
+    assert lines[3] == f"total_variants_removed\t{len(lines) - 6}" and len(lines) > 6
+    assert all(line.split("\t")[2] == "A" * 13 + "," + "C" + "A" * 12 for line in lines[6:])
+
+
+def test_tables_of_counts_and_alignments(spark, tmp_path):
+    counts = spark.createDataFrame([("S", "B", "G", 2)], "sample string, barcode string, gene_id string, n long")
+    cells = spark.createDataFrame([("S", "B", True)], "sample string, barcode string, is_single_cell boolean")
+    genes = spark.createDataFrame([("G", "g", False)], "gene_id string, gene_name string, is_mito boolean")
+    writers.write_counts(counts, cells, genes, str(tmp_path / "m"))
+    for name, df in (("counts", counts), ("cells", cells), ("genes", genes)):
+        back = spark.read.parquet(str(tmp_path / "m" / name))
+        assert back.select(*df.columns).collect() == df.collect()
+    rows = [("S", f"r{i}", "21"[i % 2], (i * 37) % 50) for i in range(60)]
+    placed = spark.createDataFrame(rows, "sample string, read_name string, chrom string, pos long").coalesce(1)
+    writers.write_alignments(placed, str(tmp_path / "a"))
+    back = [(r.chrom, r.pos) for r in spark.read.parquet(str(tmp_path / "a")).collect()]
+    assert back == sorted((r[2], r[3]) for r in rows)
+
+
+def test_feature_table_keeps_the_first_line_of_a_gene(spark, tmp_path):
+    (tmp_path / "f.tsv").write_text("gene_id\tgene_name\tchromosome\nG1\ta\t1\nG2\tb\t2\nG1\tc\t3\n")
+    found = {(r.gene_id, r.gene_name, r.chromosome) for r in readers.read_features(spark, str(tmp_path / "f.tsv")).collect()}
+    assert found == {("G1", "a", "1"), ("G2", "b", "2")}
+
+
+def test_stage_tables_go_when_a_run_ends(spark):
+    kept = materialize(spark.range(3))
+    with stage_tables(spark):
+        inside = materialize(spark.range(5))
+        path = inside.inputFiles()[0]
+        assert inside.count() == 5
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|not found"):
+        spark.read.parquet(path).count()
