@@ -315,6 +315,20 @@ def assign_exons(spark, sf):
     return _assigned(spark, sf, "exon").select("sample", "read_name", "hi", "xs", "xn", "xt")
 
 
+ODD_CIGARS = ("40M", "5S35M", "20M2D20M", "10M3I27M", "8=2X30M", "*")
+
+
+@query
+def assign_odd_alignments(spark, sf):
+    """A13 over clips, deletions, insertions, = and X, alignments without blocks, and equal rows."""
+    cigar = F.element_at(F.array(*[F.lit(c) for c in ODD_CIGARS]), (F.col("pos") % len(ODD_CIGARS) + 1).cast("int"))
+    rows = _alignments(spark, sf).filter("hi = 1").withColumn("cigar", cigar)
+    twice = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("pos") % 5 == 0, 2).otherwise(1)))).drop("copy")
+    found = assign.assign_levels(twice, _index(spark, sf), ASSIGN)
+    end = F.when(F.col("cigar") != "*", al.five_prime(F.col("flag"), F.col("pos"), F.col("cigar")))
+    return found.select("sample", "read_name", "cigar", "tx_status", "tx_gene", "ex_status", "ex_gene", end.alias("five_prime"))
+
+
 @query
 def assignment_summary(spark, sf):
     return assign.assignment_summary(_assigned(spark, sf, "transcript"))
@@ -625,7 +639,8 @@ def _key_rows(spark, sf):
 
 @query
 def metrics_pivot(spark, sf):
-    wide = report.pivot_metrics(_read_metrics(spark, sf), bridge.sample_names(spark, sf))
+    names = sorted(r["sample"] for r in _samples(spark, sf).collect())
+    wide = report.pivot_metrics(_metrics(spark, sf, SINGLE), names)
     return wide.drop("ord", "human_readable_name", "description")
 
 

@@ -549,7 +549,7 @@ def stage_rows(prefix: str, classification: str) -> str:
         FROM {grid} LEFT JOIN {prefix}share USING (sample, grp)"""
 
 
-def metrics_long(mixed: bool) -> str:
+def metrics_long(mixed: bool, digits: int | None = 6) -> str:
     cells = "cells2" if mixed else "cells"
     extra = {
         **(MIXED_STATS if mixed else SINGLE_STATS),
@@ -584,7 +584,8 @@ def metrics_long(mixed: bool) -> str:
         parts.append(rows_sql("mstats", [("num_multiplet_cells_total", "m")], True, "num_multiplet_cells"))
     body = " UNION ALL ".join(parts)
     return build(
-        f"SELECT sample, variable_name, round(value, 6) AS value, is_integral, classification FROM ({body})", mixed, extra=extra
+        f"SELECT sample, variable_name, {'value' if digits is None else f'round(value, {digits})'} AS value, is_integral, "
+        f"classification FROM ({body})", mixed, extra=extra
     )
 
 
@@ -723,6 +724,31 @@ ORACLE_SQL: dict[str, str] = {
     "assign_transcripts": build(
         f"SELECT sample, read_name, hi, {status_of('tx_n')} AS xs, CASE WHEN tx_n = 1 THEN 1 END AS xn, tx_gene AS xt FROM assigned"
     ),
+    "assign_odd_alignments": build(
+        "SELECT sample, read_name, ['40M', '5S35M', '20M2D20M', '10M3I27M', '8=2X30M', '*'][kind + 1] AS cigar, "
+        "CASE WHEN kind = 5 THEN 'Unassigned_Unmapped' ELSE " + status_of("coalesce(t.n, 0)") + " END AS tx_status, "
+        "CASE WHEN t.n = 1 THEN t.g || '.3' END AS tx_gene, "
+        "CASE WHEN kind = 5 THEN 'Unassigned_Unmapped' ELSE " + status_of("coalesce(x.n, 0)") + " END AS ex_status, "
+        "CASE WHEN x.n = 1 THEN x.g || '.3' END AS ex_gene, "
+        "CASE WHEN kind < 5 THEN CASE WHEN rev = 1 THEN pos + [40, 35, 42, 37, 40][kind + 1] - 1 "
+        "WHEN kind = 1 THEN pos - 5 ELSE pos END END AS five_prime "
+        "FROM odd LEFT JOIN oddtx t USING (id) LEFT JOIN oddex x USING (id)",
+        extra={
+            "odd": "SELECT *, row_number() OVER () AS id FROM (SELECT *, pos % 6 AS kind, "
+            "unnest(range(CASE WHEN pos % 5 = 0 THEN 2 ELSE 1 END)) AS copy FROM alignments WHERE hi = 1)",
+            "oddblocks": "SELECT id, chrom, strand, b_start, b_end, unnest(range(b_start // 1000, b_end // 1000 + 1)) AS bin FROM ("
+            "SELECT id, chrom, CASE WHEN rev = 1 THEN '-' ELSE '+' END AS strand, pos + b[1] AS b_start, pos + b[2] AS b_end FROM ("
+            "SELECT *, unnest([[[0, 39]], [[0, 34]], [[0, 19], [22, 41]], [[0, 9], [10, 36]], [[0, 7], [8, 9], [10, 39]], []][kind + 1]) AS b "
+            "FROM odd))",
+            **{
+                name: f"SELECT id, count(*) AS n, min(gene_id) AS g FROM (SELECT id, gene_id, "
+                f"sum(least(b_end, g_end) - greatest(b_start, g_start) + 1) AS shared FROM oddblocks JOIN {bins} USING (chrom, strand, bin) "
+                f"WHERE b_start <= g_end AND g_start <= b_end AND greatest(b_start, g_start) // 1000 = bin GROUP BY ALL) "
+                f"WHERE shared >= 20 GROUP BY ALL"
+                for name, bins in (("oddtx", "gbins"), ("oddex", "ebins"))
+            },
+        },
+    ),
     "assign_exons": build(
         f"SELECT sample, read_name, hi, {status_of('ex_n')} AS xs, CASE WHEN ex_n = 1 THEN 1 END AS xn, ex_gene AS xt FROM assigned"
     ),
@@ -822,9 +848,9 @@ ORACLE_SQL: dict[str, str] = {
         + ", ".join(
             f"max(CASE WHEN sample = '{s}' THEN CASE WHEN is_integral THEN CAST(CAST(value AS BIGINT) AS VARCHAR) "
             f"ELSE printf('%.2f', value) END END) AS {s}"
-            for s in ("S0", "S1", "S2")
+            for s in ("S0", "S1", "S2", "S9")
         )
-        + f" FROM ({READ_LONG}) GROUP BY ALL"
+        + f" FROM ({metrics_long(False, None)}) GROUP BY ALL"
     ),
     "cascade_proportions": build(PROPORTIONS),
     "cascade_box": build(
