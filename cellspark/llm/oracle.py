@@ -10,17 +10,18 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP4 = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-p AS (SELECT r, doc_id, x, length(x) // 2 AS n, unnest(range(length(x) // 2)) AS pos FROM d),
-w AS (SELECT r, pos, doc_id, min(doc_id) OVER (PARTITION BY substr(x, 2 * pos + 1, 100)) AS least
-      FROM p WHERE pos + 50 <= n),
-c AS (SELECT p.r, p.pos, substr(p.x, 2 * p.pos + 1, 2) AS b,
-             coalesce(max(CASE WHEN w.least < w.doc_id THEN 1 ELSE 0 END)
-               OVER (PARTITION BY p.r ORDER BY p.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
-      FROM p LEFT JOIN w ON p.r = w.r AND p.pos = w.pos),
-s AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY pos) AS before FROM c),
-k AS (SELECT r, sum(gone)::BIGINT AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans,
-             coalesce(string_agg(b, '' ORDER BY pos) FILTER (gone = 0), '') AS kept FROM s GROUP BY r)
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS least
+      FROM (SELECT r, doc_id, pos, md5(substr(x, 2 * pos + 1, 100)) AS k
+            FROM (SELECT r, doc_id, x, unnest(range(length(x) // 2 - 49)) AS pos FROM d))),
+h AS (SELECT r, pos, pos AS start FROM w WHERE least < doc_id),
+b AS (SELECT r, pos, substr(x, 2 * pos + 1, 2) AS b FROM (SELECT r, x, unnest(range(length(x) // 2)) AS pos FROM d)),
+c AS (SELECT r, pos, b, coalesce(max(start) OVER (PARTITION BY r ORDER BY pos) > pos - 50, false) AS gone
+      FROM b LEFT JOIN h USING (r, pos)),
+s AS (SELECT *, lag(gone, 1, false) OVER (PARTITION BY r ORDER BY pos) AS before FROM c),
+k AS (SELECT r, count_if(gone) AS n_removed, count_if(gone AND NOT before) AS n_spans,
+             coalesce(string_agg(b, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM s GROUP BY r)
 SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
@@ -41,16 +42,17 @@ FROM m
 """
 
 OP6 = r"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id,
-                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-p AS (SELECT r, doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM d),
-w AS (SELECT r, pos, doc_id, min(doc_id) OVER (PARTITION BY array_to_string(words[pos:pos + 49], ' ')) AS least
-      FROM p WHERE pos + 49 <= len(words)),
-c AS (SELECT p.r, p.pos, p.words[p.pos] AS word,
-             coalesce(max(CASE WHEN w.least < w.doc_id THEN 1 ELSE 0 END)
-               OVER (PARTITION BY p.r ORDER BY p.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
-      FROM p LEFT JOIN w ON p.r = w.r AND p.pos = w.pos),
-k AS (SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT r, doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS least
+      FROM (SELECT r, doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS k
+            FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM d))),
+h AS (SELECT r, pos, pos AS start FROM w WHERE least < doc_id),
+b AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d),
+c AS (SELECT r, pos, word, coalesce(max(start) OVER (PARTITION BY r ORDER BY pos) > pos - 50, false) AS gone
+      FROM b LEFT JOIN h USING (r, pos)),
+k AS (SELECT r, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept
       FROM c GROUP BY r)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
