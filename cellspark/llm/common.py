@@ -16,11 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of rows that Spark hands to a Python worker at once, where the session leaves it at the default.
+BATCH_BYTES = "16m"
+_BATCHES, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and keep their batches small."""
     env = spark.sparkContext.environment
     if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *filter(None, [env.get("PYTHONPATH")])])
+    if spark.conf.get(_BATCHES, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCHES, BATCH_BYTES)
 
 
 def lower_ascii(column) -> F.Column:
