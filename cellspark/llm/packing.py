@@ -65,26 +65,32 @@ class _Ids(dict):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_latin_lower(t).replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self}
+        known = [list(map(self.get, words)) for words in split]
+        new = {
+            w for words, ids in zip(split, known) if None in ids for w, found in zip(words, ids) if found is None
+        }
         if len(self) + 2 * len(new) > MEMORY:
             self.older = dict(self)
             self.clear()
             self[""] = b""
-            new = {w for words in split for w in words if w}
-        long = self._learn(new)
-        if not long:
-            return [b"".join(map(self.__getitem__, words)) for words in split]
-        return [b"".join(self[w] if w in self else long[w] for w in words) for words in split]
+        learned = self._learn(new) if new else {}
+        for words, ids in zip(split, known):
+            if None in ids:
+                ids[:] = [learned[w] if found is None else found for w, found in zip(words, ids)]
+        return [b"".join(ids) for ids in known]
+
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of the new words; those too long to remember are returned."""
-        marked = [w for w in new if w and w[-1] in MARKS and _letters(w[:-1])]
-        whole = (new.difference(marked) | {w[:-1] for w in marked} | {w[-1] for w in marked}) - self.keys()
-        plain, other, long = [], [], {}
+        """Ids of the new words; those that are not too long are remembered."""
+        ids_of: dict[str, bytes] = {}
+        marked = [w for w in new if w[-1] in MARKS and _letters(w[:-1])]
+        whole = new.difference(marked)
+        whole.update([w[:-1] for w in marked], [w[-1] for w in marked])
+        plain, other = [], []
         for word in whole:
-            known = self.older.get(word)
-            if known is not None:
-                self[word] = known
+            known = self.get(word) or self.older.get(word)
+            if known:
+                ids_of[word] = known
             else:
                 (plain if len(word) <= LONGEST and _letters(word) else other).append(word)
         for at in range(0, len(plain), 1000):
@@ -96,17 +102,16 @@ class _Ids(dict):
                 continue
             data, begin = ids.tobytes(), 0
             for word, end in zip(part, (4 * ends).tolist()):
-                self[word] = data[begin:end]
+                ids_of[word] = data[begin:end]
                 begin = end
         for at in range(0, len(other), 1000):
             part = other[at : at + 1000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                (self if len(word) <= LONGEST else long)[word] = np.array(found.ids, "<u4").tobytes()
+                ids_of[word] = np.array(found.ids, "<u4").tobytes()
         for word in marked:
-            core = word[:-1]
-            ids = (self[core] if core in self else long[core]) + self[word[-1]]
-            (self if len(word) <= LONGEST else long)[word] = ids
-        return long
+            ids_of[word] = ids_of[word[:-1]] + ids_of[word[-1]]
+        self.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST)
+        return ids_of
 
 
 def _letters(word: str) -> bool:
