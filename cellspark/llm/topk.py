@@ -10,6 +10,7 @@ the pairs find (k rows for each query) is merged by rank.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,62 +25,77 @@ from cellspark.plans.scale import materialize
 K = 10
 SCALE = 1024.0
 QUERY_BLOCK = 1024
-DATA_BLOCK = 4096
+DATA_BLOCK = 2048
 LEAF = 32
 #: Candidates that a query leaf looks at between two prunings.
 STEP = 256
-#: Scaled components under this multiply exactly in 64 bits (up to 2**13 dimensions).
-SAFE = 1 << 25
+#: Whole numbers up to here are exact in a double.
+EXACT = float(1 << 53)
 
 
 class CoverTree:
-    """Nodes in depth-first order over reordered points; children are runs of node numbers."""
+    """Nodes in depth-first order over reordered points; children are lists of node numbers."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points = points.astype(np.float64)
         self.order: list[np.ndarray] = []
         self.centre: list[int] = []
         self.radius: list[float] = []
         self.span: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
         self._placed = 0
+        points = points.astype(np.float64)
         if len(points):
             every = np.arange(len(points))
-            away = self._distance(every, 0)
-            self._grow(every, 0, away, leaf)
+            self._grow(every, points, 0, self._distance(points, (points**2).sum(axis=1), 0), leaf)
         self.order_of = np.concatenate(self.order) if self.order else np.empty(0, np.int64)
-        self.centres = self.points[self.centre] if self.centre else self.points[:0]
+        self.order = []
+        self.place(points)
+
+    def place(self, points: np.ndarray) -> None:
+        """Put the nodes' centres into the coordinates of ``points`` (the same ones, maybe padded)."""
+        self.centres = points[self.centre].astype(np.float64) if self.centre else points[:0].astype(np.float64)
         self.norms = np.sqrt((self.centres**2).sum(axis=1))
         self.radii = np.array(self.radius)
 
-    def _distance(self, rows: np.ndarray, centre: int) -> np.ndarray:
-        return np.sqrt(((self.points[rows] - self.points[centre]) ** 2).sum(axis=1))
+    def stored(self) -> bytes:
+        self.centres = self.norms = None
+        return pickle.dumps(self)
+
+    @staticmethod
+    def _distance(points: np.ndarray, squares: np.ndarray, centre: int) -> np.ndarray:
+        return np.sqrt(np.maximum(squares + squares[centre] - 2 * (points @ points[centre]), 0))
 
-    def _grow(self, rows: np.ndarray, centre: int, away: np.ndarray, leaf: int) -> int:
+    def _grow(self, rows: np.ndarray, points: np.ndarray, centre: int, away: np.ndarray, leaf: int) -> int:
+        """``points`` are those of ``rows``; ``centre`` counts among them."""
         node = len(self.centre)
+        squares = (points**2).sum(axis=1)
         radius = float(away.max())
-        self.centre.append(centre)
-        self.radius.append(radius)
+        if radius * radius <= 1e-12 * squares.max():  # equal points, up to rounding
+            leaf = len(rows)
+        self.centre.append(int(rows[centre]))
+        self.radius.append(radius + 1e-9 * float(np.sqrt(squares.max())))
         self.children.append([])
         self.span.append((self._placed, self._placed + len(rows)))
-        if len(rows) <= leaf or radius == 0.0:
+        if len(rows) <= leaf:
             self.order.append(rows)
             self._placed += len(rows)
             return node
         # a net of half the radius: centres over that apart, every point within it of its centre
-        half = radius / 2
-        left, left_away, hub = rows, away, centre
-        parts = []
-        while len(left):
-            near = left_away <= half
-            near |= left == hub
-            parts.append((left[near], hub, left_away[near]))
-            left = left[~near]
-            if len(left):
-                hub = int(left[0])
-                left_away = self._distance(left, hub)
-        for part, hub, part_away in parts:
-            self.children[node].append(self._grow(part, hub, part_away, leaf))
+        free = np.ones(len(rows), bool)
+        hub, parts = centre, []
+        while True:
+            near = free & (away <= radius / 2)
+            near[hub] = True
+            free &= ~near
+            members = np.flatnonzero(near)
+            parts.append((members, int(np.searchsorted(members, hub)), away[members]))
+            if not free.any():
+                break
+            hub = int(np.argmax(free))
+            away = self._distance(points, squares, hub)
+        for members, hub, near_away in parts:
+            child = self._grow(rows[members], points[members], hub, near_away, leaf)
+            self.children[node].append(child)
         return node
 
 
@@ -88,7 +104,7 @@ class _Best:
 
     def __init__(self, n: int, k: int):
         self.k = k
-        self.scores: list[np.ndarray] = [np.empty(0, np.int64)] * n
+        self.scores: list[np.ndarray] = [np.empty(0)] * n
         self.ids: list[np.ndarray] = [np.empty(0, np.int64)] * n
         self.worst = np.full(n, -np.inf)
 
@@ -98,17 +114,25 @@ class _Best:
             return
         scores = np.concatenate([self.scores[query], scores[better]])
         ids = np.concatenate([self.ids[query], ids[better]])
-        order = np.lexsort((ids, -scores.astype(np.float64) if scores.dtype == object else -scores))[: self.k]
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[: self.k], np.int64)
+        else:
+            order = np.lexsort((ids, -scores))[: self.k]
         self.scores[query], self.ids[query] = scores[order], ids[order]
         if len(order) == self.k:
             self.worst[query] = float(scores[order[-1]])
 
 
 def dual_search(
-    query_ids: np.ndarray, queries: np.ndarray, data_ids: np.ndarray, data: np.ndarray, k: int
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    data_ids: np.ndarray,
+    data: np.ndarray,
+    k: int,
+    trees: tuple[CoverTree, CoverTree] | None = None,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query number, ids, scores): the k best data rows of each query, its own id left out."""
-    asked, held = CoverTree(queries), CoverTree(data)
+    asked, held = trees or (CoverTree(queries), CoverTree(data))
     best = _Best(len(queries), k)
     if not len(queries) or not len(data):
         return
@@ -174,24 +198,24 @@ def _pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     for row, vector in zip(matrix, vectors):
         row[: len(vector)] = vector
     scaled = np.floor(SCALE * matrix)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([key[0].as_py()], pa.int64()), pa.array([width]), pa.array([ids.tobytes()]), pa.array([scaled.tobytes()])],
-        ["block", "width", "ids", "matrix"],
-    )
+    tree = CoverTree(scaled).stored()
+    columns = [[key[0].as_py()], [width], [ids.tobytes()], [scaled.tobytes()], [tree]]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "width", "ids", "matrix", "tree"])
 
 
 def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Packed blocks of about ``size`` vectors, written, and their number."""
+    """Packed and indexed blocks of about ``size`` vectors, written, and their number."""
     count = max(1, -(-rows.count() // size))
     # repeated rows have one hash; the vector's norm order does not matter, so they may share a block
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "vector"), F.lit(count)))
-    packed = dealt.groupBy("block").applyInArrow(_pack, "block long, width long, ids binary, matrix binary")
+    packed = dealt.groupBy("block").applyInArrow(_pack, "block long, width long, ids binary, matrix binary, tree binary")
     return materialize(packed), count
 
 
 def _exact(values: np.ndarray, bound: float) -> np.ndarray:
-    if bound < SAFE:
-        return values.astype(np.int64)
+    """Whole numbers in a form whose inner products are exact: doubles if they are small enough."""
+    if bound * bound * values.shape[1] < EXACT:
+        return values
     return np.array([[int(x) for x in row] for row in values.tolist()], dtype=object).reshape(values.shape)
 
 
@@ -200,17 +224,19 @@ def _search(k: int):
         for batch in batches:
             for row in batch.to_pylist():
                 width = max(row["width"], row["q_width"], 1)
-                sides = []
+                sides, trees = [], []
                 for prefix in ("q_", ""):
                     own = row[prefix + "width"]
                     ids = np.frombuffer(row[prefix + "ids"], np.int64)
                     matrix = np.zeros((len(ids), width))
                     matrix[:, :own] = np.frombuffer(row[prefix + "matrix"], np.float64).reshape(len(ids), own)
                     sides.append((ids, matrix))
+                    trees.append(pickle.loads(row[prefix + "tree"]))
+                    trees[-1].place(matrix)
                 bound = max([np.abs(m).max(initial=0.0) for _, m in sides])
                 (query_ids, queries), (ids, data) = ((i, _exact(m, bound)) for i, m in sides)
                 out: list[tuple[int, int, int]] = []
-                for query, found, scores in dual_search(query_ids, queries, ids, data, k):
+                for query, found, scores in dual_search(query_ids, queries, ids, data, k, tuple(trees)):
                     limit = (1 << 63) - 1
                     scores = [max(-limit - 1, min(limit, int(s))) for s in scores]
                     out += zip([int(query_ids[query])] * len(found), found.tolist(), scores)
@@ -247,9 +273,7 @@ def top_k(
     asked = usable.filter(is_query).select(F.col(id_col).cast("long").alias("id"), vector.alias("vector")).distinct()
     held, _ = _blocks(data, data_block)
     queries, count = _blocks(asked, query_block)
-    named = queries.select(
-        F.col("block").alias("q_block"), F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
-    )
+    named = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("block", "width", "ids", "matrix", "tree")])
     # the stated query set against all rows, block by block
     paired = held.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
     pairs = paired.join(named, "q_block").repartition(F.col("block"), F.col("q_block"))
