@@ -144,8 +144,9 @@ def judge(
         "action",
         F.lit("").alias("place"),
     )
-    # a sample of fixed size, the smallest hashes, balances the ranges
-    picked = urls.select("place", F.xxhash64(F.lit(3), "place").alias("h")).orderBy("h").limit(sample)
+    # a sample by hash, about ``sample`` rows however many there are, balances the ranges
+    every = max(1, pages.count() // sample)
+    picked = urls.filter(F.pmod(F.xxhash64(F.lit(3), "place"), F.lit(every)) == 0).select("place").limit(4 * sample)
     places = sorted(r["place"] for r in picked.collect())
     ranges = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = sorted({places[len(places) * i // ranges] for i in range(1, ranges)}) if places else []
