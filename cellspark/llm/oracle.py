@@ -11,18 +11,18 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP4 = """
 WITH d AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS x FROM documents),
 w AS (SELECT r, doc_id, pos, min(doc_id) OVER (PARTITION BY k) AS least
-      FROM (SELECT r, doc_id, pos, md5(substr(x, 2 * pos + 1, 100)) AS k
-            FROM (SELECT r, doc_id, x, unnest(range(length(x) // 2 - 49)) AS pos FROM d))),
+      FROM (SELECT r, doc_id, pos, md5(x[pos + 1:pos + 50]) AS k
+            FROM (SELECT r, doc_id, x, unnest(range(octet_length(x) - 49)) AS pos FROM d))),
 h AS (SELECT r, pos, pos AS start FROM w WHERE least < doc_id),
-b AS (SELECT r, pos, substr(x, 2 * pos + 1, 2) AS b FROM (SELECT r, x, unnest(range(length(x) // 2)) AS pos FROM d)),
+b AS (SELECT r, pos, hex(x[pos + 1:pos + 1]) AS b FROM (SELECT r, x, unnest(range(octet_length(x))) AS pos FROM d)),
 c AS (SELECT r, pos, b, coalesce(max(start) OVER (PARTITION BY r ORDER BY pos) > pos - 50, false) AS gone
       FROM b LEFT JOIN h USING (r, pos)),
 s AS (SELECT *, lag(gone, 1, false) OVER (PARTITION BY r ORDER BY pos) AS before FROM c),
 k AS (SELECT r, count_if(gone) AS n_removed, count_if(gone AND NOT before) AS n_spans,
              coalesce(string_agg(b, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM s GROUP BY r)
-SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+SELECT doc_id, octet_length(x)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
 """
