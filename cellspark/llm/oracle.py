@@ -103,6 +103,66 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
 
+#: Levels that the SQL of the hash tree has: up to 8^7 leaves of a language and 8^2 languages.
+_LEVELS, _TOP_LEVELS = 7, 2
+
+
+def _framed(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _climb(level: int, group: str) -> str:
+    """Nodes of a level with their siblings, and the next level; a lone node stays as it is."""
+    return f"""
+s{level} AS (SELECT *, n{level} > 1 AS many, p{level} // 8 AS run,
+  coalesce(string_agg(d{level}, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+  coalesce(string_agg(d{level}, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM t{level} WINDOW w AS (PARTITION BY {group}, p{level} // 8 ORDER BY p{level})),
+t{level + 1} AS MATERIALIZED (SELECT {group}, run AS p{level + 1}, (n{level} + 7) // 8 AS n{level + 1},
+  CASE WHEN many THEN sha256(d{level} || a) ELSE d{level} END AS d{level + 1} FROM s{level} WHERE p{level} % 8 = 0),"""
+
+
+def _crc32(digits: str) -> str:
+    """CRC-32 of a short ASCII text, one bit after the other."""
+    byte = f"CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr({digits}, (i // 8)::BIGINT + 1, 1))::BIGINT) ELSE c END"
+    step = f"list_transform([{byte}], lambda v: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)[1]"
+    return f"xor(list_reduce(range(8 * strlen({digits})), lambda c, i: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def _op13() -> str:
+    fields = [_framed(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    up = "".join(_climb(k, "g") for k in range(_LEVELS))
+    top = "".join(_climb(k, "h") for k in range(_LEVELS + 1, _LEVELS + 1 + _TOP_LEVELS))
+    first, last = _LEVELS + 1, _LEVELS + 1 + _TOP_LEVELS
+    joins, proof = "", []
+    for k in range(_LEVELS):
+        joins += f" JOIN s{k} ON s{k}.g = l.g AND s{k}.p{k} = l.p0 // {8**k}"
+    joins += f" JOIN t{first} r ON r.g = l.g"
+    for k in range(first, last):
+        joins += f" JOIN s{k} ON s{k}.p{k} = r.p{first} // {8 ** (k - first)}"
+    for k in [*range(_LEVELS), *range(first, last)]:
+        proof.append(f"CASE WHEN s{k}.many THEN s{k}.b || s{k}.a ELSE '' END")
+    return f"""
+WITH l0 AS MATERIALIZED (SELECT doc_id, lang IS NULL AS x, coalesce(lang, '') AS y,
+  sha256({' || '.join([*fields, _framed('text')])}) AS leaf,
+  CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 THEN sha256({' || '.join([*fields, _framed(lowered)])}) END AS tampered_leaf
+  FROM documents),
+l AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY x DESC, y) AS g,
+  row_number() OVER (PARTITION BY x, y ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p0 FROM l0),
+t0 AS (SELECT g, p0, count(*) OVER (PARTITION BY g) AS n0, leaf AS d0 FROM l),{up}
+t{first} AS MATERIALIZED (SELECT 1 AS h, g, d{_LEVELS} AS d{first}, row_number() OVER (ORDER BY g) - 1 AS p{first},
+  count(*) OVER () AS n{first} FROM t{_LEVELS}),{top}
+o AS (SELECT doc_id, leaf, r.d{first} AS subroot, (SELECT d{last} FROM t{last}) AS root,
+  sha256({' || '.join(proof)}) AS proof_sha256, coalesce(tampered_leaf, leaf) AS node,
+  [{', '.join(f"{{'m': s{k}.many, 'b': s{k}.b, 'a': s{k}.a}}" for k in [*range(_LEVELS), *range(first, last)])}] AS path
+  FROM l{joins}),
+f AS (SELECT *, list_reduce(path, lambda d, s: {{'m': true, 'b': CASE WHEN s.m THEN sha256(s.b || d.b || s.a) ELSE d.b END, 'a': ''}},
+  {{'m': true, 'b': node, 'a': ''}}).b AS folded_root FROM o)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_suffix_array_dedup": OP4,
     "op5_warc": OP5,
@@ -110,4 +170,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": OP7,
     "op8_exact_top_k": OP8,
     "op9_decontamination": OP9,
+    "op13_merkle_manifest": _op13(),
 }

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from cellspark.llm import (
     decontaminate,
+    harmonic,
     language_id,
+    merkle,
     packing,
     sharding,
     simhash,
@@ -20,9 +22,10 @@ from cellspark.llm import (
     url_filter,
     warc,
 )
-from cellspark.llm.common import table
+from cellspark.llm.common import lower_ascii, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Fixed rules of the url query: host, path, action.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -111,6 +114,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonic.pack(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.row_digest(*fields, F.col("text")).alias("leaf"),
+        # only where it differs from the leaf
+        F.when(tampered, merkle.row_digest(*fields, lower_ascii("text"))).alias("tampered_leaf"),
+    )
+    found = merkle.manifest(leaves, "leaf", "lang", ["doc_id"])
+    folded = merkle.fold(F.coalesce("tampered_leaf", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -124,5 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_top_k,
         op9_decontamination,
         op10_simhash,
+        op12_harmonic_packing,
+        op13_merkle_manifest,
     )
 }

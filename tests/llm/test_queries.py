@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_all_are_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names)
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert set(ORACLE_SQL) <= set(entry_module.oracle_sql())
@@ -46,6 +46,10 @@ COLUMNS = {
         "doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint",
         "grown_shard": "int",
     },
+    "op12_harmonic_packing": {
+        "doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
+        "sequence_id": "bigint", "offset": "bigint",
+    },
     "op10_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
 }
 
