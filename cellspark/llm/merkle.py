@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cellspark.plans.scale import materialize, number_rows
+from cellspark.plans.scale import lookup_join, materialize, number_rows
 
 FANOUT = 8
 #: A path: per level the digests left and right of the node, lowest level first.
@@ -102,7 +102,8 @@ def _placed(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame
     """Rows with ``_place`` from 0 in their ``_group`` and the group's ``_nodes``."""
     placed = materialize(number_rows(rows, group, order, "_n").withColumn("_place", F.col("_n") - 1).drop("_n"))
     sizes = placed.groupBy("_group").agg(F.count(F.lit(1)).alias("_nodes"))
-    return placed.join(sizes, "_group")
+    # not a join dealt by the group: one may have most of the rows, and the windows would inherit its tasks
+    return lookup_join(placed, sizes, ["_group"], how="inner")
 
 
 def _tree(leaves: DataFrame, tops_of) -> DataFrame:
@@ -123,7 +124,8 @@ def _tree(leaves: DataFrame, tops_of) -> DataFrame:
         "_group", F.col("_place").alias("_run"), F.col("_path").alias("_above")
     )
     many = _beside(_with_run(leaves.filter("_nodes > 1"))).join(upper, ["_group", "_run"]).withColumn("_path", _longer())
-    many = many.drop("_run", "_before", "_after", "_above").join(tops.select("_group", "_top"), "_group")
+    many = many.drop("_run", "_before", "_after", "_above")
+    many = lookup_join(many, tops.select("_group", "_top"), ["_group"], how="inner")
     return many.unionByName(single.select(many.columns))
 
 
