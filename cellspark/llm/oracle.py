@@ -1,6 +1,6 @@
 """DuckDB SQL for the training-data queries that SQL can express.
 
-Language ID, packing, the seeded shuffle and SimHash are not among them (a trained model, a tokenizer, a
+Language ID, both packings, the seeded shuffle and SimHash are not among them (a trained model, a tokenizer, a
 random permutation, XXH64); their tests compare with brute force.
 """
 
@@ -163,6 +163,58 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 """
 
 
+_NAME = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+_TAIL = r"'([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z'"
+
+OP11 = f"""
+WITH RECURSIVE d0 AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32('(' + _NAME + ')')} % 20 AS fate FROM conversations),
+d1 AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN fate = 0 THEN 0 WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy FROM d0),
+d2 AS (SELECT *, coalesce(conv_id::VARCHAR, '') AS g, regexp_extract(text, {_TAIL}, 1) AS tail,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM d1),
+d AS MATERIALIZED (SELECT *, substr(role, 1, 1) AS x, CASE WHEN tail = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY g ORDER BY n) AS before FROM d2),
+c AS (SELECT g, count(*) AS n, CASE WHEN max(turn) IS NULL THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+    count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+    count_if(n > 1 AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM d GROUP BY g),
+w AS (
+  SELECT g, 0::BIGINT AS n, '' AS st, 0 AS cost, '' AS audit, '' AS lines FROM c
+  UNION ALL
+  SELECT g, n, st, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY g, st ORDER BY cost, audit) AS best FROM (
+      SELECT i.g, i.n + 1 AS n,
+        CASE edit WHEN 'D' THEN i.st WHEN 'K' THEN d.x ELSE CASE i.st WHEN 'u' THEN 'a' ELSE 'u' END END AS st,
+        i.cost + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+          + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+        i.audit || edit AS audit,
+        i.lines || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || d.role || ':' || d.text
+          ELSE chr(10) || CASE i.st WHEN 'u' THEN 'assistant:' ELSE 'user:' END || d.text END AS lines
+      FROM (SELECT g, n, CASE WHEN NOT ins THEN st WHEN st = 'u' THEN 'a' ELSE 'u' END AS st,
+              cost + CASE WHEN ins THEN 5 ELSE 0 END AS cost, audit || CASE WHEN ins THEN 'I' ELSE '' END AS audit,
+              lines || CASE WHEN NOT ins THEN '' WHEN st = 'u' THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END AS lines
+            FROM w, (VALUES (false), (true)) AS v(ins)) i
+      JOIN d ON d.g = i.g AND d.n = i.n + 1, (VALUES ('D'), ('K'), ('R')) AS e(edit)
+      WHERE edit = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (edit = 'R' OR (d.x = 's' AND i.st = '')
+        OR (d.x = 'u' AND i.st <> 'u') OR (d.x = 'a' AND i.st = 'u')))))
+  WHERE best = 1),
+z AS (SELECT w.g, w.cost + CASE st WHEN 'u' THEN 5 WHEN 's' THEN 10 ELSE 0 END AS cost,
+    audit || CASE st WHEN 'u' THEN 'I' WHEN 's' THEN 'II' ELSE '' END AS audit,
+    lines || CASE st WHEN 'u' THEN chr(10) || 'assistant:' WHEN 's' THEN chr(10) || 'user:' || chr(10) || 'assistant:' ELSE '' END AS lines
+  FROM w JOIN c ON c.g = w.g AND c.n = w.n),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY cost, audit) AS best FROM z)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank,
+  coalesce(c.duplicate, 0)::BIGINT AS duplicate, coalesce(c.truncated, 0)::BIGINT AS truncated,
+  coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(r.cost, 0)::BIGINT AS cost, coalesce(r.audit, '') AS audit,
+  sha256(coalesce(substr(r.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '') AS g FROM conversations) o
+LEFT JOIN c USING (g) LEFT JOIN (SELECT * FROM r WHERE best = 1) r USING (g)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_suffix_array_dedup": OP4,
     "op5_warc": OP5,
@@ -170,5 +222,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": OP7,
     "op8_exact_top_k": OP8,
     "op9_decontamination": OP9,
+    "op11_conversation_repair": OP11,
     "op13_merkle_manifest": _op13(),
 }

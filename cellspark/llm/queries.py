@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.llm import (
+    conversations,
     decontaminate,
     harmonic,
     language_id,
@@ -114,6 +115,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.repair(conversations.damage(given))
+    key = F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    rows = given.select("conv_id").distinct().select("conv_id", key)
+    rows = rows.join(found.report.select(key, *counts, "audit"), "_id", "left")
+    rows = rows.join(found.digests().select(key, "repaired_sha256"), "_id", "left")
+    return rows.select(
+        "conv_id",
+        *[F.when(F.col("audit").isNull(), 0).otherwise(F.col(c)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic.pack(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
@@ -155,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_top_k,
         op9_decontamination,
         op10_simhash,
+        op11_conversation_repair,
         op12_harmonic_packing,
         op13_merkle_manifest,
     )
