@@ -1,6 +1,6 @@
 """URL filters by a sort-merge range join.
 
-A host's labels are reversed into a canonical key (``www.example.com`` becomes ``com,example,www,``), so a
+A host's labels are reversed into a canonical key (``www.example.com`` becomes ``com/example/www/``; no host holds a slash), so a
 host and all its subdomains are the keys that begin with the host's key: an interval. Rules and urls are
 ranged by this key and each range is swept once in sorted order. The sweep keeps a stack of the rules
 whose interval is open; intervals of prefixes are nested, so closing ones are on top. A url is judged
@@ -37,9 +37,9 @@ def path_of(url: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    """Reversed labels, each followed by a comma; empty for an empty host."""
+    """Reversed labels, each followed by a slash, which no host holds; empty for an empty host."""
     return F.when(host == "", F.lit("")).otherwise(
-        F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(","))
+        F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "/"), F.lit("/"))
     )
 
 
@@ -116,7 +116,8 @@ def judge(
     url's path begins with the rule's path; the longest host and path together win, then the longer
     host, then the later rule in the order of (host, path, action). Without a fitting rule ``rule`` is
     null and the verdict is ``default``. A null url, or one without ``://``, has an empty host and path
-    and fits no rule; so does an empty host. Rules with a null in them or an empty host are none. Other
+    and fits no rule; so does an empty host. Rules with a null in them, or with an empty host or one with a
+    slash, are none. Other
     columns are left out.
     """
     ship(pages.sparkSession)
@@ -132,7 +133,7 @@ def judge(
         F.lit(None).cast("string").alias("rule"),
         F.lit(None).cast("string").alias("action"),
     ).withColumn("place", F.concat("key", F.lit("\x01"), "path", F.lit("\x01"), salt))
-    valid = rules.filter("host is not null and path is not null and action is not null and host <> ''").distinct()
+    valid = rules.filter("host is not null and path is not null and action is not null and host <> '' and not contains(host, '/')").distinct()
     host = lower_ascii(F.col("host"))
     rows = valid.select(
         F.lit(0).alias("kind"),

@@ -28,6 +28,13 @@ URLS = [
     (13, "http:///en/"),
     (14, "http://www.example.com./en/"),
     (15, "http://m.www.example.com/enough"),
+    # a comma or any other mark may stand in a host and divides no labels
+    (16, "http://foo.net,evil/es/x"),
+    (17, "http://a.com,b/en/"),
+    (18, "http://x,net/es/"),
+    (19, "http://com,example/en/"),
+    (20, "http://a!.net/es/"),
+    (21, "http://www.example.com,/en/"),
 ]
 MORE = [
     ("example.com", "", "allow"),
@@ -36,6 +43,7 @@ MORE = [
     ("", "/", "block"),
     (None, "/", "block"),
     ("net", None, "block"),
+    ("evil/net", "/", "block"),
 ]
 
 
