@@ -10,8 +10,10 @@ the pairs find (k rows for each query) is merged by rank.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ LEAF = 32
 STEP = 256
 #: Whole numbers up to here are exact in a double.
 EXACT = float(1 << 53)
+#: Components beyond this are compared one by one: their distances would overflow a double.
+VAST = 1e140
 
 
 class CoverTree:
@@ -197,9 +201,9 @@ def _pack(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     matrix = np.zeros((len(vectors), width))
     for row, vector in zip(matrix, vectors):
         row[: len(vector)] = vector
-    scaled = np.floor(SCALE * matrix)
-    tree = CoverTree(scaled).stored()
-    columns = [[key[0].as_py()], [width], [ids.tobytes()], [scaled.tobytes()], [tree]]
+    vast = np.abs(matrix).max(initial=0.0) > VAST
+    tree = CoverTree(np.floor(SCALE * matrix[:0] if vast else SCALE * matrix)).stored()
+    columns = [[key[0].as_py()], [width], [ids.tobytes()], [matrix.tobytes()], [tree]]
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "width", "ids", "matrix", "tree"])
 
 
@@ -213,10 +217,19 @@ def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
 
 
 def _exact(values: np.ndarray, bound: float) -> np.ndarray:
-    """Whole numbers in a form whose inner products are exact: doubles if they are small enough."""
-    if bound * bound * values.shape[1] < EXACT:
-        return values
-    return np.array([[int(x) for x in row] for row in values.tolist()], dtype=object).reshape(values.shape)
+    """floor(1024 * x) in a form whose inner products are exact: doubles if they are small enough."""
+    if bound * bound * SCALE * SCALE * values.shape[1] < EXACT:
+        return np.floor(SCALE * values)
+    # a double from 2^53 on is whole, and 1024 times a smaller one is exact
+    whole = [[int(x) * int(SCALE) if abs(x) >= EXACT else math.floor(SCALE * x) for x in row] for row in values.tolist()]
+    return np.array(whole, dtype=object).reshape(values.shape)
+
+
+def _one_by_one(query_ids, queries, ids, data, k):
+    """What ``dual_search`` gives, without any bound."""
+    for query, own in enumerate(queries):
+        scored = sorted((-sum(map(mul, own, row)), i) for row, i in zip(data.tolist(), ids.tolist()) if i != query_ids[query])[:k]
+        yield query, np.array([i for _, i in scored], np.int64), [-score for score, _ in scored]
 
 
 def _search(k: int):
@@ -232,11 +245,16 @@ def _search(k: int):
                     matrix[:, :own] = np.frombuffer(row[prefix + "matrix"], np.float64).reshape(len(ids), own)
                     sides.append((ids, matrix))
                     trees.append(pickle.loads(row[prefix + "tree"]))
-                    trees[-1].place(matrix)
                 bound = max([np.abs(m).max(initial=0.0) for _, m in sides])
                 (query_ids, queries), (ids, data) = ((i, _exact(m, bound)) for i, m in sides)
                 out: list[tuple[int, int, int]] = []
-                for query, found, scores in dual_search(query_ids, queries, ids, data, k, tuple(trees)):
+                if bound > VAST:
+                    searched = _one_by_one(query_ids, queries.tolist(), ids, data, k)
+                else:
+                    for tree, (_, matrix) in zip(trees, sides):
+                        tree.place(np.floor(SCALE * matrix))
+                    searched = dual_search(query_ids, queries, ids, data, k, tuple(trees))
+                for query, found, scores in searched:
                     limit = (1 << 63) - 1
                     scores = [max(-limit - 1, min(limit, int(s))) for s in scores]
                     out += zip([int(query_ids[query])] * len(found), found.tolist(), scores)
@@ -262,7 +280,7 @@ def top_k(
     Components become floor(1024 * x). Queries are the rows where ``is_query`` holds, candidates all rows
     with another id. Ties go to the smaller id. Rows with a null id, a null vector, or a null or
     non-finite component take no part. A shorter vector counts as padded with zeros. Rows with equal ids
-    are candidates each. Scores beyond 64 bits are clipped. Other columns are left out.
+    are candidates each, and the queries among them have one ranking together. Scores beyond 64 bits are clipped. Other columns are left out.
     """
     ship(vectors.sparkSession)
     vector = F.col(vector_col).cast("array<double>")

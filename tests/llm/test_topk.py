@@ -1,6 +1,7 @@
 """Dual-tree search against all inner products."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from .conftest import SF
 
 def expected(rows, step, k=10):
     sound = [
-        (i, [math.floor(1024 * x) for x in v])
+        (i, [math.floor(1024 * Fraction(x)) for x in v])
         for i, v in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
@@ -57,6 +58,14 @@ def test_odd_vectors(spark):
     assert got(found) == expected(rows, 20)
 
 
+def test_vast_components(spark):
+    """1024 times a finite component may overflow a double; the whole numbers do not."""
+    rows = [(0, [1e306, 1.0]), (1, [1e-306, 2.0]), (2, [-1e306, 0.5]), (3, [0.0, 1e14]), (4, [0.0, -7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [(q, r, i, max(-(2**63), min(2**63 - 1, s))) for q, r, i, s in expected(rows, 4)]
+    assert got(topk.top_k(df, F.col("vec_id") % 4 == 0)) == want
+
+
 def test_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<float>")
     assert got(topk.top_k(df, F.col("vec_id") == 0)) == [(0, 1, 2, 3072 * 1024), (0, 2, 1, 2048 * 1024)]
