@@ -17,6 +17,7 @@ buckets, so a length that a third of all documents have is spread over many task
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -56,7 +57,10 @@ class _Ids(dict):
         super().__init__({"": b""})
         self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        # words are ordinary text; where a text has an added token's string, it is cut before
         self.tokenizer.encode_special_tokens = True
+        self.added = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if self.added else None
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -64,6 +68,19 @@ class _Ids(dict):
             self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as the tokenizer gives them."""
+        cut = [self.cut.split(t) if self.cut else [t] for t in texts]
+        if all(len(parts) == 1 for parts in cut):
+            return self._encode(texts)
+        ids = iter(self._encode([part for parts in cut for part in parts[::2]]))
+        whole = []
+        for parts in cut:
+            # every other part is an added token
+            tokens = [np.array([self.added[t]], "<u4").tobytes() for t in parts[1::2]]
+            whole.append(next(ids) + b"".join(token + next(ids) for token in tokens))
+        return whole
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [_latin_lower(t).replace("\n", " ").split(" ") for t in texts]
         known = [list(map(self.get, words)) for words in split]
         new = {
@@ -79,7 +96,6 @@ class _Ids(dict):
                 ids[:] = [learned[w] if found is None else found for w, found in zip(words, ids)]
         return [b"".join(ids) for ids in known]
 
-
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         """Ids of the new words; those that are not too long are remembered."""
         ids_of: dict[str, bytes] = {}

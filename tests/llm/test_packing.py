@@ -53,9 +53,9 @@ def test_empty(nothing):
 
 
 def test_words_give_the_ids_of_the_text():
-    texts = ["Don't  stop\tnow\r\nor ever end", "é ́x İ ΣΣ", "a" * 500, "<|endoftext|> x"]
+    texts = ["Don't  stop\tnow\r\nor ever end", "é ́x İ ΣΣ", "a" * 500, "<|endoftext|> x", "a <|endoftext|> b"]
+    texts += ["x<|endoftext|><|startoftext|>Y, <|ENDOFTEXT|>", "<|endoftext|>", "don<|endoftext|>'t <|endof\ntext|>"]
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     expected = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert packing._Ids(TOKENIZER).encode(texts) == expected
 
