@@ -1,67 +1,65 @@
-"""Paired FASTQ files as a Spark data source."""
+"""Paired FASTQ files as a Spark data source.
+
+Plain and block-gzip lanes are read in parallel. The line index of both mate files (``splits``) tells the number of the
+first line of every split, so a task knows which records begin in its split of R1, by count and not by the look of the
+lines. It reads those and enters R2 at the split that holds the first of them: pairs meet by record number without a
+shuffle. A lane with an ordinary gzip file is one streaming task.
+"""
 
 from __future__ import annotations
 
-import gzip
-import io
+import json
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from cellspark.session import ship
+from cellspark.sources import splits
+
 SCHEMA = "sample string, lane int, ord long, header string, r1_seq string, r1_qual string, r2_seq string, r2_qual string"
 BATCH = 20_000
-BUFFER = 1 << 20
-
-
-class LanePair(InputPartition):
-    """Both files of one lane of one sample."""
 
-    def __init__(self, sample: str, lane: int, r1: str, r2: str):
-        self.sample, self.lane, self.r1, self.r2 = sample, lane, r1, r2
 
+class LaneSplit(InputPartition):
+    """Records ``first`` up to ``last`` (null: to the end) of one lane. Mates are (path, kind, offset, skip, line) or null."""
 
-def _lines(path: str):
-    """Text lines of a plain or gzip file (several members allowed) on any file system Arrow knows."""
-    from pyarrow import fs
+    def __init__(self, sample: str, lane: int, first: int, last: int | None, r1: list, r2: list | None):
+        self.sample, self.lane, self.first, self.last, self.r1, self.r2 = sample, lane, first, last, r1, r2
 
-    if "://" in path or path.startswith("file:"):
-        system, name = fs.FileSystem.from_uri(path)
-    else:
-        system, name = fs.LocalFileSystem(), path
-    stream = io.BufferedReader(system.open_input_file(name), BUFFER)
-    raw = gzip.GzipFile(fileobj=stream) if stream.peek(2)[:2] == b"\x1f\x8b" else stream
-    return io.TextIOWrapper(io.BufferedReader(raw, BUFFER), encoding="ascii", errors="replace", newline="\n")
 
-
-def _records(path: str):
-    """(header, sequence, quality) of each record; a cut-off last record has empty fields."""
-    with _lines(path) as lines:
-        while True:
-            four = [line.rstrip("\r\n") for line in islice(lines, 4)]
+def _records(mate: list | None, first: int, last: int | None):
+    """(header, sequence, quality) of the records; a cut-off last record has empty fields."""
+    if mate is None:
+        return
+    path, kind, offset, skip, line = mate
+    with splits.lines_from(path, kind, offset, skip) as lines:
+        for _ in islice(lines, 4 * first - line):
+            pass
+        number = first
+        while last is None or number < last:
+            four = [raw.decode("ascii", "replace").rstrip("\r\n") for raw in islice(lines, 4)]
             if not four:
                 return
             four += [""] * (4 - len(four))
             yield four[0], four[1], four[3]
+            number += 1
 
 
 class FastqPairReader(DataSourceReader):
     def __init__(self, options):
-        n = int(options["lanes"])
-        self.lanes = [
-            LanePair(options[f"sample{i}"], int(options[f"lane{i}"]), options[f"r1_{i}"], options[f"r2_{i}"])
-            for i in range(n)
-        ]
+        self.lanes = [LaneSplit(*lane) for lane in json.loads(options["lanes"])]
 
     def partitions(self):
         return self.lanes
 
-    def read(self, partition: LanePair):
+    def read(self, partition: LaneSplit):
         import pyarrow as pa
 
         fields = ("header", "r1_seq", "r1_qual", "r2_seq", "r2_qual")
         columns: list[list[str]] = [[] for _ in fields]
-        done = 0
+        done = partition.first
 
         def batch():
             n = len(columns[0])
@@ -74,8 +72,8 @@ class FastqPairReader(DataSourceReader):
                 }
             )
 
-        mates = _records(partition.r2)
-        for header, seq, qual in _records(partition.r1):
+        mates = _records(partition.r2, partition.first, partition.last)
+        for header, seq, qual in _records(partition.r1, partition.first, partition.last):
             _, mate_seq, mate_qual = next(mates, ("", "", ""))
             for column, value in zip(columns, (header, seq, qual, mate_seq, mate_qual)):
                 column.append(value)
@@ -99,17 +97,74 @@ class FastqPairSource(DataSource):
         return FastqPairReader(self.options)
 
 
-def read_fastq_pairs(spark: SparkSession, sheet: DataFrame, partitions: int | None = None) -> DataFrame:
+def lane_splits(sample: str, lane: int, r1: str, r2: str, files: dict[str, splits.FileLines]) -> list[tuple]:
+    """What tasks read of one lane: a ``LaneSplit``'s fields for each split of R1 in which a record begins."""
+    left, right = files.get(r1), files.get(r2)
+    if any(f is not None and f.lines is None for f in (left, right)):
+        whole = [[path, splits.STREAM, 0, 0, 0] for path in (r1, r2)]
+        return [(sample, lane, 0, None, *whole)]
+    if left is None:  # an empty file
+        return []
+    records = -(-left.lines // 4)
+    starts = sorted({-(-line // 4) for line, _, _ in left.entries} - {records} | {0})
+    found = []
+    for first, last in zip(starts, [*starts[1:], records]):
+        mates = []
+        for path, file in ((r1, left), (r2, right)):
+            if file is None or 4 * first >= file.lines:
+                mates.append(None)  # nothing there
+            else:
+                line, offset, skip = file.entry(4 * first)
+                mates.append([path, file.kind, offset, skip, line])
+        found.append((sample, lane, first, last, *mates))
+    return found
+
+
+def read_fastq_pairs(
+    spark: SparkSession,
+    sheet: DataFrame,
+    partitions: int | None = None,
+    split_bytes: int = splits.SPLIT_BYTES,
+    index: DataFrame | None = None,
+    merged: bool = False,
+) -> DataFrame:
     """Read pairs of every lane of a sample sheet, mates matched by their place in the file.
 
-    gzip cannot be split, so a lane is one streaming task that holds one batch at a time.
-    ``partitions`` spreads the rows evenly afterwards; do that, or write Parquet, before heavy work.
-    Only the lanes' names pass through the driver.
+    ``ord`` counts a lane's records from 0. ``merged`` counts on over a sample's lanes, in lane order, as if their
+    files had been concatenated; lanes that have to be streamed are read once more for that. Missing mates are empty,
+    mates beyond R1's end are left out. ``index`` is what ``splits.line_index`` gave for these files before.
+    ``partitions`` spreads the rows evenly afterwards. Lanes' names and one entry per task pass through the driver.
     """
+    ship(spark)
     spark.dataSource.register(FastqPairSource)
     lanes = sheet.select("sample", "lane", "fastq_1", "fastq_2").collect()
-    options = {"lanes": str(len(lanes))}
-    for i, row in enumerate(lanes):
-        options |= {f"sample{i}": row[0], f"lane{i}": str(row[1]), f"r1_{i}": row[2], f"r2_{i}": row[3]}
-    reads = spark.read.format("fastq_pairs").options(**options).load()
+    paths = [path for row in lanes for path in (row["fastq_1"], row["fastq_2"])]
+    if not lanes:
+        return spark.createDataFrame([], SCHEMA)
+    files = splits.file_lines(index if index is not None else splits.line_index(spark, paths, split_bytes))
+    parts = [part for row in lanes for part in lane_splits(*row, files)]
+    if not parts:
+        return spark.createDataFrame([], SCHEMA)
+    reads = spark.read.format("fastq_pairs").option("lanes", json.dumps(parts)).load()
+    if merged:
+        reads = _merged(spark, reads, parts)
     return reads.repartition(partitions) if partitions else reads
+
+
+def _merged(spark: SparkSession, reads: DataFrame, parts: list[tuple]) -> DataFrame:
+    """``ord`` counted on over the lanes of a sample."""
+    counts: dict[tuple[str, int], int] = {}
+    for sample, lane, _, last, *_ in parts:
+        counts[sample, lane] = max(counts.get((sample, lane), 0), last or 0)
+    streamed = [(sample, lane) for sample, lane, _, last, *_ in parts if last is None]
+    if streamed:
+        names = spark.createDataFrame(streamed, "sample string, lane int")
+        sized = reads.join(F.broadcast(names), ["sample", "lane"]).groupBy("sample", "lane").count()
+        counts |= {(row[0], row[1]): row[2] for row in sized.collect()}
+    before, sums = [], {}
+    for (sample, lane), n in sorted(counts.items()):
+        before.append((sample, lane, sums.get(sample, 0)))
+        sums[sample] = sums.get(sample, 0) + n
+    # one row per lane
+    lanes = F.broadcast(spark.createDataFrame(before, "sample string, lane int, _before long"))
+    return reads.join(lanes, ["sample", "lane"]).withColumn("ord", F.col("ord") + F.col("_before")).drop("_before")
