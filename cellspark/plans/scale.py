@@ -150,3 +150,24 @@ def number_rows(df: DataFrame, group: list[str], order: list[Column], name: str)
         .withColumn(name, (F.col("_rank") + F.col("_offset")).cast("long"))
         .drop("_range", "_rank", "_offset", *order_names)
     )
+
+
+def prefix_sums(df: DataFrame, group: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``value`` (a long, not null) over the rows before this one in its group.
+
+    The order has to be total. As in ``number_rows``, ranges sum their own rows and add the sums of earlier ranges.
+    """
+    order_names = [f"_o{i}" for i in range(len(order))]
+    keyed = df.select("*", value.alias("_value"), *[o.alias(n) for o, n in zip(order, order_names)])
+    sort_cols = [F.col(c) for c in group + order_names]
+    ranged = materialize(keyed.repartitionByRange(*sort_cols).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(*group, "_range").agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*group, "_range").orderBy(*order_names).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_before", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    return (
+        summed.join(offsets, group + ["_range"])
+        .withColumn(name, (F.col("_before") + F.col("_offset")).cast("long"))
+        .drop("_range", "_before", "_offset", "_value", *order_names)
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ from cellspark.operators import (
     report,
 )
 from cellspark.plans import bridge, pipeline
-from cellspark.plans.scale import materialize
-from cellspark.sources import readers, writers
+from cellspark.plans.scale import checkpoint_root, materialize
+from cellspark.sources import fastq, readers, single_file, sparse, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -765,6 +766,89 @@ def matrix_lines(spark, sf):
     return writers.matrix_lines(matrix.matrix_entries(tables.counts, genes, cols), genes, cols)
 
 
+# --- files written and read again -------------------------------------------------------------
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder that all executors share."""
+    return f"{checkpoint_root(spark)}/files-{uuid.uuid4().hex}"
+
+
+@query
+def fastq_lanes(spark, sf):
+    """Reads as a block-gzip and a plain lane per sample, read in splits, lanes merged."""
+    path = _folder(spark)
+    lane = F.length("header") % 2 + 1
+    reads = _reads(spark, sf).select("*", lane.cast("int").alias("lane"))
+    sheet = []
+    for number, ending in ((1, ".fastq.gz"), (2, ".fastq")):
+        for mate in ("r1", "r2"):
+            named = reads.filter(F.col("lane") == number).withColumn("file", F.concat("sample", F.lit(f"_L{number}_{mate}{ending}")))
+            files = writers.write_fastq_files(named, "header", f"{mate}_seq", f"{mate}_qual", ["header"], path, number == 1)
+            sheet += [(f.split("_L")[0], number, mate, f"{path}/{f}") for f in files]
+    rows = spark.createDataFrame(sheet, "sample string, lane int, mate string, file string")
+    lanes = rows.groupBy("sample", "lane").agg(
+        *[F.max(F.when(F.col("mate") == m, F.col("file"))).alias(c) for m, c in (("r1", "fastq_1"), ("r2", "fastq_2"))]
+    )
+    found = fastq.read_fastq_pairs(spark, lanes, split_bytes=4 << 20, merged=True)
+    return found.select("sample", "lane", "ord", "header", "r1_seq", "r1_qual", "r2_seq", "r2_qual")
+
+
+@query
+def file_line_ordinals(spark, sf):
+    """Lines of several files, numbered without gaps from the first file's first to the last file's last."""
+    path = _folder(spark)
+    lines = _whitelist(spark, sf).select(
+        F.concat(F.lit("list"), (F.col("row_no") % 3).cast("string"), F.lit(".txt")).alias("file"), F.col("barcode").alias("value"), "row_no"
+    )
+    single_file.write_files(lines, ["row_no"], path, packed=False)
+    return readers.file_ordinals(spark.read.text(path).select("value", "_metadata")).select("value", "row_no")
+
+
+def _matrix_parts(spark, sf):
+    tables = _tables(spark, sf)
+    genes = materialize(matrix.index_genes(tables.counts, tables.genes, bridge.sample_names(spark, sf)))
+    cols = materialize(matrix.index_barcodes(tables.totals))
+    return materialize(matrix.matrix_entries(tables.counts, genes, cols)), genes, cols
+
+
+@query
+def matrix_files(spark, sf):
+    """One MatrixMarket file per sample, read again line by line."""
+    path = _folder(spark)
+    writers.write_matrix_files(*_matrix_parts(spark, sf), path)
+    return writers.read_matrix_files(spark, path)
+
+
+def _sparse(spark, sf) -> str:
+    path = _folder(spark)
+    sparse.write_sparse(*_matrix_parts(spark, sf), path)
+    return path
+
+
+@query
+def sparse_pointers(spark, sf):
+    """Where each barcode's and each gene's entries begin."""
+    path = _sparse(spark, sf)
+    both = [sparse.read_pointers(spark, path, axis).withColumn("axis", F.lit(axis)) for axis in sparse.AXES]
+    return both[0].unionByName(both[1])
+
+
+@query
+def sparse_entries(spark, sf):
+    """The entries of both compressed forms, read from their files."""
+    path = _sparse(spark, sf)
+    both = [sparse.read_entries(spark, path, axis).withColumn("axis", F.lit(axis)) for axis in sparse.AXES]
+    return both[0].unionByName(both[1])
+
+
+@query
+def sparse_slice(spark, sf):
+    """Barcodes 20 to 60 and genes 100 to 300 of every sample, read as ranges of places."""
+    path = _sparse(spark, sf)
+    both = [sparse.read_slice(spark, path, axis, *span).withColumn("axis", F.lit(axis)) for axis, span in (("rows", (20, 60)), ("columns", (100, 300)))]
+    return both[0].unionByName(both[1])
+
+
 @query
 def samplesheet_rows(spark, sf):
     """Lanes per sample, blanks, thresholds as text."""

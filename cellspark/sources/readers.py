@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from cellspark.plans.scale import lookup_join, materialize
+
 _BLOCK = 1 << 20
 _PER_BLOCK = 1 << 33
 
@@ -24,6 +26,35 @@ def file_order(df: DataFrame, name: str = "row_no") -> DataFrame:
     return df.select("*", (block * F.lit(_PER_BLOCK) + counter).alias(name))
 
 
+def file_ordinals(df: DataFrame, name: str = "row_no", per_file: bool = False) -> DataFrame:
+    """Consecutive numbers from 0 for the rows read from files, on through all files in the order of their paths.
+
+    ``per_file``: from 0 in each file.
+    ``df`` is a file read that still has ``_metadata``. Each file block is read by one task in its order, so a count
+    per block and the sums of the counts before it are all that is needed; no row is sorted. The rows are written once
+    with their block, because a later read might cut the files differently.
+    """
+    counted = materialize(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+        )
+    )
+    blocks = counted.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least"))
+    # blocks of a file, then files: one row per block, one per file
+    in_file = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("_path").agg(F.sum("_rows").alias("_n"))
+    over_files = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.lit(0) if per_file else F.coalesce(F.sum("_n").over(over_files), F.lit(0))
+    starts = files.select("_path", start.alias("_start"))
+    sums = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(in_file), F.lit(0))).join(starts, "_path")
+    offsets = sums.select("_path", "_block", (F.col("_start") + F.col("_before") - F.col("_least")).alias("_shift"))
+    numbered = lookup_join(counted, offsets, ["_path", "_block"], how="inner")
+    return numbered.select(*df.columns, (F.col("_id") + F.col("_shift")).alias(name))
+
+
 def read_samplesheet(spark: SparkSession, path: str, mixed: bool = False) -> DataFrame:
     """``sample, lane, fastq_1, fastq_2`` and the manual thresholds of the mode.
 

@@ -6,11 +6,13 @@ the whole file; gzip parts may simply be concatenated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.functions import names
 from cellspark.functions.formatting import format_value, plain
+from cellspark.sources.readers import file_ordinals
+from cellspark.sources.single_file import write_files
 
 MATRIX_HEADER = "%%MatrixMarket matrix coordinate integer general"
 FEATURE_TYPE = "Gene Expression"
@@ -60,6 +62,40 @@ def write_matrix(entries: DataFrame, genes: DataFrame, barcodes: DataFrame, path
     _ordered_text(rows, ["gene_index"], f"{path}/features.tsv", "gzip")
 
 
+def _in_file(df: DataFrame, name: str) -> DataFrame:
+    """Lines with their file: ``name`` in a folder per sample."""
+    folder = F.replace(F.replace(F.col("sample"), F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
+    return df.withColumn("file", F.concat(F.lit("sample="), folder, F.lit(f"/{name}")))
+
+
+def write_matrix_files(entries: DataFrame, genes: DataFrame, barcodes: DataFrame, path: str) -> dict[str, int]:
+    """``matrix.mtx.gz``, ``barcodes.tsv.gz`` and ``features.tsv.gz`` of every sample, one file each.
+
+    Header lines come first in each matrix file, entries by column and row, so any reader of the format opens them.
+    Samples without entries get a matrix file of no entries. Returns the files' sizes; ``write_matrix`` writes folders
+    of parts instead.
+    """
+    lines = matrix_lines(entries, genes, barcodes)
+    sizes = write_files(_in_file(lines, "matrix.mtx.gz"), ["c", "g"], path)
+    cells = barcodes.withColumn("value", F.concat_ws("_", "sample", "barcode"))
+    sizes |= write_files(_in_file(cells, "barcodes.tsv.gz"), ["barcode_index"], path)
+    rows = genes.withColumn("value", F.concat_ws("\t", "gene_id", F.coalesce("gene_name", F.lit("")), F.lit(FEATURE_TYPE)))
+    return sizes | write_files(_in_file(rows, "features.tsv.gz"), ["gene_index"], path)
+
+
+def read_matrix_files(spark: SparkSession, path: str) -> DataFrame:
+    """``sample, line, row, col, n`` of the files ``write_matrix_files`` makes; line 0 holds the dimensions."""
+    lines = spark.read.text(f"{path}/sample=*/matrix.mtx.gz")
+    folder = F.url_decode(F.replace(F.regexp_extract(F.col("_metadata.file_path"), r"/sample=([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B")))
+    # once for the path of the file, once for the name in it
+    sample = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    numbered = file_ordinals(lines.select("value", sample.alias("sample"), "_metadata"), "line", per_file=True)
+    parts = F.split("value", " ")
+    return numbered.filter(~F.col("value").startswith("%")).select(
+        "sample", (F.col("line") - 2).alias("line"), *[parts[i].cast("long").alias(c) for i, c in enumerate(("row", "col", "n"))]
+    )
+
+
 def write_counts(counts: DataFrame, cells: DataFrame, genes: DataFrame, path: str) -> None:
     """The annotated matrix as three Parquet tables; counts and cells are split by sample."""
     counts.write.mode("overwrite").partitionBy("sample").parquet(f"{path}/counts")
@@ -182,6 +218,12 @@ def write_fastq(passed: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").partitionBy("sample").option("compression", "gzip").text(path)
 
 
+def write_fastq_files(reads: DataFrame, header: str, seq: str, qual: str, order: list[str], path: str, packed: bool = True) -> dict[str, int]:
+    """The records of each ``file`` of ``reads`` in the given order as one FASTQ file, block-gzip or plain."""
+    value = F.concat_ws("\n", header, seq, F.lit("+"), qual)
+    return write_files(reads.select("file", *order, value.alias("value")), order, path, packed)
+
+
 def write_rejected_fastq(failed: DataFrame, path: str) -> None:
     """R1 and R2 of the reads that did not pass."""
     for mate in ("r1", "r2"):

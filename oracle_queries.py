@@ -630,6 +630,15 @@ GENE_USE = {
     "bindex": "SELECT sample, barcode, row_number() OVER (PARTITION BY sample ORDER BY barcode) AS barcode_index FROM totals",
 }
 
+EARLIER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+COMPRESSED = """
+    SELECT sample, 'rows' AS axis, barcode_index AS major, gene_index AS minor, n,
+           row_number() OVER (PARTITION BY sample ORDER BY barcode_index, gene_index) - 1 AS place
+    FROM counts JOIN gindex USING (sample, gene_id) JOIN bindex USING (sample, barcode)
+    UNION ALL SELECT sample, 'columns', gene_index, barcode_index, n,
+           row_number() OVER (PARTITION BY sample ORDER BY gene_index, barcode_index) - 1
+    FROM counts JOIN gindex USING (sample, gene_id) JOIN bindex USING (sample, barcode)"""
+
 ORACLE_SQL: dict[str, str] = {
     "hamming_variants": build("SELECT barcode, variant, position FROM variants"),
     "curated_corrections": build("SELECT variant, barcode FROM safe"),
@@ -952,6 +961,34 @@ ORACLE_SQL: dict[str, str] = {
         "(SELECT count(*) FROM counts x WHERE x.sample = s.sample))]) FROM (SELECT DISTINCT sample FROM lines) s",
         extra=GENE_USE,
     ),
+    "fastq_lanes": build(
+        "SELECT sample, CAST(length(header) % 2 + 1 AS INTEGER) AS lane, header, r1_seq, r1_qual, r2_seq, r2_qual, "
+        "row_number() OVER (PARTITION BY sample ORDER BY length(header) % 2, header) - 1 AS ord FROM reads"
+    ),
+    "file_line_ordinals": build(
+        "SELECT barcode AS value, row_number() OVER (ORDER BY row_no % 3, row_no) - 1 AS row_no FROM whitelist"
+    ),
+    "matrix_files": build(
+        "SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY barcode_index, gene_index) AS line, "
+        "gene_index AS row, barcode_index AS col, n FROM counts JOIN gindex USING (sample, gene_id) "
+        "JOIN bindex USING (sample, barcode) UNION ALL SELECT sample, 0, "
+        "(SELECT max(gene_index) FROM gindex x WHERE x.sample = s.sample), "
+        "(SELECT max(barcode_index) FROM bindex x WHERE x.sample = s.sample), "
+        "(SELECT count(*) FROM counts x WHERE x.sample = s.sample) FROM (SELECT DISTINCT sample FROM lines) s",
+        extra=GENE_USE,
+    ),
+    "sparse_pointers": build(
+        f"SELECT sample, 'rows' AS axis, barcode_index AS major, stored, CAST(coalesce(sum(stored) OVER (PARTITION BY sample ORDER BY barcode_index {EARLIER}), 0) AS BIGINT) AS start "
+        "FROM (SELECT sample, barcode_index, count(n) AS stored FROM bindex LEFT JOIN counts USING (sample, barcode) GROUP BY ALL) "
+        f"UNION ALL SELECT sample, 'columns', gene_index, stored, CAST(coalesce(sum(stored) OVER (PARTITION BY sample ORDER BY gene_index {EARLIER}), 0) AS BIGINT) "
+        "FROM (SELECT sample, gene_index, count(n) AS stored FROM gindex LEFT JOIN counts USING (sample, gene_id) GROUP BY ALL)",
+        extra=GENE_USE,
+    ),
+    "sparse_entries": build(f"SELECT * FROM ({COMPRESSED})", extra=GENE_USE),
+    "sparse_slice": build(
+        f"SELECT * FROM ({COMPRESSED}) WHERE CASE axis WHEN 'rows' THEN major BETWEEN 20 AND 60 ELSE major BETWEEN 100 AND 300 END",
+        extra=GENE_USE,
+    ),
     "samplesheet_rows": (
         "SELECT 's' || (p_partkey % 40) AS sample, 'f1_' || p_partkey AS fastq_1, 'f2_' || p_partkey AS fastq_2, "
         "CASE WHEN p_partkey % 3 = 0 THEN 2.5::DOUBLE END AS manual_threshold, "
