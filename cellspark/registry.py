@@ -26,7 +26,7 @@ from cellspark.operators import (
 )
 from cellspark.plans import bridge, pipeline
 from cellspark.plans.scale import checkpoint_root, materialize
-from cellspark.sources import fastq, readers, single_file, sparse, writers
+from cellspark.sources import fastq, readers, regions, sam, single_file, sparse, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -849,6 +849,52 @@ def sparse_slice(spark, sf):
     return both[0].unionByName(both[1])
 
 
+def _sam_files(spark, sf, ending: str) -> DataFrame:
+    """A SAM file per sample, header first, and the sheet of them."""
+    path = _folder(spark)
+    rows = _alignments(spark, sf)
+    fields = ["read_name", "flag", "chrom", "pos", "mapq", "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII")]
+    tags = [F.concat(F.lit(f"{t}:i:"), F.col(t.lower())) for t in ("NH", "HI", "nM")]
+    head = rows.select("sample", F.concat(F.lit("@SQ\tSN:"), F.col("chrom")).alias("value")).distinct()
+    lines = rows.select("sample", F.concat_ws("\t", *fields, *tags).alias("value"), F.lit(1).alias("part"))
+    lines = lines.unionByName(head.withColumn("part", F.lit(0))).withColumn("file", F.concat("sample", F.lit(ending)))
+    files = single_file.write_files(lines, ["part", "value"], path, packed=ending.endswith("gz"))
+    return spark.createDataFrame([(f.split(".")[0], f"{path}/{f}") for f in files], "sample string, path string")
+
+
+@query
+def sam_scan(spark, sf):
+    """Reverse alignments of two chromosomes below a position, from block-gzip files, filtered in the scan."""
+    found = sam.scan_alignments(spark, _sam_files(spark, sf, ".sam.gz"), ["sample", "read_name", "flag", "chrom", "pos", "nh", "nm"], 1 << 20)
+    few = found.filter("chrom in ('chr1', 'chr3') and pos < 60000 and flag = 16 and sample <> 'S2'")
+    return few.select("sample", "read_name", "chrom", "pos", "nh", "nm")
+
+
+@query
+def sam_scan_all(spark, sf):
+    """Every field and tag of plain files."""
+    return sam.scan_alignments(spark, _sam_files(spark, sf, ".sam"), split_bytes=1 << 20)
+
+
+def _regions(spark, sf) -> str:
+    path = _folder(spark)
+    regions.write_regions(_alignments(spark, sf), path, window=1000)
+    return path
+
+
+@query
+def region_alignments(spark, sf):
+    """O1: alignments that reach into one stretch of a chromosome, from the files that the index names."""
+    found = regions.read_region(spark, _regions(spark, sf), "chr2", 30_000, 45_000, ["S0", "S2"])
+    return found.select("sample", "read_name", "chrom", "pos", "end", "cigar", "nh", "hi")
+
+
+@query
+def region_coverage(spark, sf):
+    """O1: alignments that start in each window of each chromosome."""
+    return regions.coverage(spark, _regions(spark, sf))
+
+
 @query
 def samplesheet_rows(spark, sf):
     """Lanes per sample, blanks, thresholds as text."""

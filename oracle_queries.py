@@ -989,6 +989,23 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT * FROM ({COMPRESSED}) WHERE CASE axis WHEN 'rows' THEN major BETWEEN 20 AND 60 ELSE major BETWEEN 100 AND 300 END",
         extra=GENE_USE,
     ),
+    "sam_scan": build(
+        "SELECT sample, read_name, chrom, pos, nh, nm FROM alignments "
+        "WHERE chrom IN ('chr1', 'chr3') AND pos < 60000 AND flag = 16 AND sample <> 'S2'"
+    ),
+    "sam_scan_all": build(
+        "SELECT sample, read_name, flag, chrom, pos, mapq, CASE WHEN spliced THEN '20M100N20M' ELSE '40M' END AS cigar, "
+        'nh, hi, nm, \'ACGT\' AS seq, \'IIII\' AS qual, NULL::INTEGER AS "as", NULL::VARCHAR AS xs, NULL::INTEGER AS xn, '
+        "NULL::VARCHAR AS xt FROM alignments"
+    ),
+    "region_alignments": build(
+        'SELECT sample, read_name, chrom, pos, nh, hi, pos + CASE WHEN spliced THEN 139 ELSE 39 END AS "end", '
+        "CASE WHEN spliced THEN '20M100N20M' ELSE '40M' END AS cigar FROM alignments "
+        "WHERE chrom = 'chr2' AND sample IN ('S0', 'S2') AND pos <= 45000 AND pos + CASE WHEN spliced THEN 139 ELSE 39 END >= 30000"
+    ),
+    "region_coverage": build(
+        'SELECT sample, chrom, CAST(pos // 1000 AS BIGINT) AS "window", count(*) AS alignments FROM alignments GROUP BY ALL'
+    ),
     "samplesheet_rows": (
         "SELECT 's' || (p_partkey % 40) AS sample, 'f1_' || p_partkey AS fastq_1, 'f2_' || p_partkey AS fastq_2, "
         "CASE WHEN p_partkey % 3 = 0 THEN 2.5::DOUBLE END AS manual_threshold, "
