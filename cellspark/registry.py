@@ -865,9 +865,9 @@ def _sam_files(spark, sf, ending: str) -> DataFrame:
 @query
 def sam_scan(spark, sf):
     """Reverse alignments of two chromosomes below a position, from block-gzip files, filtered in the scan."""
-    found = sam.scan_alignments(spark, _sam_files(spark, sf, ".sam.gz"), ["sample", "read_name", "flag", "chrom", "pos", "nh", "nm"], 1 << 20)
-    few = found.filter("chrom in ('chr1', 'chr3') and pos < 60000 and flag = 16 and sample <> 'S2'")
-    return few.select("sample", "read_name", "chrom", "pos", "nh", "nm")
+    few = [("chrom", "in", ["chr1", "chr3"]), ("pos", "<", 60_000), ("flag", "=", 16), ("sample", "in", ["S0", "S1"])]
+    columns = ["sample", "read_name", "chrom", "pos", "nh", "nm"]
+    return sam.scan_alignments(spark, _sam_files(spark, sf, ".sam.gz"), columns, few, split_bytes=1 << 20)
 
 
 @query

@@ -13,7 +13,6 @@ import json
 import operator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import datasource as ds
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from cellspark.session import ship
@@ -30,12 +29,9 @@ TAGS = {
     "xs": ("XS", "Z", "string"), "xn": ("XN", "i", "int"), "xt": ("XT", "Z", "string"),
 }
 COLUMNS = ("sample", *FIELDS, *TAGS)
-PUSH = "spark.sql.python.filterPushdown.enabled"
-_COMPARE = {
-    ds.EqualTo: operator.eq, ds.GreaterThan: operator.gt, ds.GreaterThanOrEqual: operator.ge,
-    ds.LessThan: operator.lt, ds.LessThanOrEqual: operator.le,
-}
-_KERNEL = {operator.eq: "equal", operator.gt: "greater", operator.ge: "greater_equal", operator.lt: "less", operator.le: "less_equal"}
+#: Conditions and their Arrow functions.
+COMPARE = {"=": "equal", "<": "less", "<=": "less_equal", ">": "greater", ">=": "greater_equal"}
+_PLAIN = {"=": operator.eq, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
 
 
 class TextSplit(InputPartition):
@@ -109,22 +105,7 @@ class SamReader(DataSourceReader):
         self.columns = json.loads(options["columns"])
         self.files = json.loads(options["files"])
         self.split_bytes = int(options["split_bytes"])
-        self.filters: list[tuple] = []
-
-    def pushFilters(self, filters):
-        for one in filters:
-            kind = type(one)
-            column = one.attribute[0] if getattr(one, "attribute", None) and len(one.attribute) == 1 else None
-            if column != "sample" and column not in FIELDS:
-                yield one
-            elif kind in _COMPARE and one.value is not None:
-                self.filters.append((column, _KERNEL[_COMPARE[kind]], one.value))
-            elif kind is ds.In and None not in one.value:
-                self.filters.append((column, "in", list(one.value)))
-            elif kind is ds.IsNotNull:
-                pass  # mandatory fields are never null
-            else:
-                yield one
+        self.filters = [tuple(one) for one in json.loads(options["where"])]
 
     def partitions(self):
         found = []
@@ -138,9 +119,8 @@ class SamReader(DataSourceReader):
     def _holds(sample: str, how: str, value) -> bool:
         if how == "in":
             return sample in value
-        compare = next(c for c, name in _KERNEL.items() if name == how)
         # as UTF-8 bytes, the order that Spark has
-        return compare(sample.encode(), value.encode())
+        return _PLAIN[how](sample.encode(), value.encode())
 
     def read(self, partition: TextSplit):
         import pyarrow as pa
@@ -168,7 +148,7 @@ class SamReader(DataSourceReader):
                     if how == "in":
                         one = pc.is_in(values, pa.array(value, values.type))
                     else:
-                        one = pc.call_function(how, [values, pa.scalar(value, values.type)])
+                        one = pc.call_function(COMPARE[how], [values, pa.scalar(value, values.type)])
                     keep = one if keep is None else pc.and_(keep, one)
                 lines = lines.filter(keep)
             if not len(lines):
@@ -212,21 +192,32 @@ def _describe(batches):
 
 
 def scan_alignments(
-    spark: SparkSession, files: DataFrame, columns: list[str] | None = None, split_bytes: int = splits.SPLIT_BYTES
+    spark: SparkSession,
+    files: DataFrame,
+    columns: list[str] | None = None,
+    where: list[tuple] = (),
+    split_bytes: int = splits.SPLIT_BYTES,
 ) -> DataFrame:
     """Alignment rows of SAM files (``sample, path``), one task per split.
 
-    ``columns`` are those that are parsed, all by default. Comparisons of the mandatory fields with constants, and
-    lists of them, run in the scan; the session's setting for that is switched on. Header lines and blanks are left
-    out; a line with fewer fields than are asked for is an error. One row per file passes through the driver.
+    ``columns`` are those that are parsed, all by default. ``where`` lists conditions that all have to hold:
+    (column, one of = < <= > >= or in, constant or list of constants), of the sample and the mandatory fields; texts
+    compare by their bytes. Header lines and blanks are left out; a line with fewer fields than are asked for is an
+    error. One row per file passes through the driver.
     """
     ship(spark)
-    spark.conf.set(PUSH, "true")
     spark.dataSource.register(SamSource)
+    for column, how, value in where:
+        given = value if how == "in" else [value]
+        kind = int if FIELDS.get(column, (0, "string"))[1] != "string" else str
+        if (column != "sample" and column not in FIELDS) or (how != "in" and how not in COMPARE):
+            raise ValueError(f"no such condition: {column} {how}")
+        if not all(type(v) is kind for v in given):
+            raise ValueError(f"{column} has to be compared with {kind.__name__}")
     wanted = [c for c in COLUMNS if columns is None or c in columns]
     if columns is not None and set(columns) - set(COLUMNS):
         raise ValueError(f"no such columns: {sorted(set(columns) - set(COLUMNS))}")
     found = files.select("sample", "path").repartition(64).mapInArrow(_describe, "sample string, path string, kind string, size long")
     listed = sorted(map(tuple, found.collect()))
     reader = spark.read.format("sam_lines").option("columns", json.dumps(wanted)).option("files", json.dumps(listed))
-    return reader.option("split_bytes", str(split_bytes)).load()
+    return reader.option("where", json.dumps(list(where))).option("split_bytes", str(split_bytes)).load()

@@ -52,33 +52,46 @@ def test_scan_equals_the_line_reader(spark, files, split_bytes):
     assert got(found) == got(want)
 
 
-@pytest.mark.parametrize(
-    "condition",
-    [
-        "chrom = 'chr1'", "pos between 100 and 900", "flag = 16 and chrom in ('MT', 'chr2')", "sample = 'B'", "sample in ('A', 'F') and pos >= 4000",
-        "sample > 'A' and sample <= 'C'", "pos is not null and pos < 50", "chrom <> 'MT'", "nh = 2 and pos < 1000", "xt is null or pos = 5",
-        "chrom = 'none'", "sample = 'none'", "pos < cast(null as long)", "read_name <=> 'r7'", "cigar in ('5M', null)",
-    ],
-)
-def test_pushed_filters_change_nothing(spark, files, condition):
+CONDITIONS = {
+    "chrom = 'chr1'": [("chrom", "=", "chr1")],
+    "pos between 100 and 900": [("pos", ">=", 100), ("pos", "<=", 900)],
+    "flag = 16 and chrom in ('MT', 'chr2')": [("flag", "=", 16), ("chrom", "in", ["MT", "chr2"])],
+    "sample = 'B'": [("sample", "=", "B")],
+    "sample in ('A', 'F') and pos > 4000": [("sample", "in", ["A", "F"]), ("pos", ">", 4000)],
+    "sample > 'A' and sample <= 'C' and mapq < 300": [("sample", ">", "A"), ("sample", "<=", "C"), ("mapq", "<", 300)],
+    "read_name >= 'r5' and read_name < 'r\u00e9'": [("read_name", ">=", "r5"), ("read_name", "<", "ré")],
+    "chrom = 'none'": [("chrom", "=", "none")],
+    "sample = 'none'": [("sample", "=", "none")],
+    "cigar in ('5M')": [("cigar", "in", ["5M"])],
+    "flag in (cast(null as int))": [("flag", "in", [])],
+}
+
+
+@pytest.mark.parametrize("condition", CONDITIONS)
+def test_conditions_in_the_scan(spark, files, condition):
     sheet, root = files
     columns = ["sample", "read_name", "pos", "nm"]
     want = readers.read_alignments(spark, root).filter(condition).select(*columns)
-    found = sam.scan_alignments(spark, sheet, split_bytes=5000).filter(condition).select(*columns)
+    found = sam.scan_alignments(spark, sheet, columns, CONDITIONS[condition], split_bytes=5000)
+    assert found.columns == columns
     assert got(found) == got(want)
 
 
-def test_the_plan_shows_what_is_pushed(spark, files):
+def test_frames_share_no_conditions(spark, files):
     sheet, _ = files
-    scan = sam.scan_alignments(spark, sheet, ["sample", "chrom", "pos", "flag", "nm"], split_bytes=5000)
-    few = scan.filter("chrom = 'chr1' and pos > 100 and flag = 16 and sample = 'A' and nm < 3")
-    plan = spark._jvm.PythonSQLUtils.explainString(few._jdf.queryExecution(), "formatted")
-    pushed = next(line for line in plan.split("\n") if line.startswith("PushedFilters"))
-    assert "EqualTo(chrom,chr1)" in pushed and "GreaterThan(pos,100)" in pushed and "EqualTo(flag,16)" in pushed
-    assert "EqualTo(sample,A)" in pushed and "(nm" not in pushed
-    assert few.rdd.getNumPartitions() < scan.rdd.getNumPartitions()
+    whole = sam.scan_alignments(spark, sheet, ["sample", "pos"], split_bytes=5000)
+    one = sam.scan_alignments(spark, sheet, ["sample"], [("sample", "=", "A")], split_bytes=5000)
+    assert one.rdd.getNumPartitions() < whole.rdd.getNumPartitions()
+    counts = [whole.filter(c).count() for c in ("sample = 'A'", "sample = 'B'", "true", "sample = 'B' and pos > 0")]
+    assert counts == [900, 300, 1409, 300] and one.count() == 900 and whole.count() == 1409
+
+
+@pytest.mark.parametrize("where", [("nh", "=", 1), ("pos", "like", 1), ("pos", "=", "1"), ("chrom", "in", [None]), ("pos", "=", None)])
+def test_conditions_that_are_none(spark, files, where):
+    with pytest.raises(ValueError):
+        sam.scan_alignments(spark, files[0], where=[where])
     with pytest.raises(ValueError):
-        sam.scan_alignments(spark, sheet, ["chromosome"])
+        sam.scan_alignments(spark, files[0], ["chromosome"])
 
 
 @pytest.fixture(scope="module")
