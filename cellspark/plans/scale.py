@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -57,10 +57,24 @@ def stage_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        while len(_stage_paths) > before:
-            path = jvm.org.apache.hadoop.fs.Path(_stage_paths.pop())
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _drop_since(spark, before)
+
+
+def _drop_since(spark: SparkSession, before: int) -> None:
+    jvm = spark.sparkContext._jvm
+    while len(_stage_paths) > before:
+        path = jvm.org.apache.hadoop.fs.Path(_stage_paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``materialize`` what ``make`` gives, and remove the tables that it wrote on the way."""
+    before = len(_stage_paths)
+    kept = materialize(make())
+    own = _stage_paths.pop()
+    _drop_since(spark, before)
+    _stage_paths.append(own)
+    return kept
 
 
 @dataclass(frozen=True)
