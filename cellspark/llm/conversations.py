@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.llm.common import ship
-from cellspark.plans.scale import materialize, number_rows
+from cellspark.plans.scale import materialize, number_rows, settle
 
 SEGMENT = 2048
 #: Costs. Keeping costs nothing but the fault of a truncated row that is not deleted.
@@ -355,8 +355,10 @@ def repair(
     ship(rows.sparkSession)
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in (role_col, text_col))
     given = rows.select(_key(id_col).alias("_conv"), F.col(turn_col).cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    numbered = number_rows(given, ["_conv"], [F.col("turn"), F.col("role"), F.col("text")], "_n")
-    placed = materialize(numbered.withColumn("_n", F.col("_n") - 1))
+    order = [F.col("turn"), F.col("role"), F.col("text")]
+    placed = settle(
+        rows.sparkSession, lambda: number_rows(given, ["_conv"], order, "_n").withColumn("_n", F.col("_n") - 1)
+    )
     same = F.sha2(F.concat(F.octet_length("role").cast("string"), F.lit(":"), "role", "text"), 256)
     first_of_equals = placed.groupBy("_conv", same.alias("_same")).agg(F.min("_n").alias("_n")).select("_conv", "_n", F.lit(True).alias("_first"))
     last = F.regexp_extract("text", rf"([^{SPACE}])[{SPACE}]*\z", 1)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cellspark.plans.scale import lookup_join, materialize, number_rows
+from cellspark.plans.scale import lookup_join, materialize, number_rows, settle
 
 FANOUT = 8
 #: A path: per level the digests left and right of the node, lowest level first.
@@ -100,7 +100,9 @@ def _longer() -> Column:
 
 def _placed(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """Rows with ``_place`` from 0 in their ``_group`` and the group's ``_nodes``."""
-    placed = materialize(number_rows(rows, group, order, "_n").withColumn("_place", F.col("_n") - 1).drop("_n"))
+    placed = settle(
+        rows.sparkSession, lambda: number_rows(rows, group, order, "_n").withColumn("_place", F.col("_n") - 1).drop("_n")
+    )
     sizes = placed.groupBy("_group").agg(F.count(F.lit(1)).alias("_nodes"))
     # not a join dealt by the group: one may have most of the rows, and the windows would inherit its tasks
     return lookup_join(placed, sizes, ["_group"], how="inner")
