@@ -69,9 +69,9 @@ class _Ids(dict):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as the tokenizer gives them."""
-        cut = [self.cut.split(t) if self.cut else [t] for t in texts]
-        if all(len(parts) == 1 for parts in cut):
+        if not any(token in t for t in texts for token in self.added):
             return self._encode(texts)
+        cut = [self.cut.split(t) for t in texts]
         ids = iter(self._encode([part for parts in cut for part in parts[::2]]))
         whole = []
         for parts in cut:
