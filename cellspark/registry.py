@@ -323,7 +323,7 @@ ODD_CIGARS = ("40M", "5S35M", "20M2D20M", "10M3I27M", "8=2X30M", "*")
 def assign_odd_alignments(spark, sf):
     """A13 over clips, deletions, insertions, = and X, alignments without blocks, and equal rows."""
     cigar = F.element_at(F.array(*[F.lit(c) for c in ODD_CIGARS]), (F.col("pos") % len(ODD_CIGARS) + 1).cast("int"))
-    rows = _alignments(spark, sf).filter("hi = 1").withColumn("cigar", cigar)
+    rows = _alignments(spark, sf).withColumn("cigar", cigar)
     twice = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("pos") % 5 == 0, 2).otherwise(1)))).drop("copy")
     found = assign.assign_levels(twice, _index(spark, sf), ASSIGN)
     end = F.when(F.col("cigar") != "*", al.five_prime(F.col("flag"), F.col("pos"), F.col("cigar")))

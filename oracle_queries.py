@@ -359,6 +359,10 @@ def base_ctes(mixed: bool, copies: bool) -> dict[str, str]:
     }
 
 
+#: Interval joins and what is made of them: filters of a query must not be moved into them, which turns their joins round.
+COMPUTED_ONCE = {"bbins", "gbins", "ebins", "tx", "ex", "assigned", "odd", "oddblocks", "oddtx", "oddex"}
+
+
 def build(final: str, mixed: bool = False, copies: bool = False, extra: dict[str, str] | None = None) -> str:
     """``final`` with the common table expressions it needs in dependency order."""
     ctes = {**base_ctes(mixed, copies), **(extra or {})}
@@ -374,7 +378,8 @@ def build(final: str, mixed: bool = False, copies: bool = False, extra: dict[str
     visit(final)
     if not ordered:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({ctes[n]})" for n in ordered) + "\n" + final
+    held = {n: " MATERIALIZED" if n in COMPUTED_ONCE else "" for n in ordered}
+    return "WITH " + ",\n".join(f"{n} AS{held[n]} ({ctes[n]})" for n in ordered) + "\n" + final
 
 
 def status_of(n: str) -> str:
@@ -744,7 +749,7 @@ ORACLE_SQL: dict[str, str] = {
         "FROM odd LEFT JOIN oddtx t USING (id) LEFT JOIN oddex x USING (id)",
         extra={
             "odd": "SELECT *, row_number() OVER () AS id FROM (SELECT *, pos % 6 AS kind, "
-            "unnest(range(CASE WHEN pos % 5 = 0 THEN 2 ELSE 1 END)) AS copy FROM alignments WHERE hi = 1)",
+            "unnest(range(CASE WHEN pos % 5 = 0 THEN 2 ELSE 1 END)) AS copy FROM alignments)",
             "oddblocks": "SELECT id, chrom, strand, b_start, b_end, unnest(range(b_start // 1000, b_end // 1000 + 1)) AS bin FROM ("
             "SELECT id, chrom, CASE WHEN rev = 1 THEN '-' ELSE '+' END AS strand, pos + b[1] AS b_start, pos + b[2] AS b_end FROM ("
             "SELECT *, unnest([[[0, 39]], [[0, 34]], [[0, 19], [22, 41]], [[0, 9], [10, 36]], [[0, 7], [8, 9], [10, 39]], []][kind + 1]) AS b "
