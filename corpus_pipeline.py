@@ -6,13 +6,15 @@ All but the last stage return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspark.llm import decontaminate, language_id, near_dups, packing, substring_dedup
 from cellspark.llm.common import table
 from cellspark.llm.queries import TOKENIZER
-from cellspark.plans.scale import materialize
+from cellspark.plans.scale import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,8 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = materialize(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        # a stage's own tables go as soon as its output is written
+        docs = settle(spark, partial(stage, spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
