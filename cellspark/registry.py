@@ -876,7 +876,7 @@ def sam_scan_all(spark, sf):
     return sam.scan_alignments(spark, _sam_files(spark, sf, ".sam"), split_bytes=1 << 20)
 
 
-def _regions(spark, sf) -> str:
+def _genome_order(spark, sf) -> str:
     path = _folder(spark)
     regions.write_regions(_alignments(spark, sf), path, window=1000)
     return path
@@ -885,14 +885,14 @@ def _regions(spark, sf) -> str:
 @query
 def region_alignments(spark, sf):
     """O1: alignments that reach into one stretch of a chromosome, from the files that the index names."""
-    found = regions.read_region(spark, _regions(spark, sf), "chr2", 30_000, 45_000, ["S0", "S2"])
+    found = regions.read_region(spark, _genome_order(spark, sf), "chr2", 30_000, 45_000, ["S0", "S2"])
     return found.select("sample", "read_name", "chrom", "pos", "end", "cigar", "nh", "hi")
 
 
 @query
 def region_coverage(spark, sf):
     """O1: alignments that start in each window of each chromosome."""
-    return regions.coverage(spark, _regions(spark, sf))
+    return regions.coverage(spark, _genome_order(spark, sf))
 
 
 @query
