@@ -1,21 +1,24 @@
 """Near-duplicates by the real Jaccard similarity of word shingles, every pair at or over the threshold.
 
-A 64-bit SimHash of two texts with Jaccard 0.8 differs in about ten bits, and in up to 17; a multi-index for
-so many bits has to look into thousands of crowded cells per text. Candidates come from prefix filtering
-instead, which misses no pair: with all shingles in one fixed order, two sets of Jaccard ``t`` or more share
-one of their first ``size - ceil(t * size) + 1`` shingles, and the first one they share leaves enough
-shingles after it on both sides.
+Multi-index hashing comes first: SimHash fingerprints of the shingle sets are linked within a few bits, the linked sets
+are verified on the texts, and what holds is one component already. A 64-bit SimHash of two texts with Jaccard 0.8
+differs in about ten bits, and in up to 17, so that index alone misses pairs. The rest comes from prefix filtering,
+which misses none: with all shingles in one fixed order, two sets of Jaccard ``t`` or more share one of their
+first ``size - ceil(t * size) + 1`` shingles, and the first one they share leaves enough shingles after it on
+both sides.
 
 The order puts shingles last that are frequent in a sample of texts. It decides only how crowded the cells
-are: any order finds the same pairs. Equal shingle sets are one entry. A cell first compares every entry
-with its smallest one; what that connects is not compared again, and only entries of a cell that are still
-in different components are paired. Candidates first have to pass a bound on bitmaps: sets differ in at least as
-many shingles as the parities of their 512 hash classes do. What is left is verified on the texts.
+are: any order finds the same pairs. Equal shingle sets are one entry. Cells (the entries with one prefix shingle) whose
+entries are one component need no work. In a few rounds each entry of the others is held against one entry, the
+centre it shares most cells with, so a round verifies at most a pair per entry. Only what is still apart
+after that is paired inside cells, and a pair leaves its cell only if it passes the bounds on sizes, places and bitmaps:
+sets differ in at least as many shingles as the parities of their 512 hash classes do. What is left is verified on
+the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellspark.llm.common import ship
-from cellspark.llm.simhash import _LOWER, components
-from cellspark.plans.scale import lookup_join, materialize
+from cellspark.llm.common import freeing_shuffles, ship
+from cellspark.llm.simhash import _LOWER, components, near_links
+from cellspark.plans.scale import lookup_join, materialize, settle
 
 SHINGLE = 5
 #: Jaccard of linked texts, at least, as a fraction.
@@ -36,6 +39,12 @@ SAMPLE, FREQUENT, LISTED = 16, 3, 1_000_000
 SALTS = 64
 #: Hash classes of shingles whose parities are compared first.
 CLASSES = 512
+#: Bits that fingerprints differ in at most to be linked first, and their segments.
+DISTANCE, SEGMENTS = 4, 3
+#: Rounds in which an entry is held against one centre; any number finds the same components.
+ROUNDS = 3
+#: Entries of a cell that are paired in one task; a larger cell is dealt as pairs of blocks of so many.
+BLOCK = 2048
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -84,17 +93,27 @@ def _frequent(texts: DataFrame, width: int, sample: int, frequent: int, listed:
     return np.sort(table.column(0).to_numpy().view(np.uint64))
 
 
+def _fingerprint(found: np.ndarray) -> int:
+    """SimHash of a set of shingle hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 14):
+        octets = found[at : at + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > len(found)).tobytes(), "big")
+
+
 def _mark(frequent, width: int, similar: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
         for batch in batches:
-            keys, sizes, bits, prefixes = [], [], [], []
+            keys, sizes, bits, fps, prefixes = [], [], [], [], []
             for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
                 found = shingles(text.as_py() or b"", width)
                 keys.append(xxhash.xxh64_intdigest(found.tobytes(), 7))
                 sizes.append(len(found))
                 odd = np.bincount((found % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES) & 1
-                bits.append(np.packbits(odd.astype(bool)).tobytes())
+                bits.append(np.packbits(odd.astype(bool)).view(np.int64))
+                fps.append(_fingerprint(found))
                 if len(late) and len(found):
                     is_late = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
                     found = np.concatenate([found[~is_late], found[is_late]])
@@ -102,11 +121,12 @@ def _mark(frequent, width: int, similar: tuple[int, int]):
             own = [
                 pa.array(np.array(keys, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int64()),
-                pa.array(bits, pa.binary()),
+                pa.array(bits, pa.list_(pa.int64())),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
                 pa.array(prefixes, pa.binary()),
             ]
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + own, [*names, "_key", "_size", "_bits", "_prefix"])
+            names = [*batch.schema.names[:-1], "_key", "_size", "_bits", "_fp", "_prefix"]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + own, names)
 
     return run
 
@@ -130,131 +150,188 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "size", "place"])
 
 
-def _cells(work: Callable[[np.ndarray, np.ndarray], np.ndarray], names: list[str]):
-    """Runs ``work`` on rows sorted by their first column, with the first row of each group; groups stay whole."""
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first column, without those whose first column no other row has.
+
+    Only the last row of a batch waits for the next one, however long a group is.
+    """
+    last, names = None, []
+    before = None  # the first column of the row ahead of ``last``
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch.schema.names
+        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        if last is not None:
+            rows = np.concatenate([last, rows])
+        token = rows[:, 0]
+        same = token[1:] == token[:-1]
+        ahead = np.r_[before is not None and token[0] == before, same][:-1]
+        out = rows[:-1][ahead | same]
+        before = token[-2] if len(token) > 1 else before
+        last = rows[-1:]
+        if len(out):
+            yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in out.T], names)
+    if last is not None and before is not None and last[0, 0] == before:
+        yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in last.T], names)
+
+
+def _pairs(similar: tuple[int, int]):
+    """Pairs of a cell's entries that are in different components and within the bounds.
+
+    Rows are sorted by (token, one, two); side 1 is held against side 0 where both are there, else all with all.
+    """
+    n, d = similar
+
+    def work(rows: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
+        key, size, place, label, side = rows[:, 3:].T
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1)
+        apart = rows[0, 1] != rows[0, 2]
+        found, waiting = [], 0
+        for nth, i in enumerate(left):
+            j = right if apart else left[nth + 1 :]
+            j = j[label[j] != label[i]]
+            sizes = size[j] + size[i]
+            j = j[(n + d) * np.minimum(size[i] - place[i], size[j] - place[j]) >= n * sizes]
+            differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            j = j[(n + d) * differ <= (d - n) * (size[j] + size[i])]
+            if len(j):
+                found.append(np.stack([np.full(len(j), key[i]), key[j]], axis=1))
+                waiting += len(j)
+            if waiting > 1 << 16:
+                yield np.concatenate(found)
+                found, waiting = [], 0
+        if found:
+            yield np.concatenate(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[np.ndarray] = []
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
 
         def close() -> Iterator[pa.RecordBatch]:
             if pending:
-                rows = np.concatenate(pending)
-                starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
-                found = work(rows, starts)
-                for at in range(0, len(found), 1 << 17):
-                    part = found[at : at + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in part.T], names)
+                rows, bits = (np.concatenate(x) for x in zip(*pending))
+                pending.clear()
+                for pairs in work(rows, bits):
+                    low, high = pairs.min(axis=1), pairs.max(axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
         for batch in batches:
-            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            if not len(rows):
+            if not batch.num_rows:
                 continue
-            # the last group may go on in the next batch
-            cut = int(np.argmax(rows[:, 0] == rows[-1, 0]))
-            if cut or (pending and pending[-1][-1, 0] != rows[0, 0]):
-                pending.append(rows[:cut])
-                yield from close()
-                pending = []
-            pending.append(rows[cut:])
+            rows = np.stack([c.to_numpy() for c in batch.columns[:-1]], axis=1)
+            bits = batch.column("bits").flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
+            group = rows[:, :3]
+            starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+            for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
+                if pending and (pending[-1][0][-1, :3] != rows[at, :3]).any():
+                    yield from close()
+                pending.append((rows[at:end], bits[at:end]))
         yield from close()
 
     return run
 
 
-def _shared(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    sizes = np.diff(np.r_[starts, len(rows)])
-    return rows[np.repeat(sizes > 1, sizes)]
-
-
-def _enough(one: np.ndarray, two: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
-    """Whether the sets can be similar if the shingle of these rows is the first they share."""
-    n, d = similar
-    most = np.minimum(one[..., 2] - one[..., 3], two[..., 2] - two[..., 3])
-    return (n + d) * most >= n * (one[..., 2] + two[..., 2])
-
-
-def _stars(similar: tuple[int, int]):
-    def work(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        centres = np.repeat(rows[starts], np.diff(np.r_[starts, len(rows)]), axis=0)
-        good = (centres[:, 1] != rows[:, 1]) & _enough(centres, rows, similar)
-        return np.unique(np.stack([centres[good, 1], rows[good, 1]], axis=1), axis=0)
-
-    return work
-
-
-def _rest(similar: tuple[int, int]):
-    """Pairs of a cell, without those with its first entry, that are in different components."""
-
-    def work(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        found = [np.empty((0, 2), np.int64)]
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
-            cell = rows[a + 1 : b]
-            if len(cell) < 2 or (cell[:, 4] == cell[0, 4]).all():
-                continue
-            for i in range(len(cell) - 1):
-                others = cell[i + 1 :]
-                others = others[(others[:, 4] != cell[i, 4]) & _enough(cell[i], others, similar)]
-                found.append(np.stack([np.full(len(others), cell[i, 1]), others[:, 1]], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
-
-    return work
-
-
 def _similar(width: int, similar: tuple[int, int]):
+    """Rows (a, part, b, text) sorted by them, the text of a first (no b), to the pairs (a, b) of similar sets."""
     n, d = similar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
         for batch in batches:
-            good = []
-            seen, last = None, None  # rows of one text often follow each other
-            for a, one, two in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != seen:
-                    seen, last = a, shingles((one.as_py() or "").encode(), width)
-                other = shingles((two.as_py() or "").encode(), width)
-                both = len(np.intersect1d(last, other, assume_unique=True))
-                good.append((n + d) * both >= n * (len(last) + len(other)))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            one, two = [], []
+            columns = (batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text").cast(pa.binary()))
+            for a, b, text in zip(*columns):
+                found = shingles(text.as_py() or b"", width)
+                if b is None:
+                    own = found
+                    continue
+                both = len(np.intersect1d(own, found, assume_unique=True))
+                if (n + d) * both >= n * (len(own) + len(found)):
+                    one.append(a)
+                    two.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _possible(similar: tuple[int, int]):
-    n, d = similar
+def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of similar sets. ``firsts`` has a row per set, ``texts`` are the text of each _row.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                one, two = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, CLASSES // 64)
-                    for c in ("bits_a", "bits_b")
-                )
-                differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
-                sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array((n + d) * differ <= (d - n) * sizes))
+    A text moves once per pair as b, and once per part of its pairs as a; a key in many pairs is dealt in parts.
+    """
+    dealt = materialize(pairs.distinct().withColumn("part", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS))))
+    nobody = F.lit(None).cast("long").alias("b")
+    need = dealt.select(F.col("a").alias("_key"), "a", "part").distinct().select("_key", "a", "part", nobody)
+    need = need.unionByName(dealt.select(F.col("b").alias("_key"), "a", "part", "b"))
+    need = materialize(need.join(firsts, "_key").select(F.col("first._row").alias("_row"), "a", "part", "b"))
+    rows = lookup_join(texts, need, ["_row"], "inner").select("a", "part", "b", "text")
+    # nulls come first in ascending order
+    beside = rows.repartition("a", "part").sortWithinPartitions("a", "part", "b")
+    return beside.mapInArrow(_similar(width, similar), "a long, b long")
+
+
+def _close(firsts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints are linked by multi-index hashing, one set for each fingerprint."""
+    fps = materialize(firsts.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("rep")))
+    links = near_links(fps, DISTANCE, SEGMENTS)
+    for side in ("a", "b"):
+        links = links.join(fps.select(F.col("fp").alias(side), F.col("rep").alias(f"rep_{side}")), side)
+    between = links.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+    inside = lookup_join(firsts.select(F.col("_fp").alias("fp"), "_key"), fps, ["fp"], "inner").filter("rep <> _key")
+    return between.unionByName(inside.select(F.col("rep").alias("a"), F.col("_key").alias("b")))
 
-    return run
 
+def _live(cells: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the cells that hold several components, with label and bits."""
+    labels = roots.select(F.col("node").alias("key"), F.col("root").alias("label"))
+    labelled = cells.drop("label", "bits").join(labels, "key", "left")
+    labelled = materialize(labelled.withColumn("label", F.coalesce("label", "key")))
+    several = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    left = labelled.join(several.filter("lo < hi").select("token"), "token", "left_semi")
+    return left.join(firsts.select(F.col("_key").alias("key"), F.col("_bits").alias("bits")), "key")
 
-def _beside(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
-    """Columns ``names`` of both keys of each pair, as name_a and name_b; a key in many pairs is dealt in parts."""
-    dealt = pairs.withColumn("_part", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
-    for side in ("a", "b"):
-        own = table.select(F.col("_key").alias(side), *[F.col(f"_{n}").alias(f"{n}_{side}") for n in names])
-        dealt = dealt.join(dealt.select(side, "_part").distinct().join(own, side), [side, "_part"])
-    return dealt.select("a", "b", *[f"{n}_{side}" for side in ("a", "b") for n in names])
 
+def _centred(live: DataFrame, mask: int, similar: tuple[int, int]) -> DataFrame:
+    """(a, b): each entry b and, of the centres of its cells in other components within the bounds, the most frequent one.
 
-def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) of similar sets. ``firsts`` has a row per set, ``texts`` are the _text of each _row."""
-    schema = "a long, b long"
-    pairs = materialize(pairs.distinct())
-    near = materialize(_beside(pairs, firsts, ["size", "bits"]).mapInArrow(_possible(similar), schema))
-    wanted = near.select(F.col("a").alias("_key")).union(near.select("b")).distinct()
-    wanted = materialize(wanted.join(firsts, "_key").select("_key", F.col("first._row").alias("_row")))
-    # only texts of these pairs move
-    found = materialize(lookup_join(texts, wanted, ["_row"], "inner").select("_key", "_text"))
-    beside = _beside(near, found, ["text"])
-    return materialize(beside.mapInArrow(_similar(width, similar), schema))
+    A cell's centre is the entry whose key is least after flipping the bits of ``mask``. No cell is gathered.
+    """
+    n, d = similar
+    flipped = F.lit(mask)
+    centres = live.groupBy("token").agg(F.min(F.col("key").bitwiseXOR(flipped)).alias("m"))
+    centres = centres.select("token", F.col("m").bitwiseXOR(flipped).alias("c"))
+    of = live.select("token", F.col("key").alias("c"), *[F.col(x).alias(f"c_{x}") for x in ("size", "place", "label", "bits")])
+    rows = live.join(centres.join(of, ["token", "c"]), "token").filter("label <> c_label")
+    sizes = F.col("size") + F.col("c_size")
+    most = F.least(F.col("size") - F.col("place"), F.col("c_size") - F.col("c_place"))
+    differ = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("c_bits")[i])) for i in range(CLASSES // 64))
+    good = rows.filter((F.lit(n + d) * most >= F.lit(n) * sizes) & (F.lit(n + d) * differ <= F.lit(d - n) * sizes))
+    counted = good.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    best = counted.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("c"))
+    return best.select(F.col("c").alias("a"), F.col("key").alias("b"))
+
+
+def _apart(live: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """(a, b): all pairs inside cells that are in different components and within the bounds."""
+    sizes = live.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
+    dealt = live.join(sizes, "token").withColumn("blocks", blocks)
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = dealt.select(
+        "token",
+        F.least("own", "other").alias("one"),
+        F.greatest("own", "other").alias("two"),
+        "key",
+        "size",
+        "place",
+        "label",
+        (F.col("own") > F.col("other")).cast("long").alias("side"),
+        "bits",
+    )
+    group = ["token", "one", "two"]
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_pairs(similar), "a long, b long")
 
 
 def first_of_each(
@@ -266,6 +343,7 @@ def first_of_each(
     sample: int = SAMPLE,
     frequent: int = FREQUENT,
     listed: int = LISTED,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """The rows of ``docs`` without near copies, all columns: of each component the row with the smallest id.
 
@@ -276,33 +354,47 @@ def first_of_each(
     """
     spark = docs.sparkSession
     ship(spark)
+    with freeing_shuffles(spark):
+        return _first_of_each(docs, id_col, text_col, width, similar, sample, frequent, listed, rounds)
+
+
+def _first_of_each(docs, id_col, text_col, width, similar, sample, frequent, listed, rounds) -> DataFrame:
+    spark = docs.sparkSession
     columns = docs.columns
     texts = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     late = spark.sparkContext.broadcast(_frequent(texts, width, sample, frequent, listed))
     given = texts.withColumn("_row", F.monotonically_increasing_id()).select(*columns, "_row", "_text")
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    schema = ", ".join([*kinds, "_row long, _key long, _size long, _bits binary, _prefix binary"])
-    marked = materialize(given.mapInArrow(_mark(late, width, similar), schema))
+    own = "_row long, _key long, _size long, _bits array<long>, _fp long, _prefix binary"
+    marked = materialize(given.mapInArrow(_mark(late, width, similar), ", ".join([*kinds, own])))
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_row")
-    same = [F.any_value(c).alias(c) for c in ("_size", "_bits")]
+    same = [F.any_value(c).alias(c) for c in ("_size", "_bits", "_fp")]
     firsts = materialize(marked.groupBy("_key").agg(F.min(order).alias("first"), *same))
-    rows = firsts.select(F.col("first._row").alias("_row"))
-    prefixes = marked.select("_row", "_key", "_size", "_prefix").join(rows, "_row", "left_semi")
-    tokens = prefixes.select("_key", "_size", "_prefix").mapInArrow(_tokens, "token long, key long, size long, place long")
-    shared = tokens.repartition("token").sortWithinPartitions("token", "key")
-    cell = "token long, key long, size long, place long"
-    cells = materialize(shared.mapInArrow(_cells(_shared, ["token", "key", "size", "place"]), cell))
-    text = marked.select("_row", F.col(text_col).cast("string").alias("_text"))
-    pair = "a long, b long"
-    dealt = cells.repartition("token").sortWithinPartitions("token", "key")
-    stars = _verified(dealt.mapInArrow(_cells(_stars(similar), ["a", "b"]), pair), firsts, text, width, similar)
-    roots = materialize(components(stars))
-    labelled = cells.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "token", "key", "size", "place", F.coalesce("root", "key").alias("label")
-    )
-    dealt = labelled.repartition("token").sortWithinPartitions("token", "key")
-    rest = _verified(dealt.mapInArrow(_cells(_rest(similar), ["a", "b"]), pair), firsts, text, width, similar)
-    links = stars.unionByName(rest)
+    text = marked.select("_row", F.col(text_col).cast("string").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, firsts, text, width, similar)
+
+    def cells_of_several() -> DataFrame:
+        rows = firsts.select(F.col("first._row").alias("_row"))
+        prefixes = marked.select("_row", "_key", "_size", "_prefix").join(rows, "_row", "left_semi")
+        cell = "token long, key long, size long, place long"
+        tokens = prefixes.select("_key", "_size", "_prefix").mapInArrow(_tokens, cell)
+        return tokens.repartition("token").sortWithinPartitions("token", "key").mapInArrow(_shared, cell)
+
+    links = settle(spark, lambda: verified(_close(firsts)))
+    roots = settle(spark, lambda: components(links))
+    live = settle(spark, lambda: _live(cells_of_several(), firsts, roots))
+    for number in range(rounds):
+        if live.isEmpty():
+            break
+        # an odd multiplier spreads the masks over all bits
+        mask = (number * 0x1E3779B97F4A7C15) & 0x7FFFFFFFFFFFFFFF
+        more = settle(spark, lambda: verified(_centred(live, mask, similar)))
+        links = links.unionByName(more)
+        roots = settle(spark, lambda: components(links))
+        live = settle(spark, lambda: _live(live, firsts, roots))
+    links = links.unionByName(settle(spark, lambda: verified(_apart(live, similar))))
     named = firsts.join(components(links), F.col("_key") == F.col("node"), "left")
     kept = named.groupBy(F.coalesce("root", "_key").alias("root")).agg(F.min("first").alias("first"))
     return marked.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*columns)

@@ -91,11 +91,31 @@ def test_empty(nothing):
     assert near_dups.first_of_each(nothing).count() == 0
 
 
-def test_groups_stay_whole_over_batches():
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_rounds_and_blocks(spark, copies, rounds, monkeypatch):
+    """Neither the centre rounds nor the cut of a crowded cell into blocks changes what is found."""
+    monkeypatch.setattr(near_dups, "BLOCK", 3)
+    df = spark.createDataFrame(copies, "doc_id long, text string")
+    found = near_dups.first_of_each(df, rounds=rounds).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in found) == expected(copies)
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    """A text of 100000 words, its near copy, and a column that has the name of an own one in another frame."""
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(100_000)]
+    rows = [(2, " ".join(edited(rng, long, 0.01)), "x"), (1, " ".join(long), "y"), (3, "short", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, token string")
+    found = near_dups.first_of_each(df)
+    assert found.columns == df.columns
+    assert sorted((r.doc_id, r.token) for r in found.collect()) == [(1, "y"), (3, "z")]
+
+
+def test_tokens_of_one_row_go_over_batches():
     import pyarrow as pa
 
-    rows = np.repeat(np.array([1, 1, 2, 3, 3, 3, 3]), 1)
-    batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + 1])], ["token"]) for i in range(len(rows))]
-    groups = []
-    list(near_dups._cells(lambda r, starts: groups.extend(np.diff(np.r_[starts, len(r)]).tolist()) or r, ["token"])(iter(batches)))
-    assert groups == [2, 1, 4]
+    rows = np.array([1, 1, 2, 3, 3, 3, 3, 4])
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + size])], ["token"]) for i in range(0, len(rows), size)]
+        found = [x for b in near_dups._shared(iter(batches)) for x in b.column(0).to_pylist()]
+        assert found == [1, 1, 3, 3, 3, 3]
