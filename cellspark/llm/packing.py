@@ -4,11 +4,12 @@ Every document is its token ids and an end id. Only documents over the capacity
 pieces and a rest. Which lengths share a sequence is decided on the histogram of piece lengths, which has
 at most ``capacity`` entries however many documents there are; pieces of one length are alike.
 
-Around the largest remaining length a branch-and-bound enumerates fillings of the rest of the sequence:
-larger lengths first, so that a filling dominated by one with a larger piece in place of smaller ones
-comes later; a branch is left if its waste bound cannot beat the incumbent, which starts as the best-fit
-filling. The chosen filling is repeated as often as the counts allow. The whole plan is kept if it takes
-fewer sequences than plain best fit over the same histogram, which is the first incumbent.
+Plain best fit over the histogram is the first incumbent, least-waste fillings around the largest remaining length
+the second. If neither is at the lower bound, a depth-first search branches over the undominated fillings around the
+largest remaining length, each as often as the counts allow or once. A filling is dominated if a piece outside can take the
+place of pieces inside that are no longer together, within the room left. A branch is left if its waste together with
+what is placed already cannot give fewer sequences than the incumbent. The search ends at the lower bound, or after
+``nodes`` looks with the best incumbent so far.
 
 The plan is rows (length, ranks from, sequences from, offset). Pieces are numbered inside their length in
 buckets, so a length that a third of all documents have is spread over many tasks.
@@ -19,7 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,12 @@ CAPACITY = 4096
 END_ID = 1
 #: Branches that are looked at for one sequence.
 BRANCHES = 4000
+#: Fillings and lengths that are looked at in the search over whole plans, all its nodes together.
+NODES = 100_000
+#: Pieces of one length that are numbered in one window, about.
+SHARE = 1_000_000
+#: Plans of at most so many lengths remember the counts they have been at.
+REMEMBERED = 64
 #: Distinct words whose ids a worker remembers, and the longest word that is remembered.
 MEMORY = 600_000
 LONGEST = 64
@@ -219,10 +226,94 @@ def best_filling(lengths: list[int], counts: dict[int, int], room: int, branches
     return [length for length, take in best for _ in range(take)]
 
 
-def fillings(histogram: dict[int, int], capacity: int, branches: int = BRANCHES) -> list[tuple[int, list[int]]]:
+def undominated(
+    lengths: list[int], counts: dict[int, int], room: int, most_waste: int, branches: int = BRANCHES
+) -> list[list[int]]:
+    """Fillings of ``room`` that waste at most ``most_waste`` and that no other one dominates, least waste first.
+
+    ``lengths`` ascend and have counts over zero. All of them unless more than ``branches`` are looked at.
+    """
+    return _undominated(lengths, counts, room, most_waste, branches)[0]
+
+
+def _undominated(
+    lengths: list[int], counts: dict[int, int], room: int, most_waste: int, branches: int
+) -> tuple[list[list[int]], int]:
+    found: list[tuple[int, list[tuple[int, int]]]] = []
+    fitting = lengths[: bisect_right(lengths, room)]
+    in_all = [0]  # what the first k lengths can fill at most
+    for length in fitting:
+        in_all.append(in_all[-1] + min(counts[length], room // length) * length)
+    seen = 0
+    there = 0  # bit n: there is a piece of length n
+    for n in fitting:
+        there |= 1 << n
+
+    def extend(rest: int, at: int, chosen: list[tuple[int, int]]) -> None:
+        nonlocal seen
+        outside = there
+        for n, take in chosen:
+            outside ^= (counts[n] == take) << n
+        if rest <= most_waste and not _dominated(outside, rest, chosen):
+            found.append((rest, chosen))
+        for k in range(bisect_right(fitting, rest, 0, at), 0, -1):
+            if seen >= branches or rest - in_all[k] > most_waste:
+                return
+            length = fitting[k - 1]
+            for take in range(min(counts[length], rest // length), 0, -1):
+                seen += 1
+                extend(rest - take * length, k - 1, [*chosen, (length, take)])
+
+    extend(room, len(fitting), [])
+    found.sort(key=lambda f: (f[0], [(-n, -take) for n, take in f[1]]))
+    return [[n for n, take in chosen for _ in range(take)] for _, chosen in found], seen
+
+
+def _dominated(outside: int, rest: int, chosen: list[tuple[int, int]]) -> bool:
+    """Whether a piece outside can replace pieces inside (or none) whose sum it exceeds by at most ``rest``.
+
+    Bit n of ``outside`` tells whether a piece of length n is left.
+    """
+    if outside & ((2 << rest) - 2):
+        return True  # it fits beside them
+    # bit t: pieces inside sum to t; all sums, and those of two pieces or more
+    sums, several = 1, 0
+    for n, take in chosen:
+        for _ in range(take):
+            several |= (several << n) | ((sums & ~1) << n)
+            sums |= sums << n
+    reach, width = sums << 1, 1  # a longer piece by 1 to ``rest``
+    while width < rest:
+        step = min(width, rest - width)
+        reach |= reach << step
+        width += step
+    return bool(outside & several) or bool(rest and outside & reach)
+
+
+def least_sequences(histogram: dict[int, int], capacity: int) -> int:
+    """No plan takes fewer: all tokens, or pieces longer than a limit that cannot share, and what they leave no room for."""
+    lengths = sorted(n for n, c in histogram.items() if c > 0)
+    number, tokens = [0], [0]  # of the pieces of the first k lengths
+    for n in lengths:
+        number.append(number[-1] + histogram[n])
+        tokens.append(tokens[-1] + histogram[n] * n)
+    half = bisect_right(lengths, capacity // 2)
+    best = -(-tokens[-1] // capacity)
+    for limit in {min(n, capacity - n) for n in lengths}:
+        # pieces over capacity - limit stand without those of limit or more; those over half have one each
+        alone, small = max(half, bisect_right(lengths, capacity - limit)), bisect_left(lengths, limit)
+        room = (number[alone] - number[half]) * capacity - (tokens[alone] - tokens[half])
+        rest = tokens[half] - tokens[min(small, half)]
+        best = max(best, number[-1] - number[half] + max(0, -(-(rest - room) // capacity)))
+    return best
+
+
+def fillings(
+    histogram: dict[int, int], capacity: int, branches: int = BRANCHES, nodes: int = NODES
+) -> list[tuple[int, list[int]]]:
     """(times, lengths of one sequence) so that every piece is in one sequence."""
 
-    def solve(limit: int) -> list[tuple[int, list[int]]]:
+    def greedy(limit: int) -> list[tuple[int, list[int]]]:
         counts = {n: c for n, c in histogram.items() if c > 0}
         lengths = sorted(counts)
         plan = []
@@ -241,18 +332,83 @@ def fillings(histogram: dict[int, int], capacity: int, branches: int = BRANCHES)
             plan.append((times, lot))
         return plan
 
-    plain, completed = solve(0), solve(branches)
-    return min(completed, plain, key=lambda p: sum(times for times, _ in p))
-
-
-def _plan(capacity: int, branches: int):
+    floor = least_sequences(histogram, capacity)
+    plan = greedy(0)
+    if _sequences(plan) > floor:
+        plan = min(plan, greedy(branches), key=_sequences)
+    if _sequences(plan) > floor:
+        plan = _complete(histogram, capacity, plan, floor, branches, nodes)
+    return plan
+
+
+def _sequences(plan: list[tuple[int, list[int]]]) -> int:
+    return sum(times for times, _ in plan)
+
+
+def _complete(
+    histogram: dict[int, int], capacity: int, plan: list[tuple[int, list[int]]], floor: int, branches: int, nodes: int
+) -> list[tuple[int, list[int]]]:
+    """Bin completion: the best plan that the search finds, or the given one if that is not beaten."""
+    counts = {n: c for n, c in histogram.items() if c > 0}
+    rest, used, best = sum(n * c for n, c in counts.items()), 0, _sequences(plan)
+    reached: dict[tuple, int] = {}
+
+    def moves() -> Iterator[tuple[int, list[int], dict[int, int]]]:
+        """(times, lengths, number of each) of the next sequences, from the counts as they are now."""
+        nonlocal nodes
+        lengths = sorted(n for n, c in counts.items() if c)
+        if len(lengths) <= REMEMBERED:
+            state = tuple((n, counts[n]) for n in lengths)
+            if reached.get(state, best) <= used:
+                return
+            reached[state] = used
+        # what may still be wasted if a sequence is to be saved
+        waste = (best - 1 - used) * capacity - rest
+        if waste < 0:
+            return
+        largest = lengths[-1]
+        left = {**counts, largest: counts[largest] - 1}
+        available = lengths if left[largest] else lengths[:-1]
+        some, seen = _undominated(available, left, capacity - largest, waste, min(branches, nodes))
+        nodes -= seen + len(lengths)
+        for chosen in some:
+            lot = [largest, *chosen]
+            need = {n: lot.count(n) for n in set(lot)}
+            most = min(counts[n] // m for n, m in need.items())
+            for times in {most: 0, 1: 0}:
+                yield times, lot, need
+
+    path: list[tuple[int, list[int], dict[int, int]]] = []
+    levels = [moves()]
+    while levels and nodes > 0 and best > floor:
+        move = next(levels[-1], None)
+        if move is None:
+            levels.pop()
+            if path:
+                times, lot, need = path.pop()
+                used, rest = used - times, rest + times * sum(lot)
+                for n, m in need.items():
+                    counts[n] += m * times
+            continue
+        times, lot, need = move
+        path.append(move)
+        used, rest = used + times, rest - times * sum(lot)
+        for n, m in need.items():
+            counts[n] -= m * times
+        if not rest and used < best:
+            best, plan = used, [(t, list(made)) for t, made, _ in path]
+        levels.append(moves() if rest else iter(()))
+    return plan
+
+
+def _plan(capacity: int, branches: int, nodes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lot in batch.column(0).to_pylist():
                 taken: dict[int, int] = {}
                 rows: dict[int, list] = {}
                 sequence = 0
-                for times, lengths in fillings({e["length"]: e["n"] for e in lot or []}, capacity, branches):
+                for times, lengths in fillings({e["length"]: e["n"] for e in lot or []}, capacity, branches, nodes):
                     offset = 0
                     for length in lengths:
                         rows.setdefault(length, []).append((taken.get(length, 0), sequence, offset))
@@ -276,6 +432,7 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     branches: int = BRANCHES,
+    nodes: int = NODES,
     with_ids: bool = False,
 ) -> DataFrame:
     """id_col, piece, start, length, ids_crc32, sequence_id, offset (and ids): one row per piece.
@@ -287,9 +444,10 @@ def pack(
     histogram = cut.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     whole = histogram.agg(F.collect_list(F.struct("length", "n")).alias("lot"))  # at most ``capacity`` entries
     plan = whole.mapInArrow(
-        _plan(capacity, branches), "length long, ranks array<long>, sequences array<long>, offsets array<long>"
+        _plan(capacity, branches, nodes), "length long, ranks array<long>, sequences array<long>, offsets array<long>"
     )
-    shares = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # a window holds about ``SHARE`` pieces of one length at most, however many there are
+    shares = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), cut.count() // SHARE)
     order = [id_col, "piece", "ids_crc32"]
     dealt = cut.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(shares)))
     sizes = dealt.groupBy("length", "_share").agg(F.count(F.lit(1)).alias("_n"))

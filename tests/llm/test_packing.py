@@ -98,3 +98,70 @@ def test_many_small_pieces_need_no_deep_recursion():
             used[n] = used.get(n, 0) + times
     assert used == {1: 5000, 3: 4000, 4095: 2}
     assert sum(times for times, _ in plan) == 7
+
+
+def fewest(pieces, capacity):
+    """Sequences that are needed, by trying every place of every piece."""
+    pieces = sorted(pieces, reverse=True)
+    best = len(pieces)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(pieces):
+            best = len(rooms)
+            return
+        for at, room in enumerate(rooms):
+            if room >= pieces[i] and room not in rooms[:at]:
+                place(i + 1, [*rooms[:at], room - pieces[i], *rooms[at + 1 :]])
+        place(i + 1, [*rooms, capacity - pieces[i]])
+
+    place(0, [])
+    return best
+
+
+def test_a_plan_goes_back_on_its_first_filling():
+    lengths = [59, 56, 45, 42, 38, 30, 25, 24, 24, 23, 21, 10]
+    plan = packing.fillings({n: lengths.count(n) for n in lengths}, 100)
+    assert sum(times for times, _ in plan) == 4
+    assert sorted(n for times, lot in plan for n in lot * times) == sorted(lengths)
+
+
+def test_plans_are_as_short_as_any():
+    rng = random.Random(6)
+    searched = 0
+    for _ in range(400):
+        capacity = rng.choice([30, 100])
+        pool = [rng.randint(1, capacity) for _ in range(rng.randint(1, 6))]
+        pieces = [rng.choice(pool) if rng.random() < 0.4 else rng.randint(capacity // 8, capacity // 2) for _ in range(10)]
+        histogram = {n: pieces.count(n) for n in pieces}
+        plan = packing.fillings(histogram, capacity)
+        assert sorted(n for times, lot in plan for n in lot * times) == sorted(pieces)
+        assert all(sum(lot) <= capacity for _, lot in plan)
+        least = fewest(pieces, capacity)
+        assert packing.least_sequences(histogram, capacity) <= least == sum(times for times, _ in plan)
+        searched += least < sum(times for times, _ in packing.fillings(histogram, capacity, 0, 0))
+    assert searched > 3
+
+
+def test_undominated_fillings():
+    """Of all fillings, those that no swap of a longer piece for pieces inside improves."""
+    rng = random.Random(7)
+    for _ in range(200):
+        counts = {rng.randint(1, 20): rng.randint(1, 2) for _ in range(5)}
+        room = rng.randint(1, 40)
+        found = packing.undominated(sorted(counts), counts, room, room)
+        expected = []
+        pool = sorted(n for n, c in counts.items() for _ in range(c))
+        subsets = {s for k in range(len(pool) + 1) for s in itertools.combinations(pool, k) if sum(s) <= room}
+        for s in subsets:
+            inside = {t for k in range(len(s) + 1) for t in itertools.combinations(s, k)}
+            outside = [n for n in counts if counts[n] > s.count(n)]
+            worse = any(
+                sum(t) <= n <= sum(t) + room - sum(s) and (n > sum(t) or len(t) > 1) for t in inside for n in outside
+            )
+            if not worse:
+                expected.append(sorted(s, reverse=True))
+        assert sorted(found) == sorted(expected)
+        assert [sum(f) for f in found] == sorted((sum(f) for f in found), reverse=True)
