@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,26 +30,6 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(_BATCHES, BATCH_BYTES)
 
 
-_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Inside the block, a write's shuffle files go when the write ends, instead of when the driver's heap is collected.
-
-    For work that goes on from written tables only.
-    """
-    before = spark.conf.get(_FREE, None)
-    spark.conf.set(_FREE, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_FREE)
-        else:
-            spark.conf.set(_FREE, before)
-
-
 def lower_ascii(column) -> F.Column:
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
