@@ -1,16 +1,21 @@
 """Near-duplicates by the real Jaccard similarity of word shingles, every pair at or over the threshold.
 
-A 64-bit SimHash of two texts with Jaccard 0.8 differs in about ten bits, and in up to 17; a multi-index for
-so many bits has to look into thousands of crowded cells per text. Candidates come from prefix filtering
-instead, which misses no pair: with all shingles in one fixed order, two sets of Jaccard ``t`` or more share
-one of their first ``size - ceil(t * size) + 1`` shingles, and the first one they share leaves enough
-shingles after it on both sides.
-
-The order puts shingles last that are frequent in a sample of texts. It decides only how crowded the cells
-are: any order finds the same pairs. Equal shingle sets are one entry. A cell first compares every entry
-with its smallest one; what that connects is not compared again, and only entries of a cell that are still
-in different components are paired. Candidates first have to pass a bound on bitmaps: sets differ in at least as
-many shingles as the parities of their 512 hash classes do. What is left is verified on the texts.
+Multi-index hashing comes first: SimHash fingerprints of the shingle sets are linked within a few bits, the linked
+sets are verified on their texts, and what holds is one component already. A 64-bit SimHash of two texts with
+Jaccard 0.8 differs in about ten bits, and in up to 17, so that index alone misses pairs. The rest comes from prefix
+filtering, which misses none: with all shingles in one fixed order, two sets of Jaccard ``t`` or more share one of
+their first ``size - ceil(t * size) + 1`` shingles, and the first one they share leaves enough shingles after it on
+both sides. The order puts shingles last that are frequent in a sample of texts. It decides only how crowded the
+cells (the entries with one prefix shingle) are: any order finds the same pairs. Equal shingle sets are one entry.
+
+Sets differ in at least as many shingles as the parities of their hash classes do. A set has as many classes as
+shingles, rounded up to a power of two, so the bound stays sharp for long texts; of two sets the wider parities are
+folded. Entries carry the narrowest form into the cells, which compare them there; pairs that pass are compared in
+full width, and only texts of pairs that pass that move.
+
+Cells of one component need no work. In the others each entry is first held against a centre: the entry nearest to
+the cell's majority of parities, and for entries that cannot be similar to it a next one, a few times. Only what is still
+apart after that is compared pair by pair. A crowded cell is cut into blocks and pairs of blocks are groups of their own.
 """
 
 from __future__ import annotations
@@ -24,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.llm.common import ship
-from cellspark.llm.simhash import _LOWER, components
-from cellspark.plans.scale import lookup_join, materialize
+from cellspark.llm.simhash import _LOWER, components, near_links
+from cellspark.plans.scale import lookup_join, materialize, settle
 
 SHINGLE = 5
 #: Jaccard of linked texts, at least, as a fraction.
@@ -34,8 +39,12 @@ SIMILAR = (4, 5)
 SAMPLE, FREQUENT, LISTED = 16, 3, 1_000_000
 #: Parts into which the pairs of one text are dealt.
 SALTS = 64
-#: Hash classes of shingles whose parities are compared first.
+#: Fewest hash classes of shingles whose parities are compared, a power of two.
 CLASSES = 512
+#: Bits in which fingerprints differ at most, and the index's segments.
+DISTANCE, SEGMENTS = 4, 3
+#: Entries of a cell that are compared in one group, and centres of a group before its pairs are compared.
+BLOCK, CENTRES = 2048, 8
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -84,17 +93,39 @@ def _frequent(texts: DataFrame, width: int, sample: int, frequent: int, listed:
     return np.sort(table.column(0).to_numpy().view(np.uint64))
 
 
+def _parities(found: np.ndarray) -> np.ndarray:
+    """Whether each of the hash classes of the set holds an odd number of shingles, packed to bytes."""
+    classes = max(CLASSES, 1 << max(len(found) - 1, 0).bit_length())
+    odd = np.bincount((found & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(bool))
+
+
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Parities of the classes modulo ``size`` bytes of them."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
+def _fingerprint(found: np.ndarray) -> int:
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 16):
+        part = found[at : at + (1 << 16)].astype(">u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > len(found)).tobytes(), "big")
+
+
 def _mark(frequent, width: int, similar: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
         for batch in batches:
-            keys, sizes, bits, prefixes = [], [], [], []
+            keys, sizes, bits, folds, fps, prefixes = [], [], [], [], [], []
             for text in batch.column(batch.num_columns - 1).cast(pa.binary()):
                 found = shingles(text.as_py() or b"", width)
                 keys.append(xxhash.xxh64_intdigest(found.tobytes(), 7))
                 sizes.append(len(found))
-                odd = np.bincount((found % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES) & 1
-                bits.append(np.packbits(odd.astype(bool)).tobytes())
+                parities = _parities(found)
+                bits.append(parities.tobytes())
+                folds.append(_folded(parities, CLASSES // 8).tobytes())
+                fps.append(_fingerprint(found))
                 if len(late) and len(found):
                     is_late = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
                     found = np.concatenate([found[~is_late], found[is_late]])
@@ -103,10 +134,12 @@ def _mark(frequent, width: int, similar: tuple[int, int]):
                 pa.array(np.array(keys, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int64()),
                 pa.array(bits, pa.binary()),
+                pa.array(folds, pa.binary()),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
                 pa.array(prefixes, pa.binary()),
             ]
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + own, [*names, "_key", "_size", "_bits", "_prefix"])
+            names = batch.schema.names[:-1] + ["_key", "_size", "_bits", "_fold", "_fp", "_prefix"]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + own, names)
 
     return run
 
@@ -130,131 +163,237 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "size", "place"])
 
 
-def _cells(work: Callable[[np.ndarray, np.ndarray], np.ndarray], names: list[str]):
-    """Runs ``work`` on rows sorted by their first column, with the first row of each group; groups stay whole."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[np.ndarray] = []
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first column, without those whose first column no other row has.
 
-        def close() -> Iterator[pa.RecordBatch]:
-            if pending:
-                rows = np.concatenate(pending)
-                starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
-                found = work(rows, starts)
-                for at in range(0, len(found), 1 << 17):
-                    part = found[at : at + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in part.T], names)
+    Only the last row of a batch waits for the next one, however long a group is.
+    """
+    waiting, names = None, []
+    ahead = None  # the first column of the row before the waiting one
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch.schema.names
+        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        if waiting is not None:
+            rows = np.concatenate([waiting, rows])
+        token = rows[:, 0]
+        same = token[1:] == token[:-1]
+        keep = np.r_[ahead is not None and token[0] == ahead, same][:-1] | same
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in rows[:-1][keep].T], names)
+        ahead = token[-2] if len(token) > 1 else ahead
+        waiting = rows[-1:]
+    if waiting is not None and ahead is not None and waiting[0, 0] == ahead:
+        yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in waiting.T], names)
+
+
+def _may(rows: np.ndarray, bits: np.ndarray, i: int, others: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
+    """Those of ``others`` that are in another component than row ``i`` and can be similar to it."""
+    n, d = similar
+    size, place, label = rows[:, 4], rows[:, 5], rows[:, 6]
+    j = others[label[others] != label[i]]
+    # the shingle of the cell is the first that both share
+    j = j[(n + d) * np.minimum(size[i] - place[i], size[j] - place[j]) >= n * (size[j] + size[i])]
+    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    return j[(n + d) * differ <= (d - n) * (size[j] + size[i])]
+
+
+def _paired(rows: np.ndarray, i: int, j: np.ndarray) -> np.ndarray:
+    return np.stack([np.full(len(j), rows[i, 3]), rows[j, 3]], axis=1)
+
+
+def _centred(similar: tuple[int, int], centres: int = CENTRES):
+    """Pairs of each entry and a centre of its group that it can be similar to; at most one pair per entry."""
+
+    def work(rows: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
+        left = np.arange(len(rows))
+        for _ in range(centres):
+            if len(left) < 2:
+                return
+            odd = np.zeros(CLASSES, np.int64)
+            for at in range(0, len(left), 4096):
+                odd += np.unpackbits(bits[left[at : at + 4096]].view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+            most = np.packbits(odd * 2 > len(left)).view(np.uint64)
+            far = np.bitwise_count(bits[left] ^ most).sum(axis=1, dtype=np.int64)
+            centre = left[np.lexsort((rows[left, 3], far))[0]]
+            found = _may(rows, bits, centre, left, similar)
+            if len(found):
+                yield _paired(rows, centre, found)
+            left = np.setdiff1d(left, np.r_[found, centre], assume_unique=True)
+            left = left[rows[left, 6] != rows[centre, 6]]
 
-        for batch in batches:
-            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            if not len(rows):
-                continue
-            # the last group may go on in the next batch
-            cut = int(np.argmax(rows[:, 0] == rows[-1, 0]))
-            if cut or (pending and pending[-1][-1, 0] != rows[0, 0]):
-                pending.append(rows[:cut])
-                yield from close()
-                pending = []
-            pending.append(rows[cut:])
-        yield from close()
+    return work
 
-    return run
 
+def _apart(similar: tuple[int, int]):
+    """All pairs of a group that are in different components and can be similar.
 
-def _shared(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    sizes = np.diff(np.r_[starts, len(rows)])
-    return rows[np.repeat(sizes > 1, sizes)]
+    Rows of side 1 are held against side 0 where the group is a pair of blocks, else all with all.
+    """
 
+    def work(rows: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
+        left, right = (np.flatnonzero(rows[:, 7] == side) for side in (0, 1))
+        between = rows[0, 1] != rows[0, 2]
+        for at, i in enumerate(left):
+            found = _may(rows, bits, i, right if between else left[at + 1 :], similar)
+            if len(found):
+                yield _paired(rows, i, found)
 
-def _enough(one: np.ndarray, two: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
-    """Whether the sets can be similar if the shingle of these rows is the first they share."""
-    n, d = similar
-    most = np.minimum(one[..., 2] - one[..., 3], two[..., 2] - two[..., 3])
-    return (n + d) * most >= n * (one[..., 2] + two[..., 2])
+    return work
 
 
-def _stars(similar: tuple[int, int]):
-    def work(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        centres = np.repeat(rows[starts], np.diff(np.r_[starts, len(rows)]), axis=0)
-        good = (centres[:, 1] != rows[:, 1]) & _enough(centres, rows, similar)
-        return np.unique(np.stack([centres[good, 1], rows[good, 1]], axis=1), axis=0)
+def _groups(work: Callable[[np.ndarray, np.ndarray], Iterator[np.ndarray]]):
+    """Runs ``work`` on the groups (token, one, two) of sorted rows, one at a time, and gives the pairs a < b."""
 
-    return work
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[np.ndarray] = []
 
+        def flush() -> pa.RecordBatch:
+            pairs = np.concatenate(out)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], ["a", "b"])
 
-def _rest(similar: tuple[int, int]):
-    """Pairs of a cell, without those with its first entry, that are in different components."""
+        def close() -> Iterator[pa.RecordBatch]:
+            rows, bits = (np.concatenate(part) for part in zip(*pending))
+            pending.clear()
+            if len(rows) < 2 or (rows[:, 6] == rows[0, 6]).all():
+                return
+            for pairs in work(rows, bits):
+                out.append(pairs)
+                if len(out) >= 256:
+                    yield flush()
 
-    def work(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        found = [np.empty((0, 2), np.int64)]
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
-            cell = rows[a + 1 : b]
-            if len(cell) < 2 or (cell[:, 4] == cell[0, 4]).all():
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            for i in range(len(cell) - 1):
-                others = cell[i + 1 :]
-                others = others[(others[:, 4] != cell[i, 4]) & _enough(cell[i], others, similar)]
-                found.append(np.stack([np.full(len(others), cell[i, 1]), others[:, 1]], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            rows = np.stack([c.to_numpy() for c in batch.columns[:-1]], axis=1)
+            bits = np.frombuffer(b"".join(batch.column("fold").to_pylist()), np.uint64).reshape(len(rows), -1)
+            starts = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+            for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
+                if pending and (pending[-1][0][-1, :3] != rows[at, :3]).any():
+                    yield from close()
+                pending.append((rows[at:end], bits[at:end]))
+        if pending:
+            yield from close()
+        if out:
+            yield flush()
 
-    return work
+    return run
 
 
-def _similar(width: int, similar: tuple[int, int]):
+def _possible(similar: tuple[int, int]):
     n, d = similar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sizes = (batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()).tolist()
             good = []
-            seen, last = None, None  # rows of one text often follow each other
-            for a, one, two in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != seen:
-                    seen, last = a, shingles((one.as_py() or "").encode(), width)
-                other = shingles((two.as_py() or "").encode(), width)
-                both = len(np.intersect1d(last, other, assume_unique=True))
-                good.append((n + d) * both >= n * (len(last) + len(other)))
+            for one, two, size in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), sizes):
+                least = min(len(one), len(two))
+                pair = (_folded(np.frombuffer(x, np.uint8), least) for x in (one, two))
+                differ = int(np.bitwise_count(np.bitwise_xor(*pair)).sum(dtype=np.int64))
+                good.append((n + d) * differ <= (d - n) * size)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def _possible(similar: tuple[int, int]):
+def _similar(width: int, similar: tuple[int, int]):
+    """Rows (a, part, b, text) sorted by them, a's own text first (no b), to the pairs (a, b) of similar sets."""
     n, d = similar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
         for batch in batches:
-            if batch.num_rows:
-                one, two = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, CLASSES // 64)
-                    for c in ("bits_a", "bits_b")
-                )
-                differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
-                sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array((n + d) * differ <= (d - n) * sizes))
+            pairs = []
+            columns = (batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text").cast(pa.binary()))
+            for a, b, text in zip(*columns):
+                found = shingles(text.as_py() or b"", width)
+                if b is None:
+                    own = found
+                    continue
+                both = len(np.intersect1d(own, found, assume_unique=True))
+                if (n + d) * both >= n * (len(own) + len(found)):
+                    pairs.append((a, b))
+            one, two = zip(*pairs) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _beside(pairs: DataFrame, table: DataFrame, names: list[str]) -> DataFrame:
-    """Columns ``names`` of both keys of each pair, as name_a and name_b; a key in many pairs is dealt in parts."""
-    dealt = pairs.withColumn("_part", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
+def _beside(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Size and parities of both keys of each pair, as name_a and name_b; a key in many pairs is dealt in parts."""
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
     for side in ("a", "b"):
-        own = table.select(F.col("_key").alias(side), *[F.col(f"_{n}").alias(f"{n}_{side}") for n in names])
-        dealt = dealt.join(dealt.select(side, "_part").distinct().join(own, side), [side, "_part"])
-    return dealt.select("a", "b", *[f"{n}_{side}" for side in ("a", "b") for n in names])
+        own = firsts.select(F.col("_key").alias(side), *[F.col(f"_{n}").alias(f"{n}_{side}") for n in ("size", "bits")])
+        dealt = dealt.join(dealt.select(side, "part").distinct().join(own, side), [side, "part"])
+    return dealt.select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
 
 
 def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) of similar sets. ``firsts`` has a row per set, ``texts`` are the _text of each _row."""
-    schema = "a long, b long"
+    """The pairs (a, b) of similar sets. ``firsts`` has a row per set, ``texts`` are the text of each _row.
+
+    A text moves once per pair as b, and once per part of its pairs as a.
+    """
+    pair = "a long, b long"
     pairs = materialize(pairs.distinct())
-    near = materialize(_beside(pairs, firsts, ["size", "bits"]).mapInArrow(_possible(similar), schema))
-    wanted = near.select(F.col("a").alias("_key")).union(near.select("b")).distinct()
-    wanted = materialize(wanted.join(firsts, "_key").select("_key", F.col("first._row").alias("_row")))
-    # only texts of these pairs move
-    found = materialize(lookup_join(texts, wanted, ["_row"], "inner").select("_key", "_text"))
-    beside = _beside(near, found, ["text"])
-    return materialize(beside.mapInArrow(_similar(width, similar), schema))
+    near = _beside(pairs, firsts).mapInArrow(_possible(similar), pair)
+    near = materialize(near.withColumn("part", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS))))
+    need = near.select(F.col("a").alias("_key"), "a", "part", F.lit(None).cast("long").alias("b")).distinct()
+    need = need.unionByName(near.select(F.col("b").alias("_key"), "a", "part", "b"))
+    need = materialize(need.join(firsts, "_key").select(F.col("first._row").alias("_row"), "a", "part", "b"))
+    # only texts of these pairs move; nulls come first in ascending order
+    rows = lookup_join(texts, need, ["_row"], "inner").select("a", "part", "b", "text")
+    beside = rows.repartition("a", "part").sortWithinPartitions("a", "part", "b")
+    return beside.mapInArrow(_similar(width, similar), pair)
+
+
+def _close(firsts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints are linked by multi-index hashing, one set for each fingerprint."""
+    fps = materialize(firsts.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("rep")))
+    links = near_links(fps, DISTANCE, SEGMENTS)
+    for side in ("a", "b"):
+        links = links.join(fps.select(F.col("fp").alias(side), F.col("rep").alias(f"rep_{side}")), side)
+    between = links.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+    inside = lookup_join(firsts.select(F.col("_fp").alias("fp"), "_key"), fps, ["fp"], "inner").filter("rep <> _key")
+    return between.unionByName(inside.select(F.col("rep").alias("a"), F.col("_key").alias("b")))
+
+
+def _live(cells: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the cells that hold several components, with the cell's count, the entry's label and its parities."""
+    labels = roots.select(F.col("node").alias("key"), F.col("root").alias("label"))
+    own = ["token", "key", "size", "place"]
+    labelled = cells.select(*own).join(labels, "key", "left")
+    labelled = materialize(labelled.select(*own, F.coalesce("label", "key").alias("label")))
+    counts = labelled.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    several = materialize(counts.filter("low < high").select("token", "n"))
+    folds = firsts.select(F.col("_key").alias("key"), F.col("_fold").alias("fold"))
+    return lookup_join(labelled, several, ["token"], "inner").join(folds, "key")
+
+
+def _found(live: DataFrame, between: bool, work) -> DataFrame:
+    """Pairs (a, b) that ``work`` finds in the blocks of the cells, or in all pairs of blocks."""
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
+    dealt = live.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", others if between else F.col("own"))
+    group = ["token", "one", "two"]
+    rows = dealt.select(
+        "token",
+        F.least("own", "other").alias("one"),
+        F.greatest("own", "other").alias("two"),
+        "key",
+        "size",
+        "place",
+        "label",
+        (F.col("own") > F.col("other")).cast("long").alias("side"),
+        "fold",
+    )
+    return rows.repartition(*group).sortWithinPartitions(*group, "key").mapInArrow(_groups(work), "a long, b long")
 
 
 def first_of_each(
@@ -281,28 +420,30 @@ def first_of_each(
     late = spark.sparkContext.broadcast(_frequent(texts, width, sample, frequent, listed))
     given = texts.withColumn("_row", F.monotonically_increasing_id()).select(*columns, "_row", "_text")
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    schema = ", ".join([*kinds, "_row long, _key long, _size long, _bits binary, _prefix binary"])
-    marked = materialize(given.mapInArrow(_mark(late, width, similar), schema))
+    own = "_row long, _key long, _size long, _bits binary, _fold binary, _fp long, _prefix binary"
+    marked = materialize(given.mapInArrow(_mark(late, width, similar), ", ".join([*kinds, own])))
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_row")
-    same = [F.any_value(c).alias(c) for c in ("_size", "_bits")]
+    same = [F.any_value(c).alias(c) for c in ("_size", "_bits", "_fold", "_fp")]
     firsts = materialize(marked.groupBy("_key").agg(F.min(order).alias("first"), *same))
-    rows = firsts.select(F.col("first._row").alias("_row"))
-    prefixes = marked.select("_row", "_key", "_size", "_prefix").join(rows, "_row", "left_semi")
-    tokens = prefixes.select("_key", "_size", "_prefix").mapInArrow(_tokens, "token long, key long, size long, place long")
-    shared = tokens.repartition("token").sortWithinPartitions("token", "key")
-    cell = "token long, key long, size long, place long"
-    cells = materialize(shared.mapInArrow(_cells(_shared, ["token", "key", "size", "place"]), cell))
-    text = marked.select("_row", F.col(text_col).cast("string").alias("_text"))
-    pair = "a long, b long"
-    dealt = cells.repartition("token").sortWithinPartitions("token", "key")
-    stars = _verified(dealt.mapInArrow(_cells(_stars(similar), ["a", "b"]), pair), firsts, text, width, similar)
-    roots = materialize(components(stars))
-    labelled = cells.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "token", "key", "size", "place", F.coalesce("root", "key").alias("label")
-    )
-    dealt = labelled.repartition("token").sortWithinPartitions("token", "key")
-    rest = _verified(dealt.mapInArrow(_cells(_rest(similar), ["a", "b"]), pair), firsts, text, width, similar)
-    links = stars.unionByName(rest)
+    text = marked.select("_row", F.col(text_col).cast("string").alias("text"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, firsts, text, width, similar)
+
+    def cells() -> DataFrame:
+        rows = firsts.select(F.col("first._row").alias("_row"))
+        prefixes = marked.select("_row", "_key", "_size", "_prefix").join(rows, "_row", "left_semi")
+        cell = "token long, key long, size long, place long"
+        tokens = prefixes.select("_key", "_size", "_prefix").mapInArrow(_tokens, cell)
+        return tokens.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, cell)
+
+    links = settle(spark, lambda: verified(_close(firsts)))
+    roots = settle(spark, lambda: components(links))
+    live = settle(spark, lambda: _live(materialize(cells()), firsts, roots))
+    links = links.unionByName(settle(spark, lambda: verified(_found(live, False, _centred(similar)))))
+    roots = settle(spark, lambda: components(links))
+    left = settle(spark, lambda: _live(live, firsts, roots))
+    links = links.unionByName(settle(spark, lambda: verified(_found(left, True, _apart(similar)))))
     named = firsts.join(components(links), F.col("_key") == F.col("node"), "left")
     kept = named.groupBy(F.coalesce("root", "_key").alias("root")).agg(F.min("first").alias("first"))
     return marked.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*columns)

@@ -91,11 +91,45 @@ def test_empty(nothing):
     assert near_dups.first_of_each(nothing).count() == 0
 
 
-def test_groups_stay_whole_over_batches():
+@pytest.mark.parametrize(("block", "centres"), [(3, 8), (2048, 0), (3, 1)])
+def test_blocks_and_centres(spark, copies, block, centres, monkeypatch):
+    """Neither the cut of a crowded cell into blocks nor the centres change what is found."""
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    monkeypatch.setattr(near_dups, "_centred", lambda similar, given=near_dups._centred: given(similar, centres))
+    df = spark.createDataFrame(copies, "doc_id long, text string")
+    found = near_dups.first_of_each(df).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in found) == expected(copies)
+
+
+def test_very_long_text_and_clashing_columns(spark):
+    """A text of 100000 words, its near copy, and columns that inner frames have too."""
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(100_000)]
+    rows = [(2, " ".join(edited(rng, long, 0.01)), "x", 1), (1, " ".join(long), "y", 2), (3, "short", "z", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, token string, label int")
+    found = near_dups.first_of_each(df)
+    assert found.columns == df.columns
+    assert sorted((r.doc_id, r.token) for r in found.collect()) == [(1, "y"), (3, "z")]
+
+
+def test_parities_bound_the_difference():
+    """Folded to the narrower of two widths, parities never differ in more classes than the sets do in shingles."""
+    rng = np.random.default_rng(4)
+    for size, more in [(0, 3), (10, 0), (500, 30), (1000, 100), (5000, 900)]:
+        one = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        two = np.unique(np.r_[one[more // 2 :], rng.integers(0, 1 << 63, more).astype(np.uint64)])
+        wide = [near_dups._parities(x) for x in (one, two)]
+        least = min(map(len, wide))
+        differ = np.bitwise_count(np.bitwise_xor(*(near_dups._folded(x, least) for x in wide))).sum()
+        assert differ <= len(np.setxor1d(one, two))
+        assert least >= near_dups.CLASSES // 8
+
+
+def test_rows_of_one_token_over_batches():
     import pyarrow as pa
 
-    rows = np.repeat(np.array([1, 1, 2, 3, 3, 3, 3]), 1)
-    batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + 1])], ["token"]) for i in range(len(rows))]
-    groups = []
-    list(near_dups._cells(lambda r, starts: groups.extend(np.diff(np.r_[starts, len(r)]).tolist()) or r, ["token"])(iter(batches)))
-    assert groups == [2, 1, 4]
+    rows = np.array([1, 1, 2, 3, 3, 3, 3, 4])
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + size])], ["token"]) for i in range(0, len(rows), size)]
+        found = [x for b in near_dups._shared(iter(batches)) for x in b.column(0).to_pylist()]
+        assert found == [1, 1, 3, 3, 3, 3]
