@@ -352,33 +352,38 @@ def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, width: int,
 
 def _close(firsts: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets whose fingerprints are linked by multi-index hashing, one set for each fingerprint."""
-    fps = materialize(firsts.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("rep")))
+    counts = firsts.groupBy(F.col("_fp").alias("fp")).agg(F.min("_key").alias("rep"), F.count(F.lit(1)).alias("n"))
+    fps = materialize(counts)
     links = near_links(fps, DISTANCE, SEGMENTS)
     for side in ("a", "b"):
         links = links.join(fps.select(F.col("fp").alias(side), F.col("rep").alias(f"rep_{side}")), side)
     between = links.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
-    inside = lookup_join(firsts.select(F.col("_fp").alias("fp"), "_key"), fps, ["fp"], "inner").filter("rep <> _key")
+    sets = firsts.select(F.col("_fp").alias("fp"), "_key")
+    inside = lookup_join(sets, fps.filter("n > 1").select("fp", "rep"), ["fp"], "inner").filter("rep <> _key")
     return between.unionByName(inside.select(F.col("rep").alias("a"), F.col("_key").alias("b")))
 
 
-def _live(cells: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the cells that hold several components, with the cell's count, the entry's label and its parities."""
-    labels = roots.select(F.col("node").alias("key"), F.col("root").alias("label"))
-    own = ["token", "key", "size", "place"]
-    labelled = cells.select(*own).join(labels, "key", "left")
-    labelled = materialize(labelled.select(*own, F.coalesce("label", "key").alias("label")))
-    counts = labelled.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
-    )
-    several = materialize(counts.filter("low < high").select("token", "n"))
-    folds = firsts.select(F.col("_key").alias("key"), F.col("_fold").alias("fold"))
-    return lookup_join(labelled, several, ["token"], "inner").join(folds, "key")
+def _crowded(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """token, n, open (several components) of the cells with more than ``BLOCK`` entries."""
+    counts = cells.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    crowded = materialize(counts.filter(F.col("n") > BLOCK))
+    entries = lookup_join(cells.select("token", "key"), crowded, ["token"], "inner").join(labels, "key", "left")
+    label = F.coalesce("label", "key")
+    seen = entries.groupBy("token", "n").agg(F.min(label).alias("low"), F.max(label).alias("high"))
+    return materialize(seen.select("token", "n", (F.col("low") < F.col("high")).alias("open")))
+
 
+def _found(cells: DataFrame, firsts: DataFrame, roots: DataFrame, between: bool, work) -> DataFrame:
+    """Pairs (a, b) that ``work`` finds in the blocks of the cells, or in all pairs of blocks.
 
-def _found(live: DataFrame, between: bool, work) -> DataFrame:
-    """Pairs (a, b) that ``work`` finds in the blocks of the cells, or in all pairs of blocks."""
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
-    dealt = live.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")))
+    ``roots`` name the components so far. Cells of one component give nothing; crowded ones do not move for that.
+    """
+    labels = roots.select(F.col("node").alias("key"), F.col("root").alias("label"))
+    folds = firsts.select(F.col("_key").alias("key"), F.col("_fold").alias("fold")).join(labels, "key", "left")
+    rows = cells.join(folds.withColumn("label", F.coalesce("label", "key")), "key")
+    rows = lookup_join(rows, _crowded(cells, labels), ["token"], "left").filter("open is null or open")
+    blocks = F.coalesce(F.ceil(F.col("n") / F.lit(BLOCK)), F.lit(1)).cast("long")
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", others if between else F.col("own"))
     group = ["token", "one", "two"]
@@ -430,7 +435,7 @@ def first_of_each(
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, firsts, text, width, similar)
 
-    def cells() -> DataFrame:
+    def shared() -> DataFrame:
         rows = firsts.select(F.col("first._row").alias("_row"))
         prefixes = marked.select("_row", "_key", "_size", "_prefix").join(rows, "_row", "left_semi")
         cell = "token long, key long, size long, place long"
@@ -439,11 +444,10 @@ def first_of_each(
 
     links = settle(spark, lambda: verified(_close(firsts)))
     roots = settle(spark, lambda: components(links))
-    live = settle(spark, lambda: _live(materialize(cells()), firsts, roots))
-    links = links.unionByName(settle(spark, lambda: verified(_found(live, False, _centred(similar)))))
+    cells = materialize(shared())
+    links = links.unionByName(settle(spark, lambda: verified(_found(cells, firsts, roots, False, _centred(similar)))))
     roots = settle(spark, lambda: components(links))
-    left = settle(spark, lambda: _live(live, firsts, roots))
-    links = links.unionByName(settle(spark, lambda: verified(_found(left, True, _apart(similar)))))
+    links = links.unionByName(settle(spark, lambda: verified(_found(cells, firsts, roots, True, _apart(similar)))))
     named = firsts.join(components(links), F.col("_key") == F.col("node"), "left")
     kept = named.groupBy(F.coalesce("root", "_key").alias("root")).agg(F.min("first").alias("first"))
     return marked.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*columns)
