@@ -127,6 +127,19 @@ def test_lookup_joins_refuse_what_salting_would_repeat(spark):
         assert small == sorted(map(str, lookup_join(many, side, ["k"], how, size=HUGE).collect()))
 
 
+def test_large_lookups_are_neither_repeated_nor_broadcast(spark, tmp_path):
+    many = spark.createDataFrame([(i % 3 if i % 5 else None, i) for i in range(50)], "k int, v int")
+    spark.createDataFrame([(0, "a"), (0, "b"), (2, "c")], "k int, w string").write.parquet(f"{tmp_path}/side")
+    side = spark.read.parquet(f"{tmp_path}/side")  # small as a file, whatever was measured
+    for how in ("inner", "left"):
+        joined = lookup_join(many, side, ["k"], how, size=HUGE)
+        plan = joined._jdf.queryExecution().toString()
+        assert "_salt" not in plan and "BroadcastHashJoin" not in plan and "explode" not in plan
+        assert sorted(map(str, joined.collect())) == sorted(map(str, lookup_join(many, side, ["k"], how).collect()))
+    middle = lookup_join(many, side, ["k"], "left", size=Footprint(1, 200 << 20))._jdf.queryExecution().toString()
+    assert "_salt" in middle and "BroadcastHashJoin" not in middle
+
+
 def test_overlap_share_boundary(spark):
     lines = [("transcript", "1", "+", 1000, 1999, "G", "T"), ("exon", "1", "+", 1000, 1999, "G", "T")]
     rows = [("S", f"n{o}", 0, "1", 1000 - (40 - o), 255, "40M", 1, 1, 0) for o in (19, 20, 21)]
