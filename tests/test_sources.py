@@ -200,3 +200,25 @@ def test_stage_tables_go_when_a_run_ends(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|not found"):
         spark.read.parquet(path).count()
+
+
+def test_sequences_are_looked_up(spark):
+    big = 10**15
+    pairs = [(0, 0), (96, 96), (97, 1), (12345678, 987654), (big, 7), (-5, 3), (4, -90), (-1, -1), (None, 3), (3, None), (97, 1)]
+    rows = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(pairs)], "id long, k long, l_suppkey long")
+    found = bridge._sequences(rows)
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+    def bases(k, s):
+        return "".join("ACGT"[(k + i * i * 13 + i * s) % 97 % 4] for i in range(60))
+
+    got = {r.id: r.s0 for r in found.collect()}
+    assert len(got) == found.count() == len(pairs)
+    for i, (k, s) in enumerate(pairs):
+        direct = f"array_join(transform(sequence(0, 59), i -> substr('ACGT', cast(({k} + i * i * 13 + i * {s}) % 97 % 4 AS INT) + 1, 1)), '')"
+        if k is None or s is None:
+            assert got[i] == ""
+        else:
+            assert got[i] == spark.sql(f"select {direct} as v").first().v
+            if k >= 0 and s >= 0:
+                assert got[i] == bases(k, s)
