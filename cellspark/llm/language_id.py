@@ -24,7 +24,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspark.llm.blocks import mix, rolling_hash
@@ -37,11 +37,9 @@ ENTRIES = 4_000_000
 UNKNOWN = "und"
 #: Texts with fewer letters are not rejected for their cross-entropy.
 REJECT_LETTERS = 32
-#: Share of the calibration rows of a language that may lie above its limit, and bits added to the limit.
+#: Share of the training rows of a language that may lie above its limit, and bits added to the limit.
 REJECT_SHARE = 0.0005
 REJECT_MARGIN = 2.0
-#: One training row in so many calibrates the limits.
-CALIBRATION = 8
 _CHUNK = 1 << 20
 #: Symbols that are scored at once.
 _SCORED = 1 << 18
@@ -331,17 +329,18 @@ def _or_shorter(shorter, k: int):
 
 def train(
     labelled: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     order: int = ORDER,
     entries: int = ENTRIES,
+    calibrate: bool = True,
 ) -> Models:
-    """Models from all rows with a text and a label, with rejection limits from one row in ``CALIBRATION``.
+    """Models and rejection limits from all rows with a text and a label.
 
-    The limit of a language is the cross-entropy that ``REJECT_SHARE`` of its calibration rows exceed,
+    The limit of a language is the cross-entropy that ``REJECT_SHARE`` of the rows that go to it exceed,
     plus ``REJECT_MARGIN`` bits; a language without such rows has none. Without rows there are no
     languages. A model of more than ``entries`` grams and contexts is kept in tables instead of arrays.
+    ``calibrate`` may be left out by who scores the training rows anyway, see ``identify``.
     """
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("_text"))
@@ -377,15 +376,45 @@ def train(
     models.base += np.log2(np.array([free[lang] for lang in languages])).astype(np.float32)
     if large:
         models.tables = [(_by_gram(g, languages, "p"), _by_gram(c, languages, "weight")) for g, c in tables]
-    held = labelled.filter(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(CALIBRATION)) == 1)
-    scored = predict(held.filter(F.col(lang_col).isNotNull()), models, text_col)
+    if calibrate:
+        models.limits = rejection_limits(predict(labelled.filter(F.col(lang_col).isNotNull()), models, text_col))
+    return models
+
+
+def rejection_limits(scored: DataFrame) -> dict[str, float]:
+    """Limit per predicted language, from the cross-entropies of all rows of ``scored``."""
     limits = (
         scored.filter(F.col("letters") >= REJECT_LETTERS)
         .groupBy("lang_pred")
         .agg(F.percentile_approx("cross_entropy", 1 - REJECT_SHARE, 10000).alias("limit"))
     )
-    models.limits = {r["lang_pred"]: r["limit"] + REJECT_MARGIN for r in limits.collect()}
-    return models
+    return {r["lang_pred"]: r["limit"] + REJECT_MARGIN for r in limits.collect()}
+
+
+def identify(
+    docs: DataFrame,
+    learned: Column | None = None,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    carry: list[str] | None = None,
+) -> DataFrame:
+    """``train`` on the labelled rows where ``learned`` holds (all without it), and ``predict`` for all rows.
+
+    The training rows are scored once, with the others: their cross-entropies give the limits, and the limits
+    then decide on all rows. The scored rows are written once to the shared folder.
+    """
+    carry = [c for c in carry or [] if c not in OWN]
+    labelled = F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    learns = F.coalesce(labelled if learned is None else labelled & learned, F.lit(False))
+    marked = docs.withColumn("_learned", learns)
+    models = train(marked.filter("_learned"), text_col, lang_col, calibrate=False)
+    scored = materialize(predict(marked, models, text_col, [*carry, "_learned"]))
+    limits = rejection_limits(scored.filter("_learned"))
+    above = F.lit(False)
+    for lang, limit in limits.items():
+        above = above | ((F.col("lang_pred") == lang) & (F.col("cross_entropy") > limit))
+    rejected = (F.col("lang_pred") == UNKNOWN) | ((F.col("letters") >= REJECT_LETTERS) & above)
+    return scored.withColumn("rejected", rejected).select(*carry, *OWN)
 
 
 def _interpolate(counts: DataFrame, lower: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:

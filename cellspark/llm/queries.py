@@ -40,9 +40,8 @@ URL_RULES = [
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language_id.in_fold(F.col("doc_id"))
-    models = language_id.train(docs.filter(~held_out))
-    marked = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    found = language_id.predict(marked, models, carry=["doc_id", "held_out"])
+    marked = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text", "lang")
+    found = language_id.identify(marked, ~held_out, carry=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 

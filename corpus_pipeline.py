@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what language ID rejects; ``lang`` stays as given, or becomes the prediction where it is null."""
-    marked = language_id.predict(docs, language_id.train(docs), carry=COLUMNS)
+    marked = language_id.identify(docs, carry=COLUMNS)
     kept = marked.filter(~F.col("rejected"))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 

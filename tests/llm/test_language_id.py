@@ -131,3 +131,24 @@ def test_large_models_keep_every_gram(spark, odd):
     assert [r[:4] for r in a] == [r[:4] for r in b] and len(a) == texts.count()
     assert all(x[4] == y[4] or math.isclose(x[4], y[4], abs_tol=1e-4) for x, y in zip(a, b))
     assert all(math.isclose(x[5], y[5], abs_tol=1e-3) for x, y in zip(a, b))
+
+
+def test_all_training_rows_calibrate(spark, documents):
+    df = documents.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
+    models = li.train(df)
+    worst = {}
+    for r in li.predict(df, models).filter(f"letters >= {li.REJECT_LETTERS}").collect():
+        worst[r.lang_pred] = max(worst.get(r.lang_pred, 0), r.cross_entropy)
+    assert models.limits.keys() == worst.keys()
+    assert all(math.isclose(models.limits[k], v + li.REJECT_MARGIN, abs_tol=1e-6) for k, v in worst.items())
+
+
+def test_identify_scores_once(spark, documents, nothing):
+    noise = spark.createDataFrame([(-5, "qzxv wkqj " * 20, None), (-6, None, "en"), (-7, "12", "en")], "doc_id long, text string, lang string")
+    df = documents.select("doc_id", "text", "lang").unionByName(noise)
+    fold = li.in_fold(li.F.col("doc_id"))
+    models = li.train(df.filter(~fold))
+    want = li.predict(df, models, carry=["doc_id"]).collect()
+    got = li.identify(df, ~fold, carry=["doc_id"]).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and any(r.rejected for r in got)
+    assert li.identify(nothing, carry=["doc_id"]).count() == 0
