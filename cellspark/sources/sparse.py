@@ -38,8 +38,9 @@ def pointers(entries: DataFrame, extent: DataFrame, axis: str) -> DataFrame:
     return summed.select("sample", "major", "start", "stored")
 
 
-def _write(df: DataFrame, order: str, path: str) -> None:
-    rows = df.repartitionByRange("sample", order).sortWithinPartitions("sample", order)
+def _write(df: DataFrame, order: str, path: str, ranged: bool = False) -> None:
+    """``ranged``: the rows come from tables of ranges in order, which are only merged inside a task."""
+    rows = (df if ranged else df.repartitionByRange("sample", order)).sortWithinPartitions("sample", order)
     rows.write.mode("overwrite").partitionBy("sample").parquet(path)
 
 
@@ -50,7 +51,7 @@ def write_sparse(entries: DataFrame, genes: DataFrame, barcodes: DataFrame, path
     their index (from 1, without gaps) and anything that describes them.
     """
     for axis, extent in (("rows", barcodes), ("columns", genes)):
-        _write(compressed_entries(entries, axis), "place", f"{path}/{axis}/entries")
+        _write(compressed_entries(entries, axis), "place", f"{path}/{axis}/entries", ranged=True)
         _write(pointers(entries, extent, axis), "major", f"{path}/{axis}/pointers")
     _write(barcodes, "barcode_index", f"{path}/obs")
     _write(genes, "gene_index", f"{path}/var")
