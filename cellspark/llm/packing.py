@@ -17,11 +17,14 @@ buckets, so a length that a third of all documents have is spread over many task
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cellspark.llm.common import ship
+from cellspark.llm.harmonic import byte_of_symbol
 from cellspark.plans.scale import materialize
 
 CAPACITY = 4096
@@ -47,6 +51,32 @@ MEMORY = 600_000
 LONGEST = 64
 #: Marks that end a word; each is a token of its own after letters.
 MARKS = ".,;:!?"
+#: Words whose parts are known without the tokenizer: no white space inside, equal after normalization but for case.
+LATIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u00ff]+")
+#: Their parts, in lower case: letters, single digits and fractions, all else.
+_LETTERS, _NUMBERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+#: How tokenizer files of that kind prepare a text.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 class _Ids(dict):
@@ -58,22 +88,31 @@ class _Ids(dict):
     """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
         super().__init__({"": b""})
         self.older: dict[str, bytes] = {}
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        self.fast = _merger(given)
         # words are ordinary text; where a text has an added token's string, it is cut before
-        self.tokenizer.encode_special_tokens = True
-        self.added = {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = {token["content"]: token["id"] for token in given.get("added_tokens") or ()}
         self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if self.added else None
-        vocabulary = self.tokenizer.get_vocab()
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        vocabulary = given["model"]["vocab"] if self.fast else self.tokenizer.get_vocab()
+        suffix = given["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max([*vocabulary.values(), *self.added.values()]) + 1, bool)
         if suffix:
             self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded for the first word that ``fast`` does not take."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as the tokenizer gives them."""
         if not any(token in t for t in texts for token in self.added):
@@ -106,8 +145,16 @@ class _Ids(dict):
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         """Ids of the new words; those that are not too long are remembered."""
         ids_of: dict[str, bytes] = {}
+        if self.fast:
+            if self.older:
+                ids_of = {w: ids for w in new if (ids := self.older.get(w))}
+                new = new.difference(ids_of)
+            latin = [w for w in new if len(w) <= LONGEST and (w.isascii() and w.isalpha() or LATIN.fullmatch(w))]
+            for at in range(0, len(latin), 1024):
+                self._merge(latin[at : at + 1024], ids_of)
+            new = new.difference(latin) if len(latin) < len(new) else ()
         marked = [w for w in new if w[-1] in MARKS and _letters(w[:-1])]
-        whole = new.difference(marked)
+        whole = set(new).difference(marked)
         whole.update([w[:-1] for w in marked], [w[-1] for w in marked])
         plain, other = [], []
         for word in whole:
@@ -119,14 +166,8 @@ class _Ids(dict):
         for at in range(0, len(plain), 1000):
             part = plain[at : at + 1000]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(part):  # not a word each after all
+            if not self._cut(ids, part, np.arange(len(part)), ids_of):  # not a word each after all
                 other += part
-                continue
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist()):
-                ids_of[word] = data[begin:end]
-                begin = end
         for at in range(0, len(other), 1000):
             part = other[at : at + 1000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -136,6 +177,59 @@ class _Ids(dict):
         self.update((w, ids) for w, ids in ids_of.items() if len(w) <= LONGEST)
         return ids_of
 
+    def _merge(self, words: list[str], ids_of: dict[str, bytes]) -> None:
+        """Adds the ids of words of ``LATIN``."""
+        parts = [[w.lower()] if w.isalpha() else PARTS.findall(w.lower()) for w in words]
+        text = " ".join(itertools.chain.from_iterable(parts)) + " "
+        ids = self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        if not self._cut(ids, words, np.cumsum([*map(len, parts)]) - 1, ids_of):
+            raise ValueError("the parts of the words are not those of their ids")
+
+    def _cut(self, ids: np.ndarray, words: list[str], last: np.ndarray, ids_of: dict[str, bytes]) -> bool:
+        """Adds each word's share of ``ids``; ``last`` numbers its last part. False if there are more or fewer parts."""
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != last[-1] + 1:
+            return False
+        data, begin = ids.tobytes(), 0
+        for word, end in zip(words, (4 * ends[last]).tolist()):
+            ids_of[word] = data[begin:end]
+            begin = end
+        return True
+
+
+def _merger(given: dict):
+    """A file's vocabulary in ``tiktoken``, for parts that a space follows; None if the file is of another kind.
+
+    Merges are by id there, so a merge's id has to grow with its place. A space, which no part holds, stands for the
+    end of a word: with the last byte it is a token whose id is before those of all merges.
+    """
+    model, suffix = given["model"], given["model"].get("end_of_word_suffix")
+    if given.get("normalizer") != NORMALIZER or given.get("pre_tokenizer") != PRE_TOKENIZER:
+        return None
+    if model.get("type") != "BPE" or not suffix:
+        return None
+    if any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return None
+    symbols, vocabulary = byte_of_symbol(), model["vocab"]
+    plain = str.maketrans({c: chr(b) for c, b in symbols.items()})
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if sorted(vocabulary.values()) != list(range(2 * len(symbols) + len(pairs))):
+        return None
+    if any(vocabulary.get(a + b) != i for i, (a, b) in enumerate(pairs, 2 * len(symbols))):
+        return None
+    if any(vocabulary.get(c + end, len(vocabulary)) >= 2 * len(symbols) for c in symbols for end in ("", suffix)):
+        return None
+
+    import tiktoken
+
+    ranks = {}
+    for token, i in vocabulary.items():
+        inside = token.removesuffix(suffix)
+        raw = inside.translate(plain).encode("latin-1")
+        if b" " not in raw:
+            ranks[raw + b" " * (inside != token)] = i
+    return tiktoken.Encoding("given", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
 
 def _letters(word: str) -> bool:
     """One token run of letters, also after lower-casing (which can split off a mark)."""

@@ -1,6 +1,7 @@
 """Best-fit packing: every piece in one place, ids as the tokenizer gives them, few sequences."""
 
 import itertools
+import json
 import random
 import zlib
 
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cellspark.llm import packing
+from cellspark.llm.harmonic import byte_of_symbol
 from cellspark.llm.queries import TOKENIZER
 
 IDS, TOKENS = packing._Ids(TOKENIZER), Tokenizer.from_file(TOKENIZER)
@@ -60,6 +62,29 @@ def test_words_give_the_ids_of_the_text():
     assert packing._Ids(TOKENIZER).encode(texts) == expected
 
 
+def test_a_known_kind_of_file_needs_no_tokenizer_for_latin_words():
+    """Every token's own string, and words of all parts: the same ids from the merges alone."""
+    tokens = [t.removesuffix("</w>") for t in TOKENS.get_vocab(with_added_tokens=False)]
+    symbols = byte_of_symbol()
+    words = [bytes(symbols[c] for c in t).decode("latin-1") for t in tokens] + ["a's", "it've5\u00bc%%%", "B\u00aa\u00b2x\u00d7"]
+    texts = [" ".join(words[at : at + 500]) for at in range(0, len(words), 500)]
+    ids = packing._Ids(TOKENIZER)
+    latin = [" ".join(w for w in t.split(" ") if packing.LATIN.fullmatch(w)) for t in texts]
+    found = ids.encode(latin)
+    assert "tokenizer" not in vars(ids)
+    for some, of in ((found, latin), (ids.encode(texts), texts)):
+        assert some == [np.array(TOKENS.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in of]
+
+
+def test_another_kind_of_file_goes_through_the_tokenizer(tmp_path):
+    given = json.loads(TOKENS.to_str())
+    given["normalizer"]["normalizers"].pop(0)
+    (tmp_path / "other.json").write_text(json.dumps(given))
+    texts = ["Don't  stop\tnow, 12\u00bc", "<|endoftext|> na\u00efve%%% x"]
+    other = packing._Ids(str(tmp_path / "other.json"))
+    assert other.fast is None and other.encode(texts) == IDS.encode(texts)
+
+
 def test_words_of_the_documents(documents, monkeypatch):
     """Also when the memory of words overflows again and again."""
     monkeypatch.setattr(packing, "MEMORY", 3000)
