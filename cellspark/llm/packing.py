@@ -49,6 +49,8 @@ REMEMBERED = 64
 #: Distinct words whose ids a worker remembers, and the longest word that is remembered.
 MEMORY = 600_000
 LONGEST = 64
+#: Texts whose words are in memory at once.
+TEXTS = 128
 #: Marks that end a word; each is a token of its own after letters.
 MARKS = ".,;:!?"
 #: Words whose parts are known without the tokenizer: no white space inside, equal after normalization but for case.
@@ -265,8 +267,8 @@ def pieces(
             state.append(_Ids(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 rows: list[list] = [[] for _ in names]
                 for doc, ids in zip(batch.column(0).to_pylist(), state[0].encode(texts)):
