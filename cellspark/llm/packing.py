@@ -46,8 +46,8 @@ NODES = 100_000
 SHARE = 1_000_000
 #: Plans of at most so many lengths remember the counts they have been at.
 REMEMBERED = 64
-#: Distinct words whose ids a worker remembers, and the longest word that is remembered.
-MEMORY = 600_000
+#: Distinct words of a generation whose ids a worker remembers, and the longest word that is remembered.
+MEMORY = 300_000
 LONGEST = 64
 #: Texts whose words are in memory at once.
 TEXTS = 128
