@@ -1,6 +1,7 @@
 from cellspark.config import ReadQcConfig
 from cellspark.operators import barcodes, reads_qc
 from cellspark.plans import scale
+from cellspark.sources import writers
 
 
 def whitelist(spark, codes):
@@ -109,3 +110,43 @@ def test_cascade_conserves_reads(spark):
         assert kept == c.reads_output
     empty = reads_qc.qc_cascade(qc).filter("sample = 'T'").first()
     assert empty.reads_output == 0 and empty.mean_read_length_post_QC == 0 and empty.median_read_length_post_QC == 0
+
+
+def _matched_rows(spark):
+    good, bases = "I" * 40, "ACGTTGCAACGTGATCCATGCAGTTACGATCAGGCTAACT"
+    rows = [
+        ("S", "@a 1", bases, good, "ACGTACGTACGTA", good[:13], "ACGTACGTACGTA", "direct"),
+        ("S", "@b 1", bases, good, "NNNNACGTACGTA", good[:13], None, "failed"),
+        ("S", "@c 1", bases, "#" * 40, "ACGTACGTACGTA", good[:13], "ACGTACGTACGTA", "direct"),
+        ("S", "@d 1", bases[:10], good[:10], "ACGTACGTACGTA", good[:13], "ACGTACGTACGTA", "direct"),
+        ("S", "@e 1", bases[:20] + "A" * 18 + "CG", good, "ACGTACGTACGTA", good[:13], "ACGTACGTACGTA", "direct"),
+        ("S", "@f 1", None, None, "ACGTACGTACGTA", good[:13], "ACGTACGTACGTA", "direct"),
+    ]
+    return spark.createDataFrame(
+        rows, "sample string, header string, r1_seq string, r1_qual string, r2_seq string, r2_qual string, barcode string, barcode_status string"
+    )
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_filters_on_the_outcome_work_it_out_once(spark):
+    qc = reads_qc.qc_reads(_matched_rows(spark))
+    lost = {r.header[1]: (r.lost_at, r.out_seq, r.polya_trimmed) for r in qc.collect()}
+    assert {k: v[0] for k, v in lost.items()} == {"a": None, "b": "barcode", "c": "quality", "d": "sss", "e": None, "f": None}
+    assert lost["e"][1:] == ("ACGTGATCCATG", True)
+    for kept in (reads_qc.passed_reads(qc), reads_qc.failed_reads(qc)):
+        # the sum of the qualities, the costliest step, stands in the plan once
+        assert _optimized(kept).count("split(") == 1
+    assert sorted(r.header[1] for r in reads_qc.failed_reads(qc).collect()) == ["b", "c", "d"]
+
+
+def test_both_mates_of_rejected_reads_come_from_one_pass(spark):
+    failed = reads_qc.failed_reads(reads_qc.qc_reads(_matched_rows(spark)))
+    lines = writers.rejected_fastq_lines(failed)
+    assert _optimized(lines).count("split(") == 1
+    rows = {(r.mate, r.value.split("\n")[0]): r.value.split("\n")[1:] for r in lines.collect()}
+    assert len(rows) == 6 and lines.columns == ["sample", "value", "mate"]
+    assert rows["r2", "@b 1"] == ["NNNNACGTACGTA", "+", "I" * 13]
+    assert rows["r1", "@d 1"] == ["ACGTTGCAAC", "+", "I" * 10]
