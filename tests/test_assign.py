@@ -301,3 +301,25 @@ def test_overlap_join_carries_its_bin_once(spark):
     found = intervals.overlap_join(left, right, ["chrom"], 4096, size=HUGE)
     assert "_bin#" not in optimized(found).replace("_k_bin#", "")
     assert sorted((r["n"], r["r_gene"]) for r in found.collect()) == [(7, "g"), (8, "g")]
+
+
+def test_alignments_within_reach_are_looked_up_in_their_row(spark, monkeypatch):
+    rng = random.Random(5)
+    lines = random_lines(rng)
+    cigars = ["40M", "20M2D20M", "10M3I27M", "8=2X30M", "20M100N20M", "5S10M40N25M3H", "5N40M", "15M700N25M", "*"]
+    rows = [("S", f"r{i}", rng.choice([0, 16]), rng.choice("12"), rng.randint(1, 3800), 255, cigars[i % 9], 1, 1, 0) for i in range(270)]
+    rows += rows[:45]
+    cfg = AssignConfig(bin_size=256, bin_reach=256)
+    index = assign.feature_index(gtf(spark, lines), cfg)
+    by_rows, long = assign._assign_by_rows, []
+    monkeypatch.setattr(assign, "_assign_by_rows", lambda some, *more: long.append(some) or by_rows(some, *more))
+    for found in (index, dataclasses.replace(index, size=HUGE, windows_size=HUGE)):
+        got = assign.assign_levels(spark.createDataFrame(rows, ALN), found, cfg).collect()
+        assert {r.cigar for r in long.pop().collect()} == {"15M700N25M"}
+        assert Counter(r.read_name for r in got) == Counter(r[1] for r in rows)
+        for r in got:
+            if r.cigar == "*":
+                assert (r.tx_status, r.tx_gene, r.ex_status, r.ex_gene) == ("Unassigned_Unmapped", None, "Unassigned_Unmapped", None)
+            else:
+                assert (r.tx_status, r.tx_gene) == brute(lines, "transcript", r.flag, r.chrom, r.pos, r.cigar)
+                assert (r.ex_status, r.ex_gene) == brute(lines, "exon", r.flag, r.chrom, r.pos, r.cigar)
