@@ -30,7 +30,7 @@ class LaneSplit(InputPartition):
 
 
 def _records(mate: list | None, first: int, last: int | None):
-    """(header, sequence, quality) of the records; a cut-off last record has empty fields."""
+    """(headers, sequences, qualities) of up to ``BATCH`` records at a time; a cut-off last record has empty fields."""
     if mate is None:
         return
     path, kind, offset, skip, line = mate
@@ -39,12 +39,16 @@ def _records(mate: list | None, first: int, last: int | None):
             pass
         number = first
         while last is None or number < last:
-            four = [raw.decode("ascii", "replace").rstrip("\r\n") for raw in islice(lines, 4)]
-            if not four:
+            raw = list(islice(lines, 4 * (BATCH if last is None else min(BATCH, last - number))))
+            if not raw:
                 return
-            four += [""] * (4 - len(four))
-            yield four[0], four[1], four[3]
-            number += 1
+            text = b"".join(raw).decode("ascii", "replace")
+            texts = text.removesuffix("\n").split("\n")
+            if "\r" in text:
+                texts = [some.rstrip("\r") for some in texts]
+            texts += [""] * (-len(texts) % 4)
+            yield texts[0::4], texts[1::4], texts[3::4]
+            number += len(texts) // 4
 
 
 class FastqPairReader(DataSourceReader):
@@ -57,32 +61,22 @@ class FastqPairReader(DataSourceReader):
     def read(self, partition: LaneSplit):
         import pyarrow as pa
 
-        fields = ("header", "r1_seq", "r1_qual", "r2_seq", "r2_qual")
-        columns: list[list[str]] = [[] for _ in fields]
         done = partition.first
-
-        def batch():
-            n = len(columns[0])
-            return pa.RecordBatch.from_pydict(
+        mates = _records(partition.r2, partition.first, partition.last)
+        for headers, seqs, quals in _records(partition.r1, partition.first, partition.last):
+            n = len(headers)
+            # both sides take as many records at a time; R2 may end before R1
+            _, mate_seqs, mate_quals = (some[:n] + [""] * (n - len(some)) for some in next(mates, ([], [], [])))
+            texts = zip(("header", "r1_seq", "r1_qual", "r2_seq", "r2_qual"), (headers, seqs, quals, mate_seqs, mate_quals))
+            yield pa.RecordBatch.from_pydict(
                 {
                     "sample": pa.array([partition.sample] * n, pa.string()),
                     "lane": pa.array([partition.lane] * n, pa.int32()),
                     "ord": pa.array(range(done, done + n), pa.int64()),
-                    **{f: pa.array(c, pa.string()) for f, c in zip(fields, columns)},
+                    **{name: pa.array(column, pa.string()) for name, column in texts},
                 }
             )
-
-        mates = _records(partition.r2, partition.first, partition.last)
-        for header, seq, qual in _records(partition.r1, partition.first, partition.last):
-            _, mate_seq, mate_qual = next(mates, ("", "", ""))
-            for column, value in zip(columns, (header, seq, qual, mate_seq, mate_qual)):
-                column.append(value)
-            if len(columns[0]) == BATCH:
-                yield batch()
-                done += BATCH
-                columns = [[] for _ in fields]
-        if columns[0]:
-            yield batch()
+            done += n
 
 
 class FastqPairSource(DataSource):

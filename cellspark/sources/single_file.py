@@ -24,6 +24,8 @@ from cellspark.sources.splits import last_block, pack_blocks
 
 #: Uncompressed bytes that a writer packs at once, and bytes that a joining task copies at once.
 CHUNK = 4 << 20
+#: Rows whose bytes a writer takes at once.
+STEP = 2000
 MANIFEST = "manifest.json"
 
 
@@ -43,6 +45,25 @@ class Parts(WriterCommitMessage):
     parts: list
 
 
+def _runs(column) -> list[tuple]:
+    """(value, index after its last row) of each run of equal values."""
+    import pyarrow.compute as pc
+
+    if not len(column):
+        return []
+    runs = pc.run_end_encode(column)
+    return list(zip(runs.values.to_pylist(), runs.run_ends.to_pylist()))
+
+
+def _pieces(column, start: int, end: int):
+    """The bytes of a column's values from row ``start`` to ``end``, as they lie in memory, ``STEP`` rows at a time."""
+    for at in range(start, end, STEP):
+        some = column.slice(at, min(STEP, end - at)).cast("large_string")
+        _, offsets, data = some.buffers()
+        bounds = memoryview(offsets).cast("q")
+        yield bytes(memoryview(data)[bounds[some.offset] : bounds[some.offset + len(some)]]) if data is not None else b""
+
+
 class PartsWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.staging, self.packed = options["staging"], options["packed"] == "true"
@@ -54,8 +75,10 @@ class PartsWriter(DataSourceArrowWriter):
         parts, current, out, held, size = [], None, None, [], 0
 
         def flush():
-            data = "".join(f"{value}\n" for value in held).encode()
+            nonlocal size
+            data = b"".join(held)
             held.clear()
+            size = 0
             out.write(pack_blocks(data) if self.packed else data)
 
         def close():
@@ -65,17 +88,19 @@ class PartsWriter(DataSourceArrowWriter):
                 out.close()
 
         for batch in iterator:
-            for file, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            at = 0
+            for file, end in _runs(batch.column(0)):
                 if file != current:
                     close()
                     name = f"{root}/{context.partitionId()}-{context.taskAttemptId()}-{len(parts)}"
-                    out, current, size = system.open_output_stream(name), file, 0
+                    out, current = system.open_output_stream(name), file
                     parts.append([file, context.partitionId(), name, 0])
-                held.append(value)
-                size += len(value)
-                if size >= CHUNK:
-                    flush()
-                    size = 0
+                for data in _pieces(batch.column(1), at, end):
+                    held.append(data)
+                    size += len(data)
+                    if size >= CHUNK:
+                        flush()
+                at = end
         close()
         return Parts(parts)
 
@@ -152,7 +177,7 @@ def write_files(lines: DataFrame, order: list[str | Column], path: str, packed:
         *[(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)],
     )
     keys = ["file", *[f"_o{i}" for i in range(len(order))]]
-    ranged = sound.repartitionByRange(*keys).sortWithinPartitions(*keys).select("file", "value")
+    ranged = sound.repartitionByRange(*keys).sortWithinPartitions(*keys).select("file", F.concat("value", F.lit("\n")).alias("value"))
     try:
         writer = ranged.write.format("ordered_file_parts").mode("append")
         writer.option("staging", staging).option("packed", "true" if packed else "false").save()

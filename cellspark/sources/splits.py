@@ -112,11 +112,13 @@ def _stretches(path: str, kind: str, start: int, end: int, size: int) -> Iterato
         stream = io.BufferedReader(file, BUFFER)
         stream.seek(at)
         while at < end and at < size:
-            head = stream.peek(64)[:64]
+            # not peeked at: the buffer may end inside the header
+            head = stream.read(12)
+            head += stream.read(int.from_bytes(head[10:12], "little"))
             length = member_length(head, 0)
             if length is None:
                 raise ValueError(f"{path} has no member of a block-gzip file at {at}")
-            yield at, gzip.decompress(stream.read(length))
+            yield at, gzip.decompress(head + stream.read(length - len(head)))
             at += length
 
 

@@ -122,3 +122,55 @@ def test_no_lanes_and_lost_files(spark, tmp_path):
 def test_blocks_are_gzip():
     data = bytes(random.Random(1).randbytes(200_000)) + b"A" * 100_000
     assert gzip.decompress(splits.pack_blocks(data) + splits.last_block()) == data
+
+
+def test_members_are_read_wherever_the_buffer_ends(monkeypatch, tmp_path):
+    import pyarrow as pa
+
+    text = text_of(4000, 7)
+    path = tmp_path / "lane.fastq.gz"
+    path.write_bytes(b"".join(splits.pack_blocks(text[i : i + 900]) for i in range(0, len(text), 900)) + splits.last_block())
+    size = path.stat().st_size
+    # refills within every few members, so that some fall into a member's header
+    monkeypatch.setattr(splits, "BUFFER", 1000)
+    rows = [{"path": str(path), "kind": splits.BLOCKS, "start": at, "end": min(at + 50_000, size), "size": size} for at in range(0, size, 50_000)]
+    found = [r for batch in splits._count([pa.RecordBatch.from_pylist(rows)]) for r in batch.to_pylist()]
+    assert not any(r["broken"] for r in found)
+    assert sum(r["ends"] for r in found) == text.count(b"\n") and sum(r["bytes"] for r in found) == len(text)
+
+
+def test_batches_of_records_keep_mates_and_line_ends(monkeypatch, tmp_path):
+    monkeypatch.setattr(fastq, "BATCH", 3)
+    lines = [[f"@{m}{i} x", "ACGT"[i % 4] * (i + 1), "+", "I" * (i + 1)] for m in "ab" for i in range(8)]
+    one, two = ["\r\n".join(sum(lines[:8], [])) + "\r\n", "\n".join(sum(lines[8:12], []))]
+    for name, text in (("r1", one), ("r2", two)):
+        (tmp_path / name).write_bytes(text.encode())
+    mates = [[str(tmp_path / name), splits.PLAIN, 0, 0, 0] for name in ("r1", "r2")]
+    for last in (8, None):
+        reader = fastq.FastqPairReader({"lanes": "[]"})
+        batches = list(reader.read(fastq.LaneSplit("S", 1, 0, last, *mates)))
+        assert [b.num_rows for b in batches] == [3, 3, 2]
+        got = [tuple(r.values())[2:] for b in batches for r in b.to_pylist()]
+        assert got == plain_batch(one, two)
+
+
+def plain_batch(one: str, two: str):
+    return [tuple(r) for r in plain_pairs(one.encode(), two.encode())]
+
+
+def test_writer_takes_the_bytes_of_each_files_rows():
+    import pyarrow as pa
+
+    from cellspark.sources import single_file
+
+    files = pa.array(["a", "a", "b", "b", "b", "c"])
+    values = pa.array(["x\n", "é\n", "", "long\nline\n", "z\n", "w\n"])
+    for skip in (0, 1, 3):
+        at, found = 0, []
+        for file, end in single_file._runs(files.slice(skip)):
+            found.append((file, b"".join(single_file._pieces(values.slice(skip), at, end)).decode()))
+            at = end
+        want = {}
+        for file, value in list(zip(files.to_pylist(), values.to_pylist()))[skip:]:
+            want[file] = want.get(file, "") + value
+        assert found == list(want.items())
