@@ -153,3 +153,17 @@ def test_plain_decimals(spark):
     values = [12345678.5, 0.0001, 3.0, 1e-7, 0.1, 123456789012.25, -25000000.0]
     got = column(spark, values, plain, "double")
     assert not any("E" in g for g in got) and [float(g) for g in got] == values and got[2] == "3.0"
+
+
+def test_high_bases_are_counted_only_beside_low_ones(spark):
+    quals = ["", "I" * 30, "#" * 13 + "I" * 17, "#" * 12 + "0" * 18, "#" * 3 + "0" * 27, "!" * 11 + "0" * 19, "I" * 11 + "!" * 19, None]
+
+    def low(qual):
+        scores = [ord(c) - 33 for c in qual]
+        return sum(s < 15 for s in scores) * 100 > len(scores) * 40 or sum(scores) < 15 * len(scores)
+
+    rows = spark.createDataFrame([(q,) for q in quals], "q string").select("q", sq.low_quality(F.col("q"), 15, 40).alias("low"))
+    assert {r.q: r.low for r in rows.collect()} == {q: None if q is None else low(q) for q in quals}
+    # the check for any low base stands before the pattern that finds the high ones
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "> 0) AND" in plan and plan.index("> 0) AND") < plan.index("\\x3f-\\x7e")
