@@ -176,7 +176,9 @@ def line_index(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_B
     splits = files.filter(f"kind <> '{STREAM}' and size > 0").select(
         "path", "kind", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start")
     )
-    splits = splits.withColumn("end", F.least(F.col("start") + split_bytes, F.col("size"))).repartition(max(1, int(count)))
+    # small splits are counted several to a task, as long as all cores have some
+    tasks = max(int(count) * split_bytes // SPLIT_BYTES, min(int(count), spark.sparkContext.defaultParallelism), 1)
+    splits = splits.withColumn("end", F.least(F.col("start") + split_bytes, F.col("size"))).repartition(tasks)
     columns = "path string, kind string, start long, offset long, ends long, bytes long, first long, closed boolean, broken boolean"
     counted = materialize(splits.mapInArrow(_count, columns))
     # a file has a row per split here, which one task sorts easily; files are spread over tasks
